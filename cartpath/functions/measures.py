@@ -31,7 +31,3 @@ def amount(value: Column) -> Column:
 def total_amount(value: Column) -> Column:
     return F.sum(amount(value)).cast("double")
 
-
-def iso_text(moment: Column) -> Column:
-    """UTC ISO 8601 text with microseconds."""
-    return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))

@@ -19,27 +19,29 @@ STAGE_NAMES = {1: "page_view", 2: "product_view", 3: "add_to_cart", 4: "purchase
 UNKNOWN = "unknown"
 
 
-def literal_map(entries: dict) -> Column:
-    return F.create_map(*(F.lit(x) for x in chain.from_iterable(entries.items())))
+def map_text(entries: dict) -> str:
+    """A literal map as SQL text."""
+    return f"map({', '.join(repr(x) for x in chain.from_iterable(entries.items()))})"
 
 
-def flag(condition: Column) -> Column:
-    """1 where the condition holds, else 0."""
-    return F.when(condition, 1).otherwise(0)
+def flag_text(event_type: str, column: str = "eventType") -> str:
+    """SQL text for 1 where the event is of a type, else 0."""
+    return f"CASE WHEN {column} = '{event_type}' THEN 1 ELSE 0 END"
 
 
-def event_stage(event_type: Column) -> Column:
-    """Funnel stage of an event type; 0 for a type outside the funnel."""
-    return F.coalesce(literal_map(STAGE_OF_EVENT)[event_type], F.lit(0))
+def stage_text(column: str = "eventType") -> str:
+    """SQL text for the funnel stage of an event type; 0 for a type outside the funnel."""
+    return f"coalesce({map_text(STAGE_OF_EVENT)}[{column}], 0)"
 
 
-def stage_name(stage: Column) -> Column:
-    return F.coalesce(literal_map(STAGE_NAMES)[stage], F.lit(UNKNOWN))
+def stage_name(stage: str) -> Column:
+    """Name of the stage in a column, ``unknown`` if it is none of the four."""
+    return F.expr(f"coalesce({map_text(STAGE_NAMES)}[{stage}], '{UNKNOWN}')")
 
 
-def stage_number(name: Column) -> Column:
+def stage_number(name: str) -> Column:
     """Inverse of :func:`stage_name`, 0 for ``unknown``; the sort key of the stage report."""
-    return F.coalesce(literal_map({v: k for k, v in STAGE_NAMES.items()})[name], F.lit(0))
+    return F.expr(f"coalesce({map_text({v: k for k, v in STAGE_NAMES.items()})}[{name}], 0)")
 
 
 def at_least_stage(deepest: Column, stage: int) -> Column:

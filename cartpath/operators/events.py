@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartpath.functions.measures import iso_text
 from cartpath.functions.stages import (
     CART_ADD,
     CART_REMOVAL,
     PAGE_VIEW,
     PRODUCT_VIEW,
     PURCHASE,
-    event_stage,
-    flag,
-    literal_map,
+    flag_text,
+    map_text,
+    stage_text,
 )
 
 # Fixed values of the envelope.
@@ -23,23 +22,18 @@ CURRENCY = "BRL"
 DEFAULT_PAYMENT = "credit_card"
 IDENTITY = "customerId"
 
-ITEM = "struct<SKU:string, name:string, priceTotal:double, quantity:int>"
 
-
-def item(sku: Column, name: Column, price: Column, quantity: Column | None = None) -> Column:
-    """One product line as the envelope holds it."""
-    quantity = F.lit(1) if quantity is None else quantity
-    return F.struct(
-        sku.cast("string").alias("SKU"),
-        name.cast("string").alias("name"),
-        price.cast("double").alias("priceTotal"),
-        quantity.cast("int").alias("quantity"),
+def item_text(sku: str, name: str, price: str) -> str:
+    """SQL text for one product line as the envelope holds it."""
+    return (
+        f"named_struct('SKU', CAST({sku} AS STRING), 'name', CAST({name} AS STRING),"
+        f" 'priceTotal', CAST({price} AS DOUBLE), 'quantity', 1)"
     )
 
 
-def payment_or_default(payment: Column) -> Column:
-    """A missing or empty payment type counts as a card payment."""
-    return F.coalesce(F.nullif(payment, F.lit("")), F.lit(DEFAULT_PAYMENT))
+def payment_text(payment: str) -> str:
+    """SQL text for a payment type; a missing or empty one counts as a card payment."""
+    return f"coalesce(nullif({payment}, ''), '{DEFAULT_PAYMENT}')"
 
 
 def cart_total(items: Column) -> Column:
@@ -55,56 +49,42 @@ def to_envelope(actions: DataFrame) -> DataFrame:
     """Nested events from one row per action.
 
     ``actions`` has event_id, event_time (timestamp), event_type, session_id, customer_id,
-    platform, device, page_name, page_url, referrer_url, items (array of :func:`item`), order_id,
-    order_total and payment_type. Page views carry the page, product events their items, purchases
-    the order as well; a removed item has no name and the price 0.
+    platform, device, page_name, page_url, referrer_url, items (array of :func:`item_text`),
+    order_id, order_total and payment_type. Page views carry the page, product events their items,
+    purchases the order as well; a removed item has no name and the price 0.
     """
-    kind = F.col("event_type")
-    page = kind == PAGE_VIEW
-    bought = kind == PURCHASE
-
-    def counter(event_type: str) -> Column:
-        return F.when(kind == event_type, F.struct(F.lit(1).alias("value")))
-
-    web = F.struct(
-        F.struct(F.col("session_id").alias("ID")).alias("webSession"),
-        F.when(page, F.struct(F.col("page_name").alias("name"), F.col("page_url").alias("URL"))).alias(
-            "webPageDetails"
-        ),
-        F.when(page, F.struct(F.col("referrer_url").alias("URL"), F.lit("external").alias("type"))).alias(
-            "webReferrer"
-        ),
-    )
-    order = F.struct(
-        F.col("order_id").alias("purchaseID"),
-        F.col("order_total").cast("double").alias("priceTotal"),
-        F.lit(CURRENCY).alias("currencyCode"),
-        F.array(F.struct(payment_or_default(F.col("payment_type")).alias("paymentType"))).alias("payments"),
-    )
-    commerce = F.struct(
-        counter(PRODUCT_VIEW).alias("productViews"),
-        counter(CART_ADD).alias("productListAdds"),
-        counter(CART_REMOVAL).alias("productListRemovals"),
-        counter(PURCHASE).alias("purchases"),
-        F.when(bought, order).alias("order"),
-    )
-    removed = F.transform("items", lambda line: item(line["SKU"], F.lit(""), F.lit(0.0)))
-    return actions.select(
-        F.col("event_id").alias("_id"),
-        iso_text(F.col("event_time")).alias("timestamp"),
-        kind.alias("eventType"),
-        F.create_map(
-            F.lit(IDENTITY),
-            F.array(F.struct(F.col("customer_id").alias("id"), F.lit(True).alias("primary"))),
-        ).alias("identityMap"),
-        F.struct(
-            F.when(F.col("platform") == "web", "browser").otherwise("application").alias("type"),
-            literal_map(OPERATING_SYSTEMS)[F.col("platform")].alias("operatingSystem"),
-            F.col("device").alias("deviceCategory"),
-        ).alias("environment"),
-        web.alias("web"),
-        F.when(kind == CART_REMOVAL, removed).when(~page, F.col("items")).alias("productListItems"),
-        F.when(~page, commerce).alias("commerce"),
+    page, bought, removal = (f"event_type = '{kind}'" for kind in (PAGE_VIEW, PURCHASE, CART_REMOVAL))
+
+    def counter(event_type: str) -> str:
+        return f"CASE WHEN event_type = '{event_type}' THEN named_struct('value', 1) END"
+
+    return actions.selectExpr(
+        "event_id AS _id",
+        """concat(date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '+00:00') AS timestamp""",
+        "event_type AS eventType",
+        f"map('{IDENTITY}', array(named_struct('id', customer_id, 'primary', true))) AS identityMap",
+        f"""named_struct(
+            'type', CASE WHEN platform = 'web' THEN 'browser' ELSE 'application' END,
+            'operatingSystem', {map_text(OPERATING_SYSTEMS)}[platform],
+            'deviceCategory', device) AS environment""",
+        f"""named_struct(
+            'webSession', named_struct('ID', session_id),
+            'webPageDetails', CASE WHEN {page} THEN named_struct('name', page_name, 'URL', page_url) END,
+            'webReferrer', CASE WHEN {page} THEN named_struct('URL', referrer_url, 'type', 'external') END
+        ) AS web""",
+        f"""CASE WHEN {removal} THEN transform(items, line -> {item_text('line.SKU', "''", '0.0')})
+            WHEN NOT {page} THEN items END AS productListItems""",
+        f"""CASE WHEN NOT {page} THEN named_struct(
+            'productViews', {counter(PRODUCT_VIEW)},
+            'productListAdds', {counter(CART_ADD)},
+            'productListRemovals', {counter(CART_REMOVAL)},
+            'purchases', {counter(PURCHASE)},
+            'order', CASE WHEN {bought} THEN named_struct(
+                'purchaseID', order_id,
+                'priceTotal', CAST(order_total AS DOUBLE),
+                'currencyCode', '{CURRENCY}',
+                'payments', array(named_struct('paymentType', {payment_text('payment_type')}))) END
+        ) END AS commerce""",
     )
 
 
@@ -119,24 +99,23 @@ def flatten(events: DataFrame) -> DataFrame:
     Absent parts (no customer identity, an empty array, a malformed time) give NULL, so that one
     bad event never fails a job.
     """
-    kind = F.col("eventType")
-    first_item = F.get("productListItems", F.lit(0))
-    return events.select(
-        F.col("_id").alias("event_id"),
-        F.try_to_timestamp("timestamp").alias("event_timestamp"),
-        kind.alias("event_type"),
-        F.col("web.webSession.ID").alias("session_id"),
-        F.get(F.col("identityMap")[IDENTITY], F.lit(0))["id"].alias("customer_id"),
-        flag(kind == PRODUCT_VIEW).alias("is_product_view"),
-        flag(kind == CART_ADD).alias("is_add_to_cart"),
-        flag(kind == PURCHASE).alias("is_purchase"),
-        flag(kind == CART_REMOVAL).alias("is_remove_from_cart"),
-        flag(kind == PAGE_VIEW).alias("is_page_view"),
-        first_item["SKU"].alias("product_id"),
-        first_item["priceTotal"].cast("double").alias("product_price"),
-        first_item["name"].alias("product_name"),
-        F.col("web.webPageDetails.URL").alias("page_url"),
+    first_item = "get(productListItems, 0)"
+    return events.selectExpr(
+        "_id AS event_id",
+        "try_to_timestamp(timestamp) AS event_timestamp",
+        "eventType AS event_type",
+        "web.webSession.ID AS session_id",
+        f"get(identityMap['{IDENTITY}'], 0).id AS customer_id",
+        f"{flag_text(PRODUCT_VIEW)} AS is_product_view",
+        f"{flag_text(CART_ADD)} AS is_add_to_cart",
+        f"{flag_text(PURCHASE)} AS is_purchase",
+        f"{flag_text(CART_REMOVAL)} AS is_remove_from_cart",
+        f"{flag_text(PAGE_VIEW)} AS is_page_view",
+        f"{first_item}.SKU AS product_id",
+        f"CAST({first_item}.priceTotal AS DOUBLE) AS product_price",
+        f"{first_item}.name AS product_name",
+        "web.webPageDetails.URL AS page_url",
         "_ingested_at",
         "_source_file",
-        event_stage(kind).alias("funnel_stage"),
+        f"{stage_text()} AS funnel_stage",
     )

@@ -202,7 +202,7 @@ def journey_metrics(ranked: DataFrame) -> DataFrame:
         (F.col("total_purchases") > 0).alias("ever_converted"),
         percent(F.col("converting_sessions"), F.col("total_sessions")).alias("session_conversion_rate_pct"),
         mean(F.col("total_session_seconds"), F.col("total_sessions"), 1).alias("avg_session_duration_sec"),
-        stage_name(F.col("deepest_funnel_stage_ever")).alias("deepest_funnel_stage_name"),
+        stage_name("deepest_funnel_stage_ever").alias("deepest_funnel_stage_name"),
         *(F.when(known, F.col(f"_first.{name}")).alias(name) for name in FIRST_TOUCH),
         *(F.when(known, F.col(f"_last.{name}")).alias(name) for name in LAST_TOUCH),
         F.when(known, F.col("_first_conversion")).alias("sessions_before_first_conversion"),
@@ -244,5 +244,5 @@ def customer_journey_sessions(ranked: DataFrame) -> DataFrame:
         "days_since_prev_session",
         F.when(known, F.col("_journey_sessions")).alias("customer_total_sessions"),
         F.when(known, F.col("_journey_purchases") > 0).alias("customer_ever_converted"),
-        F.when(known, stage_name(F.col("_journey_stage"))).alias("customer_deepest_stage"),
+        F.when(known, stage_name("_journey_stage")).alias("customer_deepest_stage"),
     )

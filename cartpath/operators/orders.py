@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.functions.measures import total_amount
-from cartpath.operators.events import item, payment_or_default
+from cartpath.operators.events import item_text, payment_text
 from cartpath.operators.skew import HOT_GROUP_ROWS, HotKeys, ordered_context, split_hot
 
 ORDER_KEYS = ("order_id",)
@@ -56,13 +56,13 @@ def order_purchases(lines: DataFrame, hot: HotKeys | None = None, most_items: in
         "customer_unique_id",
         "payment_type",
         "price",
-        item(F.col("product_id"), F.col("product_category_name"), F.col("price")).alias("item"),
+        F.expr(item_text("product_id", "product_category_name", "price")).alias("item"),
     )
     ordinary, oversized = split_hot(described, ORDER_KEYS, hot)
     whole = [
         F.min("customer_unique_id").alias("customer_id"),
         total_amount(F.col("price")).alias("order_total"),
-        payment_or_default(F.min("payment_type")).alias("payment_type"),
+        F.expr(payment_text("min(payment_type)")).alias("payment_type"),
     ]
     items = F.sort_array(F.collect_list(F.struct("item.SKU", "item.priceTotal", "item")))["item"].alias("items")
     bodies = ordinary.groupBy("order_id").agg(F.lit(0).alias("part"), items, *whole)

@@ -58,7 +58,7 @@ def _described(measured: DataFrame) -> DataFrame:
         {
             "session_duration_seconds": seconds_between(F.col("session_start"), F.col("session_end")),
             "converted": F.col("purchases") > 0,
-            "funnel_stage_name": stage_name(F.col("max_funnel_stage_reached")),
+            "funnel_stage_name": stage_name("max_funnel_stage_reached"),
         }
     )
 

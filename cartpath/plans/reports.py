@@ -53,7 +53,7 @@ def session_summary(sessions: DataFrame) -> DataFrame:
 def sessions_by_stage(sessions: DataFrame) -> DataFrame:
     counts = sessions.groupBy("funnel_stage_name").agg(F.count("*").alias("session_count"))
     return _share(counts, "session_count", "pct_of_sessions").orderBy(
-        stage_number(F.col("funnel_stage_name")).desc()
+        stage_number("funnel_stage_name").desc()
     )
 
 

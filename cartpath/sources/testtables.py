@@ -9,8 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpath.functions.stages import CART_ADD, CART_REMOVAL, PAGE_VIEW, PRODUCT_VIEW, PURCHASE, literal_map
-from cartpath.operators.events import item, to_envelope, with_lineage
+from cartpath.functions.stages import CART_ADD, CART_REMOVAL, PAGE_VIEW, PRODUCT_VIEW, PURCHASE, map_text
+from cartpath.operators.events import item_text, to_envelope, with_lineage
+
+# Columns used of each given table. A declared schema saves the job that reads the file footers.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_type string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
 
 # Event type of the given table and the one it stands for.
 EVENT_TYPES = {
@@ -20,85 +36,73 @@ EVENT_TYPES = {
     "error": CART_REMOVAL,
     "purchase": PURCHASE,
 }
-PLATFORMS = ("web", "mobile_ios", "mobile_android")
-DEVICES = ("desktop", "tablet", "mobile")
+PLATFORMS = {0: "web", 1: "mobile_ios", 2: "mobile_android"}
+DEVICES = {0: "desktop", 1: "tablet", 2: "mobile"}
 
 
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    nation = given(spark, folder, "nation").select("n_nationkey", "n_name")
+    nation = given(spark, folder, "nation")
     customer = given(spark, folder, "customer")
-    key = F.col("c_custkey").cast("string")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        key.alias("customer_id"),
-        key.alias("customer_unique_id"),
-        F.col("c_mktsegment").alias("customer_city"),
-        F.col("n_name").alias("customer_state"),
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left").selectExpr(
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "CAST(c_custkey AS STRING) AS customer_unique_id",
+        "c_mktsegment AS customer_city",
+        "n_name AS customer_state",
     )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    return given(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.when(F.col("o_orderstatus") == "F", "delivered").otherwise(F.col("o_orderstatus")).alias("order_status"),
-        F.col("o_orderdate").cast("timestamp").alias("order_purchase_timestamp"),
+    return given(spark, folder, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS order_id",
+        "CAST(o_custkey AS STRING) AS customer_id",
+        "CASE WHEN o_orderstatus = 'F' THEN 'delivered' ELSE o_orderstatus END AS order_status",
+        "CAST(o_orderdate AS TIMESTAMP) AS order_purchase_timestamp",
     )
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    return given(spark, folder, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_extendedprice").alias("price"),
+    return given(spark, folder, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS order_id",
+        "CAST(l_partkey AS STRING) AS product_id",
+        "l_extendedprice AS price",
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    return given(spark, folder, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
+    return given(spark, folder, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS product_id", "p_type AS product_category_name"
     )
 
 
 def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        given(spark, folder, "orders")
-        .where(F.col("o_orderstatus") != "P")
-        .select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_orderpriority").alias("payment_type"),
-        )
-    )
+    paid = given(spark, folder, "orders").where("o_orderstatus != 'P'")
+    return paid.selectExpr("CAST(o_orderkey AS STRING) AS order_id", "o_orderpriority AS payment_type")
 
 
 def actions(spark: SparkSession, folder: str) -> DataFrame:
     """The ``events`` table as one row per action, ready for the envelope."""
-    events = given(spark, folder, "events")
-    brands = given(spark, folder, "part").select(F.col("p_partkey").alias("_part"), F.col("p_brand").alias("_brand"))
-    kind = literal_map(EVENT_TYPES)[F.col("event_type")]
-    page = F.col("event_type") == "click"
-    part = F.when(~page, F.get_json_object("props", "$.k").cast("bigint"))
-    with_part = events.withColumn("_k", part).join(brands, F.col("_k") == F.col("_part"), "left")
-    user = F.col("user_id")
-    return with_part.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        kind.alias("event_type"),
-        F.concat_ws("-", user.cast("string"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        (user * 10 + F.floor((F.dayofmonth("ts") - 1) / 3)).cast("string").alias("customer_id"),
-        F.get(F.array(*map(F.lit, PLATFORMS)), (user % 3).cast("int")).alias("platform"),
-        F.get(F.array(*map(F.lit, DEVICES)), (F.col("event_id") % 3).cast("int")).alias("device"),
-        F.when(page, F.lit("homepage")).alias("page_name"),
-        F.when(page, F.lit("/")).alias("page_url"),
-        F.when(page, F.lit("direct")).alias("referrer_url"),
-        F.when(~page, F.array(item(F.col("_k"), F.col("_brand"), F.col("value")))).alias("items"),
-        F.col("event_id").cast("string").alias("order_id"),
-        F.col("value").alias("order_total"),
-        F.lit(None).cast("string").alias("payment_type"),
+    product = "CASE WHEN event_type != 'click' THEN CAST(get_json_object(props, '$.k') AS BIGINT) END AS product"
+    events = given(spark, folder, "events").selectExpr("*", product)
+    part = given(spark, folder, "part")
+    return events.join(part, events["product"] == part["p_partkey"], "left").selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CAST(ts AS TIMESTAMP) AS event_time",
+        f"{map_text(EVENT_TYPES)}[event_type] AS event_type",
+        "concat_ws('-', user_id, date_format(ts, 'yyyyMMdd')) AS session_id",
+        "CAST(user_id * 10 + (dayofmonth(ts) - 1) div 3 AS STRING) AS customer_id",
+        f"{map_text(PLATFORMS)}[CAST(user_id % 3 AS INT)] AS platform",
+        f"{map_text(DEVICES)}[CAST(event_id % 3 AS INT)] AS device",
+        "CASE WHEN event_type = 'click' THEN 'homepage' END AS page_name",
+        "CASE WHEN event_type = 'click' THEN '/' END AS page_url",
+        "CASE WHEN event_type = 'click' THEN 'direct' END AS referrer_url",
+        f"CASE WHEN event_type != 'click' THEN array({item_text('product', 'p_brand', 'value')}) END AS items",
+        "CAST(event_id AS STRING) AS order_id",
+        "value AS order_total",
+        "CAST(NULL AS STRING) AS payment_type",
     )
 
 
