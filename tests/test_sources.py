@@ -1,0 +1,59 @@
+"""CSV loads, table writes and their history."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cartpath.sources import files, tables
+from cartpath.sources.schemas import retail_files
+
+
+def test_retail_files():
+    named = retail_files("shop_")
+    assert len(named) == 9
+    assert named["shop_order_items_dataset.csv"] == "order_items"
+    assert named["product_category_name_translation.csv"] == "product_category_translation"
+
+
+def test_files_are_loaded_skipped_and_failed_independently(spark, schema, tmp_path):
+    (tmp_path / "shop_customers_dataset.csv").write_text("customer_id,zip\na,1\nb,2\n")
+    (tmp_path / "shop_orders_dataset.csv").write_text("order_id\n1\n")
+    (tmp_path / "shop_products_dataset.csv").write_text("product_id,weight\np,1.5\n")
+    wanted = {f: t for f, t in retail_files("shop_").items() if t in ("customers", "orders", "products", "sellers")}
+    results = files.load_files(spark, str(tmp_path), schema, wanted, {"products": "product_id string, weight string", "orders": "order_id no_such_type"})
+    by_table = {r.table: r for r in results.collect()}
+    assert {t: r.status for t, r in by_table.items()} == {
+        "customers": "loaded",
+        "orders": "failed",
+        "products": "loaded",
+        "sellers": "skipped",
+    }
+    assert by_table["customers"].rows == 2 and by_table["orders"].error
+    assert {r.status: r.files for r in files.load_tally(results).collect()} == {"loaded": 2, "failed": 1, "skipped": 1}
+
+    loaded = tables.scan(spark, f"{schema}.customers")
+    assert loaded.columns == ["customer_id", "zip", "_ingested_at", "_source_file"]
+    assert dict(loaded.dtypes)["zip"] == "int"
+    assert {r._source_file for r in loaded.collect()} == {"shop_customers_dataset.csv"}
+    assert dict(tables.scan(spark, f"{schema}.products").dtypes)["weight"] == "string"
+    counts = {r.table_name: r.row_count for r in tables.table_counts(spark, schema).collect()}
+    assert counts["customers"] == 2 and counts["products"] == 1
+
+
+def test_overwrite_replaces_rows_and_schema_and_is_noted(spark, schema):
+    table = f"{schema}.things"
+    assert tables.write_table(spark.range(5), table) == 5
+    assert tables.write_table(spark.range(3).select(F.col("id").cast("string").alias("name")), table) == 3
+    assert tables.write_table(spark.range(2).select(F.col("id").cast("string").alias("name")), table, "append") == 2
+    assert tables.scan(spark, table).columns == ["name"] and tables.scan(spark, table).count() == 5
+    history = tables.write_history(spark, table).orderBy("version").collect()
+    assert [(r.version, r.operation, r.rows) for r in history] == [(0, "overwrite", 5), (1, "overwrite", 3), (2, "append", 2)]
+
+
+def test_listing_reads_no_contents(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("{}")
+    (tmp_path / "in" / "b.json").write_text("[1]")
+    listed = files.list_files(spark, str(tmp_path / "in"))
+    assert {(r.path.rsplit("/", 1)[-1], r.length) for r in listed.collect()} == {("a.json", 2), ("b.json", 3)}
+    assert "content:" not in listed._jdf.queryExecution().executedPlan().toString()
