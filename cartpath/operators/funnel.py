@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.functions.measures import mean, percent, seconds_between
@@ -85,7 +85,7 @@ def funnel_by_category(flat: DataFrame, products: DataFrame) -> DataFrame:
         .groupBy("session_id", "customer_id", "product_id")
         .agg(F.max("funnel_stage").alias("_stage"))
     )
-    categories = products.select("product_id", "product_category_name")
+    categories = products.groupBy("product_id").agg(F.min("product_category_name").alias("product_category_name"))
     counts = (
         touched.join(categories, "product_id")
         .groupBy("product_category_name", "session_id", "customer_id")

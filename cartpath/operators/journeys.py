@@ -134,11 +134,15 @@ def customer_profiles(customers: DataFrame, orders: DataFrame) -> DataFrame:
     customer ids. Orders are aggregated per customer id first, so the bridge join meets each id
     once; then per person. City and state are those of the customer id with the latest order, the
     smallest id on a tie. An order whose customer is not in ``customers`` counts for its own id.
-    An order id belongs to one customer id, so its distinct counts add up.
+    An order id belongs to one customer id, so its distinct counts add up. Of several rows for one
+    customer id the smallest counts.
     """
     history = customer_orders(orders).withColumnRenamed("customer_id", "_ordering_id")
+    person = F.struct("customer_unique_id", "customer_city", "customer_state")
     bridged = (
-        customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
+        customers.groupBy("customer_id")
+        .agg(F.min(person).alias("_row"))
+        .select("customer_id", "_row.*")
         .join(history, F.col("customer_id") == F.col("_ordering_id"), "full")
         .withColumns(
             {

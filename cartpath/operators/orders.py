@@ -25,16 +25,21 @@ def reference_orders(
     An order paid in two ways gives each of its lines twice; one without payment has a NULL type.
     ``limit`` gives the first so many rows by customer, order, product, category, price and payment.
 
-    The joins on order id come last, so that they and the distinct share one partitioning.
+    Since the result is distinct, every input is made distinct first: copies then combine before
+    their exchange instead of multiplying in a join. The joins on order id come last, so that they
+    and the final distinct share one partitioning.
     """
-    ordered_by = customers.select("customer_id", "customer_unique_id").join(
-        orders.select("order_id", "customer_id"), "customer_id"
+
+    def distinct(table: DataFrame, *columns: str) -> DataFrame:
+        return table.select(*columns).distinct()
+
+    ordered_by = distinct(customers, "customer_id", "customer_unique_id").join(
+        distinct(orders, "order_id", "customer_id"), "customer_id"
     )
-    lines = order_items.select("order_id", "product_id", "price").join(
-        products.select("product_id", "product_category_name"), "product_id"
+    lines = distinct(order_items, "order_id", "product_id", "price").join(
+        distinct(products, "product_id", "product_category_name"), "product_id"
     )
-    # Distinct before the join: a repeated payment must not multiply the lines of its order.
-    paid_by = order_payments.select("order_id", "payment_type").distinct()
+    paid_by = distinct(order_payments, "order_id", "payment_type")
     rows = (
         ordered_by.join(lines, "order_id")
         .join(paid_by, "order_id", "left")

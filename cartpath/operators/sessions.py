@@ -124,6 +124,7 @@ def session_events(flat: DataFrame, hot: HotKeys | None = None) -> DataFrame:
         number="event_sequence_num",
         previous={"prev_event_type": "event_type", "_prev_timestamp": "event_timestamp"},
         hot=hot,
+        ties=True,
     )
     return trail.select(
         "session_id",

@@ -97,12 +97,14 @@ def ordered_context(
     previous: dict[str, str] | None = None,
     totals: dict[str, Column] | None = None,
     hot: HotKeys | None = None,
+    ties: bool = False,
 ) -> DataFrame:
     """Number the rows of each group in order, with values of the row before and of the group.
 
     ``number`` names the 1-based row number, ``previous`` maps new columns to the column whose
     value in the row before they take, and ``totals`` maps new columns to aggregates of the group.
-    The order must be total within a group.
+    ``ties`` says that rows may be equal in keys and order, as copies of one event are; any number
+    of them is cut into chunks like other rows, in an order that is arbitrary but fixed.
     """
     previous, totals = previous or {}, totals or {}
     ordinary, oversized = split_hot(rows, keys, hot)
@@ -116,7 +118,13 @@ def ordered_context(
     )
     if oversized is None:
         return result
-    return result.unionByName(_chunked_context(oversized, keys, order, number, previous, totals, hot))
+    if ties:
+        # A written number per row tells copies apart. Unwritten, it could change when a lost task
+        # is run again, and rows would then be lost or doubled in the exchange behind it.
+        oversized = durable(oversized.withColumn("_tie", F.monotonically_increasing_id()))
+        order = [*order, "_tie"]
+    chunked = _chunked_context(oversized, keys, order, number, previous, totals, hot)
+    return result.unionByName(chunked.drop("_tie"))
 
 
 def _chunked_context(rows, keys, order, number, previous, totals, hot: HotKeys) -> DataFrame:

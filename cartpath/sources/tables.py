@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cartpath.session import durable
+
 HISTORY = "_load_history"
 JDBC_BATCH = 10_000
 
@@ -36,6 +38,48 @@ def write_table(rows: DataFrame, table: str, mode: str = "overwrite", partition_
     return written
 
 
+def _overwrite_partitions(rows: DataFrame, table: str) -> None:
+    """Replace only the partitions that ``rows`` has. ``insertInto`` takes this from the session
+    alone; as a writer option it is ignored and the whole table would be replaced."""
+    conf, key = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)
+
+
+def upsert(changes: DataFrame, table: str, keys: Sequence[str], newest: str, partition: str) -> int:
+    """Insert or update rows of a partitioned table by key; the row with the larger ``newest`` wins.
+
+    Only partitions that hold a changed key, before or after, are read whole and written again.
+    Returns the rows written.
+    """
+    spark = changes.sparkSession
+    current = spark.table(table)
+    columns = current.columns
+    held = current.join(changes.select(*keys).distinct(), list(keys), "left_semi")
+    touched = changes.select(partition).union(held.select(partition)).distinct()
+    # The newest row of a key is an aggregate, which combines any number of copies before its
+    # exchange. A partition that loses its last row has to be dropped, so partitions are listed.
+    merged = (
+        current.join(touched, partition, "left_semi")
+        .unionByName(changes.select(*columns))
+        .groupBy(*keys)
+        .agg(F.max_by(F.struct(*columns), newest).alias("_row"))
+        .select("_row.*")
+    )
+    rows = durable(merged)
+    emptied = durable(touched).join(rows, partition, "left_anti").select(partition)
+    written = rows.count()
+    _overwrite_partitions(rows, table)
+    for row in emptied.toLocalIterator():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = :value)", args={"value": row[0]})
+    note_write(spark, table, "upsert", written)
+    return written
+
+
 def note_write(spark: SparkSession, table: str, operation: str, rows: int | None) -> None:
     """Append one row to the load history of the table's schema."""
     schema, name = table.rsplit(".", 1)

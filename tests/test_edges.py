@@ -240,6 +240,18 @@ def test_two_customer_ids_of_one_person(spark):
     assert journeys.customer_journeys(ranked, customers, placed).count() == 1
 
 
+def test_repeated_rows_do_not_multiply(spark):
+    customers = _customers(spark, [("k", "c1", "A", "S")] * 3 + [("k", "c1", "B", "S")])
+    placed = _orders(spark, [("o1", "k", "delivered", 1)])
+    profile = journeys.customer_profiles(customers, placed).collect()
+    assert [(r.customer_id, r.actual_order_count, r.customer_city) for r in profile] == [("c1", 1, "A")]
+    items = spark.createDataFrame([("o1", "p", 2.5)] * 4, "order_id string, product_id string, price double")
+    products = spark.createDataFrame([("p", "x")] * 2, "product_id string, product_category_name string")
+    payments = spark.createDataFrame([("o1", "card")] * 3, "order_id string, payment_type string")
+    doubled = placed.union(placed)
+    assert orders.reference_orders(customers, doubled, items, products, payments).count() == 1
+
+
 def _order_tables(spark):
     customers = _customers(spark, [("k1", "c1", "", "")])
     placed = _orders(spark, [("o1", "k1", "delivered", 1), ("o2", "k1", "delivered", 2)])

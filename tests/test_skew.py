@@ -98,7 +98,19 @@ def test_journeys_of_hot_customers(spark, flat):
     assert texts(journeys.customer_journey_sessions(split)) == texts(journeys.customer_journey_sessions(plain))
 
 
-def test_gap_and_size_bounds(flat):
+def test_copies_of_one_event_are_cut_into_chunks(spark):
+    made = [event("copy", "01T10:00:00", "view")] * 80 + [event(f"e{i}", f"01T09:00:{i:02d}", "page") for i in range(9)]
+    rows = flat_events(spark, made)
+    hot = skew.hot_keys(rows, sessions.TRAIL_KEYS, 10)
+    trail = sessions.session_events(rows, hot)
+    assert texts(trail) == texts(sessions.session_events(rows))
+    tied = skew.ordered_context(
+        rows.select("session_id", "event_id"), ["session_id"], ["event_id"], number="n", hot=hot, ties=True
+    )
+    assert sorted(r.n for r in tied.collect()) == list(range(1, 90))
+
+
+def test_size_from_the_session_table(flat):
     made = sessions.session_measures(flat)
     by_rows = skew.hot_keys(flat, sessions.TRAIL_KEYS, 50)
     by_sessions = skew.hot_keys(made, sessions.TRAIL_KEYS, 50, F.sum("total_events"))

@@ -57,3 +57,31 @@ def test_listing_reads_no_contents(spark, tmp_path):
     listed = files.list_files(spark, str(tmp_path / "in"))
     assert {(r.path.rsplit("/", 1)[-1], r.length) for r in listed.collect()} == {("a.json", 2), ("b.json", 3)}
     assert "content:" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, schema):
+    table = f"{schema}.daily"
+    columns = "id string, amount int, seen int, day string"
+    tables.write_table(
+        spark.createDataFrame(
+            [("a", 1, 1, "d1"), ("b", 1, 1, "d1"), ("c", 1, 1, "d2"), ("d", 1, 1, "d3"), ("e", 1, 9, "d4")], columns
+        ),
+        table,
+        partition_by=("day",),
+    )
+    untouched = {f for f in spark.table(table).inputFiles() if "day=d3" in f}
+    changes = spark.createDataFrame(
+        [("a", 2, 2, "d1"), ("c", 2, 2, "d5"), ("c", 3, 3, "d5"), ("new", 2, 2, "d1"), ("e", 2, 2, "d4")], columns
+    )
+    tables.upsert(changes, table, ["id"], "seen", "day")
+    found = sorted(tuple(r) for r in spark.table(table).collect())
+    assert found == [
+        ("a", 2, 2, "d1"),
+        ("b", 1, 1, "d1"),
+        ("c", 3, 3, "d5"),
+        ("d", 1, 1, "d3"),
+        ("e", 1, 9, "d4"),
+        ("new", 2, 2, "d1"),
+    ]
+    assert {f for f in spark.table(table).inputFiles() if "day=d3" in f} == untouched
+    assert tables.write_history(spark, table).count() == 2
