@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.functions.measures import total_amount
+from cartpath.functions.stages import PURCHASE
 from cartpath.operators.events import item_text, payment_text
 from cartpath.operators.skew import HOT_GROUP_ROWS, HotKeys, ordered_context, split_hot
 
@@ -83,3 +84,31 @@ def order_purchases(lines: DataFrame, hot: HotKeys | None = None, most_items: in
         totals = oversized.groupBy("order_id").agg(*whole)
         bodies = bodies.unionByName(parts.join(totals, "order_id"))
     return bodies.select("order_id", "customer_id", "part", "items", "order_total", "payment_type")
+
+
+def purchase_actions(
+    bodies: DataFrame, event_time: Column | None = None, platform: str = "web", device: str = "desktop"
+) -> DataFrame:
+    """Purchase bodies as actions for :func:`cartpath.operators.events.to_envelope`.
+
+    Event and session ids are digests of the order, so that a task that runs again makes the same
+    events, which random ids would not.
+    """
+    event_time = F.current_timestamp() if event_time is None else event_time
+    absent = "CAST(NULL AS STRING)"
+    return bodies.withColumn("event_time", event_time).selectExpr(
+        "sha2(concat_ws('-', order_id, part), 256) AS event_id",
+        "event_time",
+        f"'{PURCHASE}' AS event_type",
+        "sha2(concat_ws('-', 'session', order_id), 256) AS session_id",
+        "customer_id",
+        f"'{platform}' AS platform",
+        f"'{device}' AS device",
+        f"{absent} AS page_name",
+        f"{absent} AS page_url",
+        f"{absent} AS referrer_url",
+        "items",
+        "order_id",
+        "order_total",
+        "payment_type",
+    )

@@ -373,6 +373,19 @@ def oracle_sql() -> dict[str, str]:
                 COALESCE(NULLIF(MIN(payment_type), ''), 'credit_card') AS payment_type
             FROM lines GROUP BY order_id""",
         ),
+        "order_purchase_events": _with(
+            (_LINES,),
+            """SELECT sha256(order_id || '-0') AS event_id,
+                '2024-01-31T00:00:00.000000+00:00' AS timestamp,
+                sha256('session-' || order_id) AS session_id,
+                CAST(COUNT(*) AS INTEGER) AS item_count,
+                first(product_id ORDER BY product_id, price) AS first_sku,
+                first(price ORDER BY product_id, price) AS first_price,
+                order_id AS purchase_id,
+                CAST(SUM(CAST(price AS DECIMAL(18, 2))) AS DOUBLE) AS order_total,
+                COALESCE(NULLIF(MIN(payment_type), ''), 'credit_card') AS payment_type
+            FROM lines GROUP BY order_id""",
+        ),
         "table_counts": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {name}"
             for name in ("customer", "orders", "lineitem", "part", "supplier", "nation", "events")

@@ -122,11 +122,30 @@ def _topic_decode(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _order_purchases(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _reference_orders(spark, folder)
+def _bodies(spark: SparkSession, folder: str) -> DataFrame:
     hot = hot_keys(given.order_items(spark, folder), orders.ORDER_KEYS)
-    bodies = orders.order_purchases(lines, hot)
-    return bodies.select(
+    return orders.order_purchases(_reference_orders(spark, folder), hot)
+
+
+def _order_purchase_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchase events with whole carts, as the envelope holds them."""
+    made = event_ops.to_envelope(orders.purchase_actions(_bodies(spark, folder), F.lit("2024-01-31").cast("timestamp")))
+    order = F.col("commerce.order")
+    return made.select(
+        F.col("_id").alias("event_id"),
+        "timestamp",
+        F.col("web.webSession.ID").alias("session_id"),
+        F.size("productListItems").alias("item_count"),
+        F.get("productListItems", F.lit(0))["SKU"].alias("first_sku"),
+        F.get("productListItems", F.lit(0))["priceTotal"].alias("first_price"),
+        order["purchaseID"].alias("purchase_id"),
+        order["priceTotal"].alias("order_total"),
+        F.get(order["payments"], F.lit(0))["paymentType"].alias("payment_type"),
+    )
+
+
+def _order_purchases(spark: SparkSession, folder: str) -> DataFrame:
+    return _bodies(spark, folder).select(
         "order_id",
         "customer_id",
         "part",
@@ -217,6 +236,7 @@ def queries() -> dict[str, Query]:
         "engagement_segments": lambda s, d: reports.engagement_segments(_metrics(s, d)),
         "reference_orders": _reference_orders,
         "order_purchases": _order_purchases,
+        "order_purchase_events": _order_purchase_events,
         "table_counts": _table_counts,
         "csv_roundtrip": _csv_roundtrip,
         "event_stream_ingest": _event_stream_ingest,

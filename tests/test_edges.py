@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sample import as_dicts, event, flat_events
 
 from cartpath.operators import funnel, journeys, orders, sessions
-from cartpath.operators.events import cart_total, without_product
+from cartpath.operators.events import cart_total, flatten, to_envelope, with_lineage, without_product
 from cartpath.plans import reports
 
 
@@ -288,6 +288,20 @@ def test_purchase_bodies(spark):
     assert bodies["o2"]["customer_id"] == "c1"
 
 
+def test_purchase_events_carry_the_whole_cart(spark):
+    bodies = orders.order_purchases(orders.reference_orders(*_order_tables(spark)))
+    made = to_envelope(orders.purchase_actions(bodies))
+    o1 = made.where("commerce.order.purchaseID = 'o1'").select(
+        "*", cart_total(F.col("productListItems")).alias("cart"), F.size("productListItems").alias("n")
+    ).first()
+    assert (o1.cart, o1.n, o1.commerce.order.priceTotal) == (7.0, 4, 7.0)
+    assert o1.commerce.order.payments[0].paymentType == "boleto" and o1.commerce.purchases.value == 1
+    assert o1.environment.operatingSystem == "Windows" and o1.web.webPageDetails is None
+    flat = flatten(with_lineage(made, F.lit("orders")))
+    assert {r.product_id: r.session_revenue for r in sessions.session_measures(flat).join(
+        flat.select("session_id", "product_id"), "session_id").collect()} == {"p": 2.5, "q": 1.0}
+
+
 def test_cart_expressions(spark):
     cart = spark.sql("SELECT array(named_struct('SKU','a','priceTotal',1.5D), named_struct('SKU','b','priceTotal',2.0D)) AS items")
     row = cart.select(
