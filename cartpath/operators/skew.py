@@ -47,16 +47,24 @@ class HotKeys:
 
 
 def hot_keys(
-    rows: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS, size: Column | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    limit: int = HOT_GROUP_ROWS,
+    size: Column | None = None,
+    source: DataFrame | None = None,
 ) -> HotKeys | None:
     """Keys of the groups with more than ``limit`` rows, or None where there is no such group.
 
     ``size`` is the aggregate that gives a group's rows, their count if left out; it may be an upper
-    bound, since the way of the hot groups is exact for any group.
+    bound, since the way of the hot groups is exact for any group. ``source`` is a table that has
+    at least as many rows and is counted from file footers: no group exceeds a limit that the whole
+    table does not.
     At most ``BROADCAST_KEYS`` + 1 keys reach the driver. Since every hot key stands for more than
     ``limit`` rows, more keys than that only occur in very large tables; then the whole set is
     checkpointed and joined without a broadcast.
     """
+    if source is not None and source.count() <= limit:
+        return None
     size = F.count(F.lit(1)) if size is None else size
     counted = rows.groupBy(*keys).agg(size.alias("_rows")).where(F.col("_rows") > limit)
     found = counted.limit(BROADCAST_KEYS + 1).collect()

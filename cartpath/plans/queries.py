@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cartpath.operators import events as event_ops
 from cartpath.operators import funnel, journeys, orders, sessions
-from cartpath.operators.skew import hot_keys
+from cartpath.operators.skew import HotKeys, hot_keys
 from cartpath.plans import reports
 from cartpath.session import configure, work_path
 from cartpath.sources import files, tables, topics
@@ -45,9 +45,12 @@ def _flat(spark: SparkSession, folder: str) -> DataFrame:
     return event_ops.flatten(given.bronze_events(spark, folder))
 
 
+def _hot(spark: SparkSession, folder: str, keys: tuple[str, ...]) -> HotKeys | None:
+    return hot_keys(_flat(spark, folder), keys, source=given.given(spark, folder, "events"))
+
+
 def _sessions(spark: SparkSession, folder: str) -> DataFrame:
-    flat = _flat(spark, folder)
-    return sessions.sessions(flat, hot_keys(flat, sessions.SESSION_KEYS))
+    return sessions.sessions(_flat(spark, folder), _hot(spark, folder, sessions.SESSION_KEYS))
 
 
 def _measured(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,14 +59,12 @@ def _measured(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _trail(spark: SparkSession, folder: str) -> DataFrame:
-    flat = _flat(spark, folder)
-    return sessions.session_events(flat, hot_keys(flat, sessions.TRAIL_KEYS))
+    return sessions.session_events(_flat(spark, folder), _hot(spark, folder, sessions.TRAIL_KEYS))
 
 
 def _ranked(spark: SparkSession, folder: str) -> DataFrame:
     # A customer has no more sessions than events, so the count of events finds every hot customer.
-    hot = hot_keys(_flat(spark, folder), journeys.CUSTOMER_KEYS)
-    return journeys.ranked_sessions(_measured(spark, folder), hot)
+    return journeys.ranked_sessions(_measured(spark, folder), _hot(spark, folder, journeys.CUSTOMER_KEYS))
 
 
 def _metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,7 +124,8 @@ def _topic_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bodies(spark: SparkSession, folder: str) -> DataFrame:
-    hot = hot_keys(given.order_items(spark, folder), orders.ORDER_KEYS)
+    items = given.order_items(spark, folder)
+    hot = hot_keys(items, orders.ORDER_KEYS, source=items)
     return orders.order_purchases(_reference_orders(spark, folder), hot)
 
 

@@ -41,6 +41,8 @@ def test_hot_keys_are_those_over_the_limit(flat):
     assert {r.session_id for r in hot.frame.collect()} == {"hot", None}
     assert hot.few and hot.chunks >= 2
     assert skew.hot_keys(flat, ["session_id"], 600) is None
+    assert skew.hot_keys(flat, ["session_id"], 600, source=flat) is None
+    assert skew.hot_keys(flat, ["session_id"], 100, source=flat).frame.count() == 2
 
 
 def test_trail_of_hot_sessions(flat):
