@@ -31,7 +31,7 @@ MOST_CHUNKS = 20_000
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys of oversized groups with their row counts (column ``_rows``)."""
+    """Digests of the keys of oversized groups (``_digest``), with their rows (``_rows``)."""
 
     frame: DataFrame
     few: bool
@@ -59,14 +59,16 @@ def hot_keys(
     bound, since the way of the hot groups is exact for any group. ``source`` is a table that has
     at least as many rows and is counted from file footers: no group exceeds a limit that the whole
     table does not.
-    At most ``BROADCAST_KEYS`` + 1 keys reach the driver. Since every hot key stands for more than
-    ``limit`` rows, more keys than that only occur in very large tables; then the whole set is
-    checkpointed and joined without a broadcast.
+    Keys are counted by a digest, which keeps what is exchanged small and treats NULL as a key. Two
+    keys with one digest only make a group hot that need not be. At most ``BROADCAST_KEYS`` + 1
+    digests reach the driver. Since every one stands for more than ``limit`` rows, more than that
+    only occur in very large tables; then the whole set is checkpointed and joined without a
+    broadcast.
     """
     if source is not None and source.count() <= limit:
         return None
     size = F.count(F.lit(1)) if size is None else size
-    counted = rows.groupBy(*keys).agg(size.alias("_rows")).where(F.col("_rows") > limit)
+    counted = rows.groupBy(_digest(keys)).agg(size.alias("_rows")).where(F.col("_rows") > limit)
     found = counted.limit(BROADCAST_KEYS + 1).collect()
     if not found:
         return None
@@ -77,13 +79,8 @@ def hot_keys(
     return HotKeys(frame, False, frame.agg(F.sum("_rows")).first()[0], limit)
 
 
-def _on(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
-    """Equality of the keys with NULL equal to NULL, as in grouping."""
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[f"_{k}"]) for k in keys))
-
-
-def _prefixed(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return frame.withColumnsRenamed({k: f"_{k}" for k in keys})
+def _digest(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys).alias("_digest")
 
 
 def split_hot(
@@ -92,8 +89,17 @@ def split_hot(
     """The rows of ordinary groups, and those of hot groups (None if there are none)."""
     if hot is None:
         return rows, None
-    side = _prefixed(hot.side().drop("_rows"), keys)
-    return rows.join(side, _on(keys, rows, side), "left_anti"), rows.join(side, _on(keys, rows, side), "left_semi")
+    marked, side = rows.select("*", _digest(keys)), hot.side().select("_digest")
+    return tuple(marked.join(side, "_digest", how).drop("_digest") for how in ("left_anti", "left_semi"))
+
+
+def _on(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
+    """Equality of the keys with NULL equal to NULL, as in grouping."""
+    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[f"_{k}"]) for k in keys))
+
+
+def _prefixed(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return frame.withColumnsRenamed({k: f"_{k}" for k in keys})
 
 
 def ordered_context(

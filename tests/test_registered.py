@@ -11,7 +11,7 @@ QUERIES = driver.queries()
 SQL = driver.oracle_sql()
 
 
-@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
+@pytest.fixture(scope="module", params=["sf0.01"])
 def scale(request):
     folder = f"/root/testdata/{request.param}"
     return folder, oracle(folder)

@@ -38,7 +38,10 @@ def texts(rows):
 
 def test_hot_keys_are_those_over_the_limit(flat):
     hot = skew.hot_keys(flat, ["session_id"], 100)
-    assert {r.session_id for r in hot.frame.collect()} == {"hot", None}
+    ordinary, oversized = skew.split_hot(flat, ["session_id"], hot)
+    assert {r.session_id for r in oversized.select("session_id").distinct().collect()} == {"hot", None}
+    assert ordinary.where("session_id IS NULL OR session_id = 'hot'").count() == 0
+    assert ordinary.count() + oversized.count() == flat.count()
     assert hot.few and hot.chunks >= 2
     assert skew.hot_keys(flat, ["session_id"], 600) is None
     assert skew.hot_keys(flat, ["session_id"], 600, source=flat) is None
@@ -80,7 +83,8 @@ def test_sessions_over_the_limit_keep_their_products_in_the_trail(flat):
     assert split.dtypes == plain.dtypes
     assert texts(split.drop(sessions.PRODUCT_LIST)) == texts(plain.drop(sessions.PRODUCT_LIST))
     unlisted = {(r.session_id, r.customer_id) for r in split.where("products_interacted IS NULL").collect()}
-    assert unlisted == {(r.session_id, r.customer_id) for r in hot.frame.collect()}
+    sizes = flat.groupBy(*sessions.SESSION_KEYS).count().where("count > 20").collect()
+    assert unlisted == {(r.session_id, r.customer_id) for r in sizes} and unlisted
     listed = {(r.session_id, r.customer_id): r.products_interacted for r in plain.collect()}
     rows = sessions.interacted_products(sessions.session_events(flat)).orderBy("event_sequence_num").collect()
     as_rows = {}
