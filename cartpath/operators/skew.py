@@ -46,27 +46,31 @@ class HotKeys:
         return max(2, min(MOST_CHUNKS, ceil(self.total_rows / self.limit)))
 
 
+def within_limit(table: DataFrame, limit: int = HOT_GROUP_ROWS) -> bool:
+    """Whether a whole table has no more rows than one group may have.
+
+    On a plain scan this is a count from file footers, and saves looking for hot keys.
+    """
+    return table.count() <= limit
+
+
 def hot_keys(
     rows: DataFrame,
     keys: Sequence[str],
     limit: int = HOT_GROUP_ROWS,
     size: Column | None = None,
-    source: DataFrame | None = None,
 ) -> HotKeys | None:
     """Keys of the groups with more than ``limit`` rows, or None where there is no such group.
 
     ``size`` is the aggregate that gives a group's rows, their count if left out; it may be an upper
-    bound, since the way of the hot groups is exact for any group. ``source`` is a table that has
-    at least as many rows and is counted from file footers: no group exceeds a limit that the whole
-    table does not.
+    bound, since the way of the hot groups is exact for any group.
+
     Keys are counted by a digest, which keeps what is exchanged small and treats NULL as a key. Two
     keys with one digest only make a group hot that need not be. At most ``BROADCAST_KEYS`` + 1
     digests reach the driver. Since every one stands for more than ``limit`` rows, more than that
     only occur in very large tables; then the whole set is checkpointed and joined without a
     broadcast.
     """
-    if source is not None and source.count() <= limit:
-        return None
     size = F.count(F.lit(1)) if size is None else size
     counted = rows.groupBy(_digest(keys)).agg(size.alias("_rows")).where(F.col("_rows") > limit)
     found = counted.limit(BROADCAST_KEYS + 1).collect()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpath.operators.events import flatten
@@ -16,7 +16,7 @@ from cartpath.operators.journeys import (
     ranked_sessions,
 )
 from cartpath.operators.sessions import SESSION_KEYS, TRAIL_KEYS, session_events, sessions
-from cartpath.operators.skew import HOT_GROUP_ROWS, hot_keys
+from cartpath.operators.skew import HOT_GROUP_ROWS, HotKeys, hot_keys, within_limit
 from cartpath.plans import reports
 from cartpath.sources.tables import ensure_schema, scan, write_table
 
@@ -37,15 +37,20 @@ class Publisher:
     def _silver(self, name: str) -> DataFrame:
         return scan(self.spark, f"{self.silver}.{name}")
 
+    def _hot(self, rows: DataFrame, keys: tuple[str, ...], size: Column | None = None) -> HotKeys | None:
+        if within_limit(self._bronze("events"), self.hot_rows):
+            return None
+        return hot_keys(rows, keys, self.hot_rows, size)
+
     def sessions(self) -> dict[str, int]:
         """``sessions`` and ``session_events``. Each scans only the event fields it needs, which at
         scale is cheaper than keeping the flattened events for both."""
         ensure_schema(self.spark, self.silver)
         flat = flatten(self._bronze("events"))
-        by_session = hot_keys(flat, SESSION_KEYS, self.hot_rows)
+        by_session = self._hot(flat, SESSION_KEYS)
         summarised = write_table(sessions(flat, by_session), f"{self.silver}.sessions")
         # The session table knows the size of every trail, so the events need no second count.
-        by_trail = hot_keys(self._silver("sessions"), TRAIL_KEYS, self.hot_rows, F.sum("total_events"))
+        by_trail = self._hot(self._silver("sessions"), TRAIL_KEYS, F.sum("total_events"))
         return {
             "sessions": summarised,
             "session_events": write_table(session_events(flat, by_trail), f"{self.silver}.session_events"),
@@ -63,7 +68,7 @@ class Publisher:
     def journeys(self) -> dict[str, int]:
         """``customer_journeys`` and ``customer_journey_sessions``."""
         all_sessions = self._silver("sessions")
-        ranked = ranked_sessions(all_sessions, hot_keys(all_sessions, CUSTOMER_KEYS, self.hot_rows))
+        ranked = ranked_sessions(all_sessions, self._hot(all_sessions, CUSTOMER_KEYS))
         journeys = customer_journeys(ranked, self._bronze("customers"), self._bronze("orders"))
         return {
             "customer_journeys": write_table(journeys, f"{self.silver}.customer_journeys"),

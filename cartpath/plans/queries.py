@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cartpath.operators import events as event_ops
 from cartpath.operators import funnel, journeys, orders, sessions
-from cartpath.operators.skew import HotKeys, hot_keys
+from cartpath.operators.skew import HotKeys, hot_keys, within_limit
 from cartpath.plans import reports
 from cartpath.session import configure, work_path
 from cartpath.sources import files, tables, topics
@@ -46,7 +46,9 @@ def _flat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hot(spark: SparkSession, folder: str, keys: tuple[str, ...]) -> HotKeys | None:
-    return hot_keys(_flat(spark, folder), keys, source=given.given(spark, folder, "events"))
+    if within_limit(given.given(spark, folder, "events")):
+        return None
+    return hot_keys(_flat(spark, folder), keys)
 
 
 def _sessions(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,6 +73,11 @@ def _metrics(spark: SparkSession, folder: str) -> DataFrame:
     return journeys.journey_metrics(_ranked(spark, folder))
 
 
+def _unranked_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Journeys for the reports that read no rank, for which the window is pruned away."""
+    return journeys.journey_metrics(journeys.ranked_sessions(_measured(spark, folder)))
+
+
 def _journeys(spark: SparkSession, folder: str) -> DataFrame:
     return journeys.customer_journeys(
         _ranked(spark, folder), given.customers(spark, folder), given.orders(spark, folder)
@@ -125,7 +132,7 @@ def _topic_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 def _bodies(spark: SparkSession, folder: str) -> DataFrame:
     items = given.order_items(spark, folder)
-    hot = hot_keys(items, orders.ORDER_KEYS, source=items)
+    hot = None if within_limit(items) else hot_keys(items, orders.ORDER_KEYS)
     return orders.order_purchases(_reference_orders(spark, folder), hot)
 
 
@@ -232,10 +239,10 @@ def queries() -> dict[str, Query]:
         "customer_orders": lambda s, d: journeys.customer_orders(given.orders(s, d)),
         "customer_journeys": _journeys,
         "customer_journey_sessions": lambda s, d: journeys.customer_journey_sessions(_ranked(s, d)),
-        "engagement_summary": lambda s, d: reports.engagement_summary(_metrics(s, d)),
+        "engagement_summary": lambda s, d: reports.engagement_summary(_unranked_metrics(s, d)),
         "conversion_sessions": lambda s, d: reports.conversion_sessions(_metrics(s, d)),
         "first_touch_distribution": lambda s, d: reports.first_touch_distribution(_metrics(s, d)),
-        "engagement_segments": lambda s, d: reports.engagement_segments(_metrics(s, d)),
+        "engagement_segments": lambda s, d: reports.engagement_segments(_unranked_metrics(s, d)),
         "reference_orders": _reference_orders,
         "order_purchases": _order_purchases,
         "order_purchase_events": _order_purchase_events,

@@ -75,5 +75,5 @@ def test_reports_on_customers_skip_ranking_and_profiles_they_do_not_read(spark,
     made = journeys.customer_journeys(
         journeys.ranked_sessions(tables[1]), given.customers(spark, folder), given.orders(spark, folder)
     )
-    segments = plan(reports.engagement_segments(made))
-    assert "Window" not in segments and "Join" not in segments
+    for report in (reports.engagement_segments, reports.engagement_summary):
+        assert "Window" not in plan(report(made)) and "Join" not in plan(report(made))
