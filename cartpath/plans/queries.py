@@ -188,11 +188,11 @@ def _event_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages, as files that stand for the topic, decoded into batches of event files."""
+    """Messages, as files that stand for the topic, streamed into batches of event files."""
     work = work_path(spark, "batches")
     topics.encode_events(given.bronze_events(spark, folder)).write.parquet(f"{work}/topic")
     messages = spark.readStream.schema("key binary, value binary").parquet(f"{work}/topic")
-    ingest.batch_events(topics.decode_events(messages), f"{work}/events", f"{work}/checkpoint", EVENTS_PER_FILE)
+    ingest.batch_events(messages, f"{work}/events", f"{work}/checkpoint", EVENTS_PER_FILE)
     written = spark.read.schema(ingest.LANDING_DDL).option("recursiveFileLookup", True).json(f"{work}/events")
     return written.select(
         F.col("_id").alias("event_id"),

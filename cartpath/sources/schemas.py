@@ -31,7 +31,6 @@ def ddl(fields: dict[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
 
 
-EVENT_DDL = ddl(EVENT_FIELDS)
 LANDING_DDL = ddl({**EVENT_FIELDS, CORRUPT: "string"})
 
 # The retail tables, each loaded from <prefix><table>_dataset.csv, but for one file

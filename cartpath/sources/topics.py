@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpath.sources.schemas import EVENT_DDL, EVENT_FIELDS
+from cartpath.sources.schemas import CORRUPT, EVENT_FIELDS, LANDING_DDL
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -22,8 +22,12 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) ->
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
-    """Nested events from the JSON text in ``value``. A message that is no event gives NULLs."""
-    parsed = F.from_json(F.col("value").cast("string"), EVENT_DDL)
+    """Nested events from the JSON text in ``value``.
+
+    A message that cannot be parsed gives NULLs, with its text in ``_corrupt_record``, so that
+    ingesting the result puts it into quarantine.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), LANDING_DDL, {"columnNameOfCorruptRecord": CORRUPT})
     return messages.select(parsed.alias("event")).select("event.*")
 
 

@@ -12,6 +12,8 @@ from cartpath.sources.schemas import CORRUPT, LANDING_DDL
 # Fixed value: events per landing file. It is a parameter below: large streams want larger files.
 EVENTS_PER_FILE = 100
 FILES_PER_BATCH = 1_000
+# Without it, a file that arrives with a time more than a week older than the newest is left out.
+OLDEST_FILE = "36500d"
 
 LANDING = "events_landing"
 EVENTS = "events"
@@ -29,7 +31,7 @@ def event_stream(
     """New event files of a folder as a stream with lineage.
 
     ``multi_line`` reads files that hold a JSON array, each file in one task. Files of one event
-    per line, as :func:`write_event_files` gives them, are read with ``multi_line=False`` and split
+    per line, as the functions below give them, are read with ``multi_line=False`` and split
     over tasks however large one is. Text that cannot be parsed is kept in ``_corrupt_record``.
     """
     files = (
@@ -38,6 +40,7 @@ def event_stream(
         .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", OLDEST_FILE)
         .option("recursiveFileLookup", True)
         .load(folder)
     )
@@ -96,18 +99,23 @@ def write_event_files(events: DataFrame, folder: str, per_file: int = EVENTS_PER
     events.write.mode("overwrite").option("maxRecordsPerFile", per_file).json(folder)
 
 
-def batch_events(stream: DataFrame, folder: str, checkpoint: str, per_file: int = EVENTS_PER_FILE) -> None:
-    """Write a stream of events to files, also the last ones that fill no whole file.
+def batch_events(messages: DataFrame, folder: str, checkpoint: str, per_file: int = EVENTS_PER_FILE) -> None:
+    """Write a stream of messages to event files, also the last ones that fill no whole file.
 
-    Each micro-batch has its own folder, which a repeated batch overwrites, so that no event is
-    lost or doubled by a restart.
+    The text of each message is kept as it is, on one line: line breaks only occur between the
+    tokens of a JSON text. Nothing is parsed here; :func:`event_stream` does that once and
+    quarantines what is no event. Each micro-batch has its own folder, which a repeated batch
+    overwrites, so that no message is lost or doubled by a restart.
     """
+    text = F.regexp_replace(F.col("value").cast("string"), r"[\r\n]+", " ")
+    lines = messages.where(F.col("value").isNotNull()).select(text.alias("value"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_event_files(batch, f"{folder}/batch-{batch_id:010d}", per_file)
+        writer = batch.write.mode("overwrite").option("maxRecordsPerFile", per_file)
+        writer.text(f"{folder}/batch-{batch_id:010d}")
 
     finish(
-        stream.writeStream.foreachBatch(write)
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from sample import event
 
-from cartpath.operators.events import flatten
+from cartpath.operators.events import flatten, with_lineage
 from cartpath.sources.schemas import LANDING_DDL
-from cartpath.sources.topics import decode_events, encode_events
+from cartpath.sources.topics import decode_events
 from cartpath.streaming import ingest
 
 
@@ -65,27 +67,54 @@ def test_stream_failures_are_raised(spark, schema, tmp_path):
         ingest.ingest_events(failing, schema, str(tmp_path / "checkpoint"))
 
 
-def test_topic_messages_to_files_of_at_most_100_events(spark, tmp_path):
-    made = [event(f"e{i:03d}", "01T10:00:00", "view", items=[("p", 1.0)]) for i in range(250)]
-    texts = spark.createDataFrame([(json.dumps(e),) for e in made], "value string").coalesce(1)
+def test_an_old_file_that_arrives_late_is_read(spark, schema, tmp_path):
+    folder, checkpoint = tmp_path / "events", str(tmp_path / "checkpoint")
+    for name, id, time in (("new.json", "1", None), ("late.json", "2", 1_000_000_000)):
+        land(folder, name, [event(id, "01T10:00:00", "page")])
+        if time:
+            os.utime(folder / name, (time, time))
+        ingest.ingest_events(ingest.event_stream(spark, str(folder)), schema, checkpoint)
+    assert names(spark.table(f"{schema}.events")) == ["1", "2"]
+
+
+def test_topic_messages_to_files_of_at_most_100_events(spark, schema, tmp_path):
+    made = [event(f"e{i:03d}", "01T10:00:00", "view", items=[("p", 1.0)], extra=i) for i in range(248)]
+    texts = [json.dumps(e) for e in made[:200]] + [json.dumps(e, indent=2) for e in made[200:]]
+    texts += ["this is\nno event", '{"also": "none"}']
     topic, out, checkpoint = (str(tmp_path / n) for n in ("topic", "out", "checkpoint"))
-    encode_events(decode_events(texts)).write.parquet(topic)
+
+    def send(messages):
+        rows = spark.createDataFrame([(m,) for m in messages], "value string").coalesce(1)
+        rows.select(F.encode("value", "UTF-8").alias("value")).write.mode("append").parquet(topic)
 
     def run():
-        messages = spark.readStream.schema("key binary, value binary").parquet(topic)
-        ingest.batch_events(decode_events(messages), out, checkpoint)
+        ingest.batch_events(spark.readStream.schema("value binary").parquet(topic), out, checkpoint)
+        return [f.read_text().splitlines() for f in Path(out).rglob("*.txt")]
+
+    send(texts)
+    files = run()
+    assert sorted(map(len, files)) == [50, 100, 100]
+    assert {json.loads(line)["extra"] for f in files for line in f if "extra" in line} == set(range(248))
+    assert sum(map(len, run())) == 250
+    send([json.dumps(event("last", "01T10:00:00", "page")), None])
+    assert sum(map(len, run())) == 251
 
-    run()
-    sizes = [len(f.read_text().splitlines()) for f in Path(out).rglob("*.json")]
-    assert sorted(sizes) == [50, 100, 100]
-    run()
-    back = spark.read.schema(LANDING_DDL).option("recursiveFileLookup", True).json(out)
-    assert names(back) == [e["_id"] for e in made]
-    encode_events(decode_events(texts).limit(1)).write.mode("append").parquet(topic)
-    run()
-    assert back.sparkSession.read.option("recursiveFileLookup", True).json(out).count() == 251
+    ingest.ingest_events(ingest.event_stream(spark, out, multi_line=False), schema, str(tmp_path / "cp2"))
+    assert names(spark.table(f"{schema}.events")) == [e["_id"] for e in made] + ["last"]
+    rejected = spark.table(f"{schema}.events_quarantine").collect()
+    assert sorted(map(str, (r._corrupt_record for r in rejected))) == ["None", "this is no event"]
 
 
-def test_undecodable_message_gives_nulls(spark):
+def test_undecodable_message_keeps_its_text(spark):
     row = decode_events(spark.createDataFrame([("no json",)], "value string")).first()
-    assert row._id is None and row.web is None
+    assert row._id is None and row.web is None and row._corrupt_record == "no json"
+
+
+def test_topic_straight_into_bronze(spark, schema, tmp_path):
+    sent = spark.createDataFrame([(json.dumps(event("1", "01T10:00:00", "buy")),), ("garbage",)], "value string")
+    sent.write.parquet(str(tmp_path / "topic"))
+    messages = spark.readStream.schema("value string").parquet(str(tmp_path / "topic"))
+    stream = with_lineage(decode_events(messages), F.lit("topic"))
+    ingest.ingest_events(stream, schema, str(tmp_path / "checkpoint"))
+    assert names(spark.table(f"{schema}.events")) == ["1"]
+    assert [r._corrupt_record for r in spark.table(f"{schema}.events_quarantine").collect()] == ["garbage"]
