@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from cartpath.operators import funnel, journeys, sessions
+from cartpath.operators import funnel, journeys, orders, sessions
 from cartpath.operators.events import flatten
 from cartpath.plans import reports
 from cartpath.sources import testtables as given
@@ -77,3 +77,11 @@ def test_reports_on_customers_skip_ranking_and_profiles_they_do_not_read(spark,
     )
     for report in (reports.engagement_segments, reports.engagement_summary):
         assert "Window" not in plan(report(made)) and "Join" not in plan(report(made))
+
+
+def test_order_lines_are_made_distinct_without_another_exchange(spark):
+    folder = "/root/testdata/sf0.001"
+    tables = (getattr(given, t)(spark, folder) for t in ("customers", "orders", "order_items", "products", "order_payments"))
+    lines = plan(orders.reference_orders(*tables))
+    before_join = lines[: lines.index("Join")]
+    assert "HashAggregate" in before_join and "Exchange" not in before_join
