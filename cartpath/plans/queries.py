@@ -15,6 +15,7 @@ from cartpath.plans import reports
 from cartpath.session import configure, work_path
 from cartpath.sources import files, tables, topics
 from cartpath.sources import testtables as given
+from cartpath.sources.schemas import EVENT_DDL
 from cartpath.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,7 +194,7 @@ def _event_batches(spark: SparkSession, folder: str) -> DataFrame:
     topics.encode_events(given.bronze_events(spark, folder)).write.parquet(f"{work}/topic")
     messages = spark.readStream.schema("key binary, value binary").parquet(f"{work}/topic")
     ingest.batch_events(messages, f"{work}/events", f"{work}/checkpoint", EVENTS_PER_FILE)
-    written = spark.read.schema(ingest.LANDING_DDL).option("recursiveFileLookup", True).json(f"{work}/events")
+    written = spark.read.schema(EVENT_DDL).option("recursiveFileLookup", True).json(f"{work}/events")
     return written.select(
         F.col("_id").alias("event_id"),
         F.try_to_timestamp("timestamp").alias("event_timestamp"),

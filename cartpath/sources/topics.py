@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpath.sources.schemas import CORRUPT, EVENT_FIELDS, LANDING_DDL
+from cartpath.sources.schemas import CORRUPT, EVENT_DDL, EVENT_FIELDS
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -21,14 +21,16 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) ->
     )
 
 
-def decode_events(messages: DataFrame) -> DataFrame:
-    """Nested events from the JSON text in ``value``.
+def decode_events(messages: DataFrame, schema: str = EVENT_DDL, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Nested events from the JSON text in ``value``, with the columns in ``keep``.
 
-    A message that cannot be parsed gives NULLs, with its text in ``_corrupt_record``, so that
-    ingesting the result puts it into quarantine.
+    Text that gives no event id, since it cannot be parsed or is something else, is kept whole in
+    ``_corrupt_record``, so that ingesting the result puts it into quarantine.
     """
-    parsed = F.from_json(F.col("value").cast("string"), LANDING_DDL, {"columnNameOfCorruptRecord": CORRUPT})
-    return messages.select(parsed.alias("event")).select("event.*")
+    text = F.col("value").cast("string").alias("text")
+    event = F.from_json(F.col("text"), schema).alias("event")
+    rejected = F.when(F.col("event._id").isNull(), F.col("text")).alias(CORRUPT)
+    return messages.select(text, *keep).select(event, "text", *keep).select("event.*", rejected, *keep)
 
 
 def encode_events(events: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpath.operators.events import with_lineage
-from cartpath.sources.schemas import CORRUPT, LANDING_DDL
+from cartpath.sources.schemas import CORRUPT, EVENT_DDL
+from cartpath.sources.topics import decode_events
 
 # Fixed value: events per landing file. It is a parameter below: large streams want larger files.
 EVENTS_PER_FILE = 100
@@ -26,25 +27,26 @@ def event_stream(
     folder: str,
     multi_line: bool = True,
     files_per_batch: int = FILES_PER_BATCH,
-    schema: str = LANDING_DDL,
+    schema: str = EVENT_DDL,
 ) -> DataFrame:
     """New event files of a folder as a stream with lineage.
 
     ``multi_line`` reads files that hold a JSON array, each file in one task. Files of one event
-    per line, as the functions below give them, are read with ``multi_line=False`` and split
-    over tasks however large one is. Text that cannot be parsed is kept in ``_corrupt_record``.
+    per line, as the functions below give them, are read with ``multi_line=False`` and split over
+    tasks however large one is. What is no event is kept in ``_corrupt_record``: a file that cannot
+    be parsed, or any line without an event id.
     """
-    files = (
-        spark.readStream.format("json")
-        .schema(schema)
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", OLDEST_FILE)
-        .option("recursiveFileLookup", True)
-        .load(folder)
+    reader = spark.readStream.options(
+        maxFilesPerTrigger=files_per_batch, maxFileAge=OLDEST_FILE, recursiveFileLookup=True
     )
-    return with_lineage(files, F.col("_metadata.file_path"))
+    path = F.col("_metadata.file_path")
+    if multi_line:
+        files = reader.schema(f"{schema}, {CORRUPT} string").json(
+            folder, multiLine=True, columnNameOfCorruptRecord=CORRUPT
+        )
+        return with_lineage(files, path)
+    lines = reader.text(folder).where(F.length(F.trim("value")) > 0).select("value", path.alias("_path"))
+    return with_lineage(decode_events(lines, schema, ("_path",)), F.col("_path")).drop("_path")
 
 
 def finish(query: StreamingQuery) -> None:

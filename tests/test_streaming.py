@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sample import event
 
 from cartpath.operators.events import flatten, with_lineage
-from cartpath.sources.schemas import LANDING_DDL
+from cartpath.sources.schemas import EVENT_DDL
 from cartpath.sources.topics import decode_events
 from cartpath.streaming import ingest
 
@@ -54,7 +54,7 @@ def test_new_fields_are_added_to_the_table(spark, schema, tmp_path):
     land(folder, "a.json", [event("1", "01T10:00:00", "page")])
     ingest.ingest_events(ingest.event_stream(spark, str(folder)), schema, checkpoint)
     land(folder, "b.json", [event("2", "01T10:00:00", "page", channel="app")])
-    wider = ingest.event_stream(spark, str(folder), schema=LANDING_DDL + ", channel string")
+    wider = ingest.event_stream(spark, str(folder), schema=EVENT_DDL + ", channel string")
     ingest.ingest_events(wider, schema, checkpoint)
     assert {(r._id, r.channel) for r in spark.table(f"{schema}.events").collect()} == {("1", None), ("2", "app")}
 
@@ -102,7 +102,8 @@ def test_topic_messages_to_files_of_at_most_100_events(spark, schema, tmp_path):
     ingest.ingest_events(ingest.event_stream(spark, out, multi_line=False), schema, str(tmp_path / "cp2"))
     assert names(spark.table(f"{schema}.events")) == [e["_id"] for e in made] + ["last"]
     rejected = spark.table(f"{schema}.events_quarantine").collect()
-    assert sorted(map(str, (r._corrupt_record for r in rejected))) == ["None", "this is no event"]
+    assert {r._corrupt_record for r in rejected} == {"this is no event", '{"also": "none"}'}
+    assert all(r._source_file.endswith(".txt") for r in rejected)
 
 
 def test_undecodable_message_keeps_its_text(spark):
