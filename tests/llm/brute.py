@@ -1,0 +1,78 @@
+"""Plain versions of the operators over lists of rows, for comparison."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+SPACE = b" \t\n\x0b\x0c\r"
+
+
+def data(text) -> bytes:
+    return (text or "").encode()
+
+
+def repeated_bytes(texts: list, length: int) -> list[tuple[int, int, int, str]]:
+    counts = Counter(t[i : i + length] for t in map(data, texts) for i in range(len(t) - length + 1))
+    out = []
+    for text in map(data, texts):
+        gone = [False] * len(text)
+        for i in range(len(text) - length + 1):
+            if counts[text[i : i + length]] > 1:
+                gone[i : i + length] = [True] * length
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        left = bytes(b for b, g in zip(text, gone, strict=True) if not g)
+        out.append((len(text), sum(gone), spans, hashlib.sha256(left).hexdigest()))
+    return out
+
+
+def line_key(line: bytes, min_chars: int) -> bytes | None:
+    key = re.sub(rb"[A-Z]", lambda m: m[0].lower(), line.strip(SPACE))
+    return key if len(key.decode()) >= min_chars else None
+
+
+def kept_lines(docs: list[tuple], min_docs: int, min_chars: int) -> list[tuple]:
+    holders = defaultdict(list)
+    for doc_id, text in docs:
+        if doc_id is not None:
+            for key in {line_key(x, min_chars) for x in data(text).split(b"\n")} - {None}:
+                holders[key].append(doc_id)
+    out = []
+    for doc_id, text in docs:
+        lines = data(text).split(b"\n")
+        lost = [
+            doc_id is not None and (k := line_key(x, min_chars)) is not None and len(holders[k]) >= min_docs and max(holders[k]) != doc_id
+            for x in lines
+        ]
+        left = b"\n".join(x for x, gone in zip(lines, lost, strict=True) if not gone)
+        out.append((doc_id, len(lines), sum(lost), left.decode()))
+    return out
+
+
+def shingles(text, size: int) -> frozenset:
+    words = re.findall(r"\w+", (text or "").lower())
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def classes(docs: list[tuple], size: int, least: float) -> dict:
+    """doc_id to the smallest id of its class, all pairs compared."""
+    sets = {d: shingles(t, size) for d, t in docs if d is not None}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    by_shingle = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            by_shingle[x].append(d)
+    pairs = {(a, b) for ids in by_shingle.values() for i, a in enumerate(ids) for b in ids[i + 1 :]} if len(sets) < 3000 else set()
+    for a, b in pairs:
+        shared = len(sets[a] & sets[b])
+        if shared >= least * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {d: find(d) for d in sets}
