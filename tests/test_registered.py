@@ -6,9 +6,11 @@ import pytest
 from compare import kinds, oracle, oracle_rows, spark_rows
 
 import __spark_entry__ as driver
+from cartpath.plans import oracle as counterparts
+from cartpath.plans import queries as registered
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = registered.queries()
+SQL = counterparts.oracle_sql()
 
 
 @pytest.fixture(scope="module", params=["sf0.01"])
@@ -19,6 +21,8 @@ def scale(request):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
