@@ -165,7 +165,7 @@ def _compared(strings: DataFrame, length: int, shard_bytes: int, memory: int) ->
 
 
 def dedup_substrings(
-    docs: DataFrame, length: int = 200, gram: int = 40, hot_anchor: int = 2_000, shard_bytes: int = 4 << 20, memory: int = 64 << 20
+    docs: DataFrame, length: int = 200, gram: int = 40, hot_anchor: int = 8_192, shard_bytes: int = 2 << 20, memory: int = 64 << 20
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and text (bytes) of each row after removal.
 
@@ -187,13 +187,15 @@ def dedup_substrings(
     once = shared.select(*KEY, "sample.*", "kinds")
     plain = _compared(_bytes_of(once.where(F.col("kinds") <= hot_anchor), numbered, length, False), length, shard_bytes, memory)
 
-    hot = written(_bytes_of(once.where(F.col("kinds") > hot_anchor), numbered, length, True), "windows")
-    twice = hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    again = hot.join(twice, ["w1", "w2"]).select(*KEY, F.col("at").alias("first"), F.lit(1).alias("count"))
+    parts = plain
+    if once.where(F.col("kinds") > hot_anchor).limit(1).count():
+        hot = written(_bytes_of(once.where(F.col("kinds") > hot_anchor), numbered, length, True), "windows")
+        twice = hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
+        again = hot.join(durable(twice), ["w1", "w2"])
+        parts = parts.unionByName(again.select(*KEY, F.col("at").alias("first"), F.lit(1).alias("count")))
 
     copied = kinds.where("copies > 1").select(*KEY, F.lit(0).alias("first"), F.col("sample.windows").alias("count"))
-    parts = copied.unionByName(plain).unionByName(again)
-    spans = parts.groupBy(*KEY).agg(F.collect_set(F.struct("first", "count")).alias("parts"))
+    spans = parts.unionByName(copied).groupBy(*KEY).agg(F.collect_set(F.struct("first", "count")).alias("parts"))
     marks = places.join(spans, KEY).select(*ROW, "start", "parts")
     lists = marks.groupBy(*ROW).agg(F.collect_set(F.struct("start", "parts")).alias("marks"))
     joined = numbered.join(lists, ROW, "left").select("doc_id", "text", "marks")
