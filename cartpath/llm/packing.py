@@ -9,8 +9,10 @@ packed independently; each is large enough that its last open bins weigh little.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -25,54 +27,65 @@ END = 1
 # The tokenizer's own rule of what a word is, and the texts for which chunks between blanks can be
 # encoded one by one: no letters beyond the Latin ones, no rare blanks, no text of a special token.
 _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|")
-_MOST_CHUNKS = 400_000
+_UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\|")
+# Byte-level vocabularies name a byte by its own character if that is visible, and else by one from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)).difference(_VISIBLE)))}
+_MOST_CHUNKS, _MOST_WORDS = 800_000, 400_000
 
 
 class Encoder:
-    """Token ids of a text. Ids of chunks between blanks are remembered, up to a fixed number of them."""
+    """Token ids of texts. Ids of chunks between blanks are remembered, up to a fixed number of them."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.words: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, list[int]] = {}
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _plain(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, chunk: str) -> None:
-        ids: list[int] = []
-        for word in _PRETOKEN.findall(chunk):
-            if (own := self.words.get(word)) is None:
-                own = self.words[word] = self._plain(word)
-            ids += own
-        at = len(self.known)
-        if at == len(self.starts):
-            self.starts, self.sizes = np.resize(self.starts, 2 * at), np.resize(self.sizes, 2 * at)
-        while self.used + len(ids) > len(self.flat):
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self.words) > _MOST_WORDS:
+            self.words.clear()
+        flat: list[int] = []
+        ends = []
+        for chunk in chunks:
+            for word in _PRETOKEN.findall(chunk):
+                if (own := self.words.get(word)) is None:
+                    # Normalised and cut already: only the model is left to ask, in its alphabet of bytes.
+                    own = self.words[word] = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_BYTES))]
+                flat += own
+            ends.append(len(flat))
+        at, new = len(self.known), len(chunks)
+        while at + new > len(self.starts):
+            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
+        while self.used + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.starts[at], self.sizes[at] = self.used, len(ids)
-        self.used += len(ids)
-        self.known[chunk] = at
+        self.flat[self.used : self.used + len(flat)] = flat
+        sizes = np.diff(ends, prepend=0)
+        self.sizes[at : at + new], self.starts[at : at + new] = sizes, self.used + np.array(ends) - sizes
+        self.used += len(flat)
+        self.known.update(zip(chunks, range(at, at + new), strict=True))
 
     def ids(self, text: str) -> np.ndarray:
         if _UNUSUAL.search(text):
-            return np.array(self._plain(text), np.uint32)
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         chunks = text.lower().split()
         if len(self.known) > _MOST_CHUNKS:
             self.forget()
-        for chunk in set(chunks).difference(self.known):
-            self._learn(chunk)
-        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        at = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        if len(at) and at.min() < 0:
+            missing = np.flatnonzero(at < 0)
+            absent = [chunks[i] for i in missing]
+            self._learn(list(dict.fromkeys(absent)))
+            at[missing] = [self.known[chunk] for chunk in absent]
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         return self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
