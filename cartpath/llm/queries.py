@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartpath.llm import ann, decontaminate, line_dedup, near_dup, packing, quality, sharding, suffix_dedup, url_filter, warc
-from cartpath.llm.common import Query, read_table, work_path
+from cartpath.llm.common import Query, read_table, work_path, written
 
 SHARDS = sharding.grid(2, 3, 4)
 
@@ -77,7 +77,8 @@ def nearest(spark: SparkSession, folder: str) -> DataFrame:
 def archives(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "warc")
     warc.write_archives(warc.records(read_table(spark, folder, "pages", "page_id", "url", "html")), path)
-    return warc.page_captures(warc.captures(warc.read_records(spark, path), with_payload=False))
+    read = written(warc.without_payload(warc.read_records(spark, path)), "warc-records")
+    return warc.page_captures(warc.captures(read))
 
 
 def sequences(docs: DataFrame) -> DataFrame:

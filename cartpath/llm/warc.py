@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartpath.llm.common import durable
+
 VERSION, BREAK = "WARC/1.1", "\r\n"
 # The digits of base 32 as Spark's conv writes them, and as digests are written.
 _CONV32, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -140,16 +142,22 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(read, RECORD + ", read_digest string")
 
 
-def captures(read: DataFrame, with_payload: bool = True) -> DataFrame:
+def without_payload(read: DataFrame) -> DataFrame:
+    """The records with the payload's length alone, but for the small blocks of requests and metadata."""
+    small = F.when(F.col("type").isin("request", "metadata"), F.col("payload"))
+    return read.withColumn("payload_bytes", F.length("payload").cast("long")).withColumn("payload", small)
+
+
+def captures(read: DataFrame) -> DataFrame:
     """One row per response or revisit: ``response``, ``request`` and ``metadata`` as structs.
 
     A part that is missing is null. Of several requests or metadata records concurrent to one capture the
     smallest record id counts; requests without a capture are left out.
     """
+    size = F.col("payload_bytes") if "payload_bytes" in read.columns else F.length("payload").cast("long").alias("payload_bytes")
+    fields = ["record_id", "type", "refers_to", "target_uri", "date", "payload_digest", "read_digest", "payload"]
     main = read.where("type IN ('response', 'revisit')")
-    fields = ["record_id", "type", "refers_to", "target_uri", "date", "payload_digest", "read_digest"]
-    response = F.struct(*fields, F.length("payload").cast("long").alias("payload_bytes"), *(["payload"] if with_payload else []))
-    parts = main.select(F.col("record_id").alias("capture_id"), response.alias("response"))
+    parts = main.select(F.col("record_id").alias("capture_id"), F.struct(*fields, size).alias("response"))
     for kind in ("request", "metadata"):
         part = F.struct("record_id", "target_uri", "date", F.col("payload").cast("string").alias("content"))
         one = read.where(F.col("type") == kind).groupBy(F.col("concurrent_to").alias("capture_id")).agg(F.min(part).alias(kind))
@@ -164,13 +172,15 @@ def page_captures(assembled: DataFrame) -> DataFrame:
         return F.regexp_extract("metadata.content", rf"(?m)^{name}: (-?\d+)", 1).try_cast("long")
 
     revisit = F.col("response.type") == "revisit"
-    rows = assembled.select(
+    # Computed once, and so that the join below can split the revisits of one response over tasks.
+    rows = durable(assembled.select(
         "capture_id",
         field("page-id").alias("page_id"),
         F.when(revisit, field("payload-length")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
         F.when(revisit, F.regexp_replace("response.payload_digest", "^sha1:", "")).otherwise(F.col("response.read_digest")).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.when(revisit, F.col("response.refers_to")).alias("_refers_to"),
-    )
-    targets = rows.where("record_type = 'response'").groupBy(F.col("capture_id").alias("_refers_to")).agg(F.max("page_id").alias("refers_to"))
-    return rows.join(targets, "_refers_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        F.when(revisit, F.col("response.refers_to")).otherwise(F.col("capture_id")).alias("_refers_to"),
+    ))
+    targets = rows.where("record_type = 'response'").groupBy(F.col("capture_id").alias("_refers_to")).agg(F.max("page_id").alias("_target"))
+    refers_to = F.when(F.col("record_type") == "revisit", F.col("_target")).alias("refers_to")
+    return rows.join(durable(targets), "_refers_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", refers_to)
