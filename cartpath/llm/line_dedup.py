@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpath.llm.common import body, rows_of, work_path, written
+from cartpath.llm.common import body, durable, rows_of, work_path, written
 
 KEY = ["h1", "h2"]
 RUN_SCHEMA = "h1 long, h2 long, n_docs long, top_doc long, is_new boolean"
@@ -121,7 +121,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40, batches
     runs = LineRuns(spark, work_path(spark, "line-runs"), fanout)
     for batch in range(batches):
         runs.add(keys.where(F.col("batch") == batch))
-    lost = keys.join(runs.frequent(min_docs), KEY).where("doc_id <> top_doc")
+    lost = keys.join(durable(runs.frequent(min_docs)), KEY).where("doc_id <> top_doc")
     lists = lost.groupBy(F.col("doc_id").alias("_lost_doc")).agg(F.collect_set(F.struct(*KEY)).alias("_lost"))
 
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_dropped")]
