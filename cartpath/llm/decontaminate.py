@@ -68,6 +68,13 @@ def item_windows(item: bytes, size: int) -> list[tuple[int, int, np.ndarray, np.
     return out
 
 
+def _with_names(item: bytes, size: int) -> set[int]:
+    """Places of the windows of an item that hold a name."""
+    typed = template(item)[0]
+    width = min(size, len(typed))
+    return {k for k in range(len(typed) - width + 1) if NAME in typed[k : k + width]}
+
+
 def _windows_of(form: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
     for size in sizes:
         if len(form) >= size:
@@ -94,11 +101,12 @@ def contaminated(
             out = []
             for item_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                 found = item_windows(text, size)
-                total = len({k for _, k, _, _ in found})
+                found = [w for w in found if int(np.sum(~np.isin(w[2], (NUMBER, NAME, UNIT)))) >= least_words]
+                # A re-parameterised copy can only show the windows that are specific enough with names replaced.
+                named = {k for _, k, form, _ in found if NAME in form}
+                total = len({k for _, k, _, _ in found} - {k for k in _with_names(text, size) if k not in named}) or len({k for _, k, _, _ in found})
                 for h, k, form, plain in found:
-                    fixed = int(np.sum(~np.isin(form, (NUMBER, NAME, UNIT))))
-                    if fixed >= least_words:
-                        out.append((h, item_id, k, len(form), total, form.view(np.int64), plain.view(np.int64)))
+                    out.append((h, item_id, k, len(form), total, form.view(np.int64), plain.view(np.int64)))
             columns = list(zip(*out, strict=True)) or [[]] * 7
             kinds = [pa.uint64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
@@ -163,7 +171,7 @@ def contaminated(
         F.collect_set(F.struct("place", "item_slots", "doc_slots")).alias("slots"),
     )
     consistent = F.udf(_consistent, "struct<ok:boolean,changed:boolean>")
-    shares = places.withColumn("share", F.col("n_windows") / F.col("total")).where(F.col("share") >= least_share)
+    shares = places.withColumn("share", F.least(F.lit(1.0), F.col("n_windows") / F.col("total"))).where(F.col("share") >= least_share)
     judged = shares.withColumn("slot", consistent("slots")).where("slot.ok")
     return judged.select("doc_id", "item_id", "share", "n_windows", F.col("slot.changed").alias("reparameterised"))
 

@@ -38,13 +38,13 @@ named AS (
 ),
 hashed AS (SELECT kind, entry, one_in, md5(kind || ':' || entry) AS m FROM named),
 numbers AS (
-    SELECT entry, one_in, CAST('0x' || substr(m, 1, 4) AS INTEGER) AS a, CAST('0x' || substr(m, 5, 3) AS INTEGER) AS b,
+    SELECT kind, entry, one_in, CAST('0x' || substr(m, 1, 4) AS INTEGER) AS a, CAST('0x' || substr(m, 5, 3) AS INTEGER) AS b,
         CAST('0x' || substr(m, 8, 2) AS INTEGER) AS c, CAST('0x' || substr(m, 10, 3) AS INTEGER) AS d,
         CAST('0x' || substr(m, 13, 3) AS INTEGER) AS e
     FROM hashed
 ),
 listed AS (
-    SELECT entry, ['adult', 'ads', 'malware'][d % 3 + 1] AS list_name, e % 3 AS fate,
+    SELECT entry, kind || '-' || ['adult', 'ads', 'malware'][d % 3 + 1] AS list_name, e % 3 AS fate,
         DATE '2024-01-01' + b % 300 AS first, DATE '2024-01-01' + b % 300 + 30 + c % 64 AS gone
     FROM numbers WHERE a % one_in = 0
 ),
@@ -56,7 +56,7 @@ keys AS (
     SELECT DISTINCT url, fetched_on, entry FROM (
         SELECT url, fetched_on, host AS entry FROM captures WHERE host <> ''
         UNION ALL
-        SELECT url, fetched_on, array_to_string(list_slice(string_split(host, '.'), i, NULL), '.')
+        SELECT url, fetched_on, array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.')
         FROM captures, range(2, 40) AS r(i) WHERE i < len(string_split(host, '.'))
         UNION ALL
         SELECT url, fetched_on, host || array_to_string(list_slice(string_split(path, '/'), 1, i), '/') || '/'

@@ -101,7 +101,7 @@ def derived_changes(pages: DataFrame) -> DataFrame:
     listed = named.where(_number(text, 1, 4) % F.col("one_in") == 0)
     first = F.date_add(F.lit("2024-01-01").cast("date"), _number(text, 5, 3) % 300)
     gone = F.date_add(first, 30 + _number(text, 8, 2) % 64)
-    category = F.element_at(F.array(F.lit("adult"), F.lit("ads"), F.lit("malware")), _number(text, 10, 3) % 3 + 1)
+    category = F.concat("kind", F.lit("-"), F.element_at(F.array(F.lit("adult"), F.lit("ads"), F.lit("malware")), _number(text, 10, 3) % 3 + 1))
     change = F.array(
         F.struct(first.alias("changed_on"), F.lit(True).alias("is_active")),
         F.struct(F.when(_number(text, 13, 3) % 3 != 0, gone).alias("changed_on"), F.lit(False).alias("is_active")),

@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import xxhash
+from pyspark.sql import functions as F
+
+from cartpath.llm import sharding
+from cartpath.llm.queries import SHARDS, shards
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def draw(key: int, name: str) -> float:
+    """The hash that Spark has of a long and a text, one seeding the next."""
+    seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+    return math.log(((xxhash.xxh64_intdigest(name.encode(), seed) >> 11) + 0.5) / 2**53)
+
+
+def descend(node: sharding.Node, key: int, path: str = "") -> int:
+    if node.shard is not None:
+        return node.shard
+    best = max(node.children, key=lambda c: draw(key, f"{path}/{c.name}") / c.weight) if len(node.children) > 1 else node.children[0]
+    return descend(best, key, f"{path}/{best.name}")
+
+
+def test_whole_table(spark):
+    rows = shards(spark, FOLDER).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    assert len(rows) == len(texts)
+    larger = sharding.grown(SHARDS, 24)
+    for r in rows:
+        data = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 8, zlib.crc32(data), "key")
+        assert (r.shard, r.grown_shard) == (descend(SHARDS, r.doc_id), descend(larger, r.doc_id))
+        assert r.grown_shard in (r.shard, 24)
+    by_shard = defaultdict(list)
+    for r in rows:
+        by_shard[r.shard].append(r.slot)
+    assert sorted(by_shard) == list(range(24))
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+    assert 10 <= sum(r.grown_shard == 24 for r in rows) <= 80
+
+
+def test_weights_and_confined_movement(spark):
+    heavy = sharding.Node("root", (sharding.Node("a", (sharding.Node("x", shard=0, own_weight=3.0), sharding.Node("y", shard=1))), sharding.Node("b", shard=2, own_weight=4.0)))
+    changed = sharding.Node("root", (sharding.Node("a", (sharding.Node("x", shard=0, own_weight=1.0), sharding.Node("y", shard=1, own_weight=3.0))), heavy.children[1]))
+    ids = spark.range(8000).select("id", sharding.place(heavy, F.col("id")).alias("before"), sharding.place(changed, F.col("id")).alias("after")).collect()
+    counts = Counter(r.before for r in ids)
+    assert abs(counts[0] - 3000) < 200
+    assert abs(counts[2] - 4000) < 200
+    assert {(r.before, r.after) for r in ids if r.before != r.after} == {(0, 1)}
+
+
+def test_nulls_repeats_and_empty(spark):
+    rows = [(None, "a")] * 5 + [(7, "b")] * 4 + [(1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, slot string").repartition(3)
+    out = sharding.shard(docs, "doc_id", SHARDS, sharding.grown(SHARDS, 24)).collect()
+    assert len(out) == 10
+    places = Counter((r.shard, r.slot) for r in out)
+    assert max(places.values()) == 1
+    assert len({r.shard for r in out if r.doc_id is None}) == 1
+    assert sharding.shard(docs.limit(0), "doc_id", SHARDS, SHARDS).count() == 0
