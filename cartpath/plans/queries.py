@@ -183,7 +183,7 @@ def _event_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     tables.ensure_schema(spark, schema, f"{work}/{schema}")
     landed = given.bronze_events(spark, folder).drop(*LINEAGE)
     ingest.write_event_files(landed, f"{work}/landing", EVENTS_PER_FILE)
-    stream = ingest.event_stream(spark, f"{work}/landing", multi_line=False)
+    stream = ingest.event_stream(spark, f"{work}/landing")
     ingest.ingest_events(stream, schema, f"{work}/checkpoint")
     return event_ops.flatten(tables.scan(spark, f"{schema}.{ingest.EVENTS}"))
 

@@ -25,15 +25,15 @@ REJECTED = "_rejected"
 def event_stream(
     spark: SparkSession,
     folder: str,
-    multi_line: bool = True,
+    multi_line: bool = False,
     files_per_batch: int = FILES_PER_BATCH,
     schema: str = EVENT_DDL,
 ) -> DataFrame:
     """New event files of a folder as a stream with lineage.
 
-    ``multi_line`` reads files that hold a JSON array, each file in one task. Files of one event
-    per line, as the functions below give them, are read with ``multi_line=False`` and split over
-    tasks however large one is. What is no event is kept in ``_corrupt_record``: a file that cannot
+    Files of one event per line, as the functions below write them, are split over tasks however large
+    one is. ``multi_line`` reads files that hold one JSON array instead, each file in one task; of a file
+    with several values it would read the first alone. What is no event is kept in ``_corrupt_record``: a file that cannot
     be parsed, or any line without an event id.
     """
     reader = spark.readStream.options(

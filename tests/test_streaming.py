@@ -29,7 +29,7 @@ def test_array_files_restart_and_rejects(spark, schema, tmp_path):
     folder, checkpoint = tmp_path / "events", str(tmp_path / "checkpoint")
 
     def run():
-        ingest.ingest_events(ingest.event_stream(spark, str(folder)), schema, checkpoint)
+        ingest.ingest_events(ingest.event_stream(spark, str(folder), multi_line=True), schema, checkpoint)
         return spark.table(f"{schema}.events"), spark.table(f"{schema}.events_quarantine")
 
     land(folder, "a.json", [event("1", "01T10:00:00", "page"), event("2", "01T10:00:01", "buy", items=[("p", 2.0)])])
@@ -52,9 +52,9 @@ def test_array_files_restart_and_rejects(spark, schema, tmp_path):
 def test_new_fields_are_added_to_the_table(spark, schema, tmp_path):
     folder, checkpoint = tmp_path / "events", str(tmp_path / "checkpoint")
     land(folder, "a.json", [event("1", "01T10:00:00", "page")])
-    ingest.ingest_events(ingest.event_stream(spark, str(folder)), schema, checkpoint)
+    ingest.ingest_events(ingest.event_stream(spark, str(folder), multi_line=True), schema, checkpoint)
     land(folder, "b.json", [event("2", "01T10:00:00", "page", channel="app")])
-    wider = ingest.event_stream(spark, str(folder), schema=EVENT_DDL + ", channel string")
+    wider = ingest.event_stream(spark, str(folder), multi_line=True, schema=EVENT_DDL + ", channel string")
     ingest.ingest_events(wider, schema, checkpoint)
     assert {(r._id, r.channel) for r in spark.table(f"{schema}.events").collect()} == {("1", None), ("2", "app")}
 
@@ -62,7 +62,7 @@ def test_new_fields_are_added_to_the_table(spark, schema, tmp_path):
 def test_stream_failures_are_raised(spark, schema, tmp_path):
     folder = tmp_path / "events"
     land(folder, "a.json", [event("1", "01T10:00:00", "page")])
-    failing = ingest.event_stream(spark, str(folder)).selectExpr("raise_error('boom') AS _id")
+    failing = ingest.event_stream(spark, str(folder), multi_line=True).selectExpr("raise_error('boom') AS _id")
     with pytest.raises(Exception, match="boom"):
         ingest.ingest_events(failing, schema, str(tmp_path / "checkpoint"))
 
@@ -73,7 +73,7 @@ def test_an_old_file_that_arrives_late_is_read(spark, schema, tmp_path):
         land(folder, name, [event(id, "01T10:00:00", "page")])
         if time:
             os.utime(folder / name, (time, time))
-        ingest.ingest_events(ingest.event_stream(spark, str(folder)), schema, checkpoint)
+        ingest.ingest_events(ingest.event_stream(spark, str(folder), multi_line=True), schema, checkpoint)
     assert names(spark.table(f"{schema}.events")) == ["1", "2"]
 
 
@@ -99,7 +99,7 @@ def test_topic_messages_to_files_of_at_most_100_events(spark, schema, tmp_path):
     send([json.dumps(event("last", "01T10:00:00", "page")), None])
     assert sum(map(len, run())) == 251
 
-    ingest.ingest_events(ingest.event_stream(spark, out, multi_line=False), schema, str(tmp_path / "cp2"))
+    ingest.ingest_events(ingest.event_stream(spark, out), schema, str(tmp_path / "cp2"))
     assert names(spark.table(f"{schema}.events")) == [e["_id"] for e in made] + ["last"]
     rejected = spark.table(f"{schema}.events_quarantine").collect()
     assert {r._corrupt_record for r in rejected} == {"this is no event", '{"also": "none"}'}
