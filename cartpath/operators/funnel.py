@@ -77,7 +77,8 @@ def funnel_by_category(flat: DataFrame, products: DataFrame) -> DataFrame:
 
     A session's depth within a category is the deepest stage of its events on such products, the
     first item of an event standing for the event. ``products`` has product_id and
-    product_category_name.
+    product_category_name; a product that it does not know, or without category, counts as
+    ``unknown``.
     """
     # One row per session and product before the join, so a hot product only joins once a session.
     touched = (
@@ -87,7 +88,8 @@ def funnel_by_category(flat: DataFrame, products: DataFrame) -> DataFrame:
     )
     categories = products.groupBy("product_id").agg(F.min("product_category_name").alias("product_category_name"))
     counts = (
-        touched.join(categories, "product_id")
+        touched.join(categories, "product_id", "left")
+        .withColumn("product_category_name", F.coalesce("product_category_name", F.lit("unknown")))
         .groupBy("product_category_name", "session_id", "customer_id")
         .agg(F.max("_stage").alias("max_funnel_stage_reached"))
         .groupBy("product_category_name")

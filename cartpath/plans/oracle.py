@@ -292,9 +292,10 @@ def oracle_sql() -> dict[str, str]:
                 _FLAT,
                 f"""counts AS (
                     SELECT product_category_name, COUNT(*) AS total, {_FUNNEL_COUNTS}
-                    FROM (SELECT p_type AS product_category_name, session_id, customer_id,
+                    FROM (SELECT COALESCE(p_type, 'unknown') AS product_category_name, session_id, customer_id,
                               MAX(funnel_stage) AS max_funnel_stage_reached
-                          FROM flat JOIN part ON CAST(p_partkey AS VARCHAR) = product_id GROUP BY 1, 2, 3) s
+                          FROM flat LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = product_id
+                          WHERE product_id IS NOT NULL GROUP BY 1, 2, 3) s
                     GROUP BY 1)""",
             ),
             _funnel_steps("counts", "product_category_name,"),
