@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartpath.functions.measures import total_amount
 from cartpath.functions.stages import PURCHASE
 from cartpath.operators.events import item_text, payment_text
-from cartpath.operators.skew import HOT_GROUP_ROWS, HotKeys, ordered_context, split_hot
+from cartpath.operators.skew import HotKeys, ordered_context
 
 ORDER_KEYS = ("order_id",)
 
@@ -50,42 +50,47 @@ def reference_orders(
     return rows if limit is None else rows.orderBy(*rows.columns).limit(limit)
 
 
-def order_purchases(lines: DataFrame, hot: HotKeys | None = None, most_items: int = HOT_GROUP_ROWS) -> DataFrame:
+def _described(lines: DataFrame) -> DataFrame:
+    item = F.expr(item_text("product_id", "product_category_name", "price")).alias("item")
+    return lines.select("order_id", "customer_unique_id", "payment_type", "price", item)
+
+
+def order_purchases(lines: DataFrame) -> DataFrame:
     """The body of a purchase event per order: items, cart total and payment type.
 
     The payment type is the smallest of the order, or the default. Items are sorted by product and
-    price. An order in ``hot`` is given in several rows (``part`` 0, 1, …) of up to ``most_items``
-    items each, with the total of the whole order on every one, since its array has no bound.
+    price. An order is one event and therefore one row (``part`` is always 0), whatever its size;
+    :func:`purchase_items` gives the items of orders that do not fit into one.
     """
-    described = lines.select(
-        "order_id",
-        "customer_unique_id",
-        "payment_type",
-        "price",
-        F.expr(item_text("product_id", "product_category_name", "price")).alias("item"),
-    )
-    ordinary, oversized = split_hot(described, ORDER_KEYS, hot)
-    whole = [
+    items = F.sort_array(F.collect_list(F.struct("item.SKU", "item.priceTotal", "item")))["item"].alias("items")
+    bodies = _described(lines).groupBy("order_id").agg(
+        F.lit(0).alias("part"),
+        items,
         F.min("customer_unique_id").alias("customer_id"),
         total_amount(F.col("price")).alias("order_total"),
         F.expr(payment_text("min(payment_type)")).alias("payment_type"),
-    ]
-    items = F.sort_array(F.collect_list(F.struct("item.SKU", "item.priceTotal", "item")))["item"].alias("items")
-    bodies = ordinary.groupBy("order_id").agg(F.lit(0).alias("part"), items, *whole)
-    if oversized is not None:
-        placed = ordered_context(
-            oversized.withColumns({"_sku": F.col("item.SKU"), "_price": F.col("item.priceTotal")}),
-            ORDER_KEYS,
-            ("_sku", "_price", "payment_type"),
-            number="_place",
-            hot=hot,
-        )
-        parts = placed.groupBy("order_id", F.expr(f"cast((_place - 1) div {most_items} as int)").alias("part")).agg(items)
-        totals = oversized.groupBy("order_id").agg(*whole)
-        bodies = bodies.unionByName(parts.join(totals, "order_id"))
+    )
     return bodies.select("order_id", "customer_id", "part", "items", "order_total", "payment_type")
 
 
+def purchase_items(lines: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """The items of every order as rows: order, position from 1 in the cart, and the item.
+
+    ``hot`` holds keys by :data:`ORDER_KEYS`, found on ``lines`` themselves. Orders of any size are
+    safe here, and a line that is there twice has two positions.
+    """
+    sorted_by = {"_sku": F.col("item.SKU"), "_price": F.col("item.priceTotal")}
+    placed = ordered_context(
+        _described(lines).withColumns(sorted_by),
+        ORDER_KEYS,
+        ("_sku", "_price", "payment_type"),
+        number="position",
+        hot=hot,
+        ties=True,
+    )
+    return placed.select("order_id", "position", "item")
+
+
 def purchase_actions(
     bodies: DataFrame, event_time: Column | None = None, platform: str = "web", device: str = "desktop"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartpath.functions.measures import seconds_between, total_amount
 from cartpath.functions.stages import stage_name
-from cartpath.operators.skew import HotKeys, ordered_context, split_hot
+from cartpath.operators.skew import HotKeys, ordered_context
 
 SESSION_KEYS = ("session_id", "customer_id")
 TRAIL_KEYS = ("session_id",)
@@ -76,27 +76,40 @@ def session_measures(flat: DataFrame) -> DataFrame:
     return _described(measured).select(*(c for c in SESSION_COLUMNS if c != PRODUCT_LIST))
 
 
-def sessions(flat: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def sessions(flat: DataFrame) -> DataFrame:
     """One row per (session, customer), from flat events.
 
-    For ordinary sessions the distinct products are counted from the collected list, so one
-    exchange serves everything. The list of a session in ``hot`` (keys by :data:`SESSION_KEYS`) has
-    no bound: ``products_interacted`` is left NULL, and :func:`interacted_products` gives the same
-    list as rows from the trail.
+    The distinct products are counted from the collected list, so one exchange serves everything.
+    ``products_interacted`` is the whole list for every session, so a session has to fit into one
+    row; where some do not, :func:`session_measures` and :func:`session_products` give the same
+    without a cell that grows.
     """
-    ordinary, oversized = split_hot(flat, SESSION_KEYS, hot)
     touched = F.when(
         F.col("product_id").isNotNull(), F.struct("event_timestamp", "event_id", "product_id")
     )
-    listed = ordinary.groupBy(*SESSION_KEYS).agg(
+    listed = flat.groupBy(*SESSION_KEYS).agg(
         *_measures(), F.sort_array(F.collect_list(touched))["product_id"].alias(PRODUCT_LIST)
     )
     distinct = F.size(F.array_distinct(PRODUCT_LIST)).cast("bigint")
-    result = _described(listed.withColumn("unique_products_viewed", distinct)).select(*SESSION_COLUMNS)
-    if oversized is None:
-        return result
-    unlisted = session_measures(oversized).withColumn(PRODUCT_LIST, F.lit(None).cast("array<string>"))
-    return result.unionByName(unlisted)
+    return _described(listed.withColumn("unique_products_viewed", distinct)).select(*SESSION_COLUMNS)
+
+
+def session_products(flat: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """The products of every session as rows: session, customer, position from 1 in the list, product.
+
+    Sessions of any size are safe here; ``hot`` holds keys by :data:`SESSION_KEYS`. Copies of one
+    event have a place each.
+    """
+    touched = flat.where(F.col("product_id").isNotNull())
+    placed = ordered_context(
+        touched.select(*SESSION_KEYS, "event_timestamp", "event_id", "product_id"),
+        SESSION_KEYS,
+        ("event_timestamp", "event_id", "product_id"),
+        number="position",
+        hot=hot,
+        ties=True,
+    )
+    return placed.select(*SESSION_KEYS, "position", "product_id")
 
 
 def session_events(flat: DataFrame, hot: HotKeys | None = None) -> DataFrame:
@@ -141,10 +154,3 @@ def session_events(flat: DataFrame, hot: HotKeys | None = None) -> DataFrame:
         "funnel_stage",
         "_ingested_at",
     )
-
-
-def interacted_products(trail: DataFrame) -> DataFrame:
-    """The products of every session as rows in trail order, for lists too long for one cell."""
-    return trail.where(F.col("product_id").isNotNull()).select(
-        "session_id", "customer_id", "event_sequence_num", "product_id"
-    )

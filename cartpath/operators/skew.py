@@ -119,7 +119,7 @@ def ordered_context(
 ) -> DataFrame:
     """Number the rows of each group in order, with values of the row before and of the group.
 
-    ``number`` names the 1-based row number, ``previous`` maps new columns to the column whose
+    ``number`` names the 1-based row number (a bigint), ``previous`` maps new columns to the column whose
     value in the row before they take, and ``totals`` maps new columns to aggregates of the group.
     ``ties`` says that rows may be equal in keys and order, as copies of one event are; any number
     of them is cut into chunks like other rows, in an order that is arbitrary but fixed.
@@ -130,7 +130,7 @@ def ordered_context(
     in_order = group.orderBy(*order)
     result = ordinary.select(
         "*",
-        F.row_number().over(in_order).alias(number),
+        F.row_number().over(in_order).cast("bigint").alias(number),
         *(F.lag(source).over(in_order).alias(name) for name, source in previous.items()),
         *(total.over(group).alias(name) for name, total in totals.items()),
     )
@@ -178,7 +178,7 @@ def _chunked_context(rows, keys, order, number, previous, totals, hot: HotKeys)
     place = F.row_number().over(in_chunk)
     return rows.select(
         *(c for c in rows.columns if c not in {"_chunk", "_before", "_carried", *totals}),
-        (place + F.col("_before")).cast("int").alias(number),
+        (place + F.col("_before")).alias(number),
         *(
             F.when(place == 1, F.col(f"_carried.{name}")).otherwise(F.lag(source).over(in_chunk)).alias(name)
             for name, source in previous.items()

@@ -74,7 +74,7 @@ _SESSIONS = f"""sessions AS (
 
 _TRAIL = f"""trail AS (
     SELECT session_id, customer_id,
-        CAST(row_number() OVER w AS INTEGER) AS event_sequence_num, event_id, event_timestamp, event_type,
+        row_number() OVER w AS event_sequence_num, event_id, event_timestamp, event_type,
         lag(event_type) OVER w AS prev_event_type,
         {_seconds('lag(event_timestamp) OVER w', 'event_timestamp')} AS seconds_since_prev_event,
         product_id, product_price, page_url, funnel_stage
@@ -96,7 +96,7 @@ _STEP_TIMES = f"""step_times AS (
 _RANKED = """ranked AS (
     SELECT *, session_rank = 1 AS is_first_session, reverse_rank = 1 AS is_last_session
     FROM (
-        SELECT *, CAST(row_number() OVER w AS INTEGER) AS session_rank,
+        SELECT *, row_number() OVER w AS session_rank,
             row_number() OVER (PARTITION BY customer_id ORDER BY session_start DESC, session_id DESC) AS reverse_rank,
             CAST(CAST(session_start AS DATE) - CAST(lag(session_start) OVER w AS DATE) AS INTEGER)
                 AS days_since_prev_session
@@ -161,10 +161,9 @@ _JOURNEYS = f"""journeys AS (
 _LINES = """lines AS (
     SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS customer_unique_id, CAST(o_orderkey AS VARCHAR) AS order_id,
         CAST(l_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
-        l_extendedprice AS price, o_orderpriority_paid AS payment_type
+        l_extendedprice AS price, o_orderpriority AS payment_type
     FROM customer
-    JOIN (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority_paid
-          FROM orders) o ON o_custkey = c_custkey
+    JOIN orders ON o_custkey = c_custkey
     JOIN lineitem ON l_orderkey = o_orderkey
     JOIN part ON p_partkey = l_partkey)"""
 
@@ -243,6 +242,12 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN event_type = 'purchase' THEN 'credit_card' END AS payment_type
             FROM events""",
         "sessions": _with(_TO_SESSIONS, "SELECT * FROM sessions"),
+        "session_products": _with(
+            (_FLAT,),
+            """SELECT session_id, customer_id, product_id,
+                row_number() OVER (PARTITION BY session_id, customer_id ORDER BY event_timestamp, event_id) AS position
+            FROM flat WHERE product_id IS NOT NULL""",
+        ),
         "session_events": _with((_FLAT, _TRAIL), trail),
         "events_by_type": f"""SELECT {_KIND} AS "eventType", COUNT(*) AS event_count FROM events GROUP BY 1""",
         "session_summary": _with(
@@ -387,6 +392,12 @@ def oracle_sql() -> dict[str, str]:
                 COALESCE(NULLIF(MIN(payment_type), ''), 'credit_card') AS payment_type
             FROM lines GROUP BY order_id""",
         ),
+        "purchase_items": _with(
+            (_LINES,),
+            """SELECT order_id, row_number() OVER (PARTITION BY order_id ORDER BY product_id, price) AS position,
+                product_id AS sku, price
+            FROM lines""",
+        ),
         "table_counts": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {name}"
             for name in ("customer", "orders", "lineitem", "part", "supplier", "nation", "events")
@@ -395,4 +406,22 @@ def oracle_sql() -> dict[str, str]:
             CAST(o_custkey AS INTEGER) AS customer_id,
             CASE WHEN o_orderstatus = 'F' THEN 'delivered' ELSE o_orderstatus END AS order_status,
             o_orderdate AS order_purchase_timestamp FROM orders""",
+        "csv_text_roundtrip": "SELECT conv_id, turn, NULLIF(role, '') AS role, NULLIF(text, '') AS text FROM conversations",
+        "upsert_orders": """WITH held AS (
+                SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+                    CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS changed_at,
+                    CASE WHEN o_orderstatus = 'F' THEN 'delivered' ELSE o_orderstatus END AS order_status
+                FROM orders),
+            given AS (
+                SELECT CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS order_id,
+                    'c' || o_custkey AS customer_id,
+                    o_orderdate + CAST(o_orderkey % 2 * 2 - 1 AS INTEGER) * INTERVAL 1 DAY AS changed_at,
+                    'returned' AS order_status
+                FROM orders WHERE o_orderkey % 3 = 0),
+            both_sides AS (SELECT *, 0 AS change FROM held UNION ALL SELECT *, 1 AS change FROM given)
+            SELECT order_id, customer_id, changed_at, order_status FROM (
+                SELECT *, row_number() OVER (
+                    PARTITION BY order_id ORDER BY changed_at DESC NULLS LAST, change DESC, customer_id DESC) AS place
+                FROM both_sides)
+            WHERE place = 1""",
     }

@@ -15,7 +15,7 @@ from cartpath.operators.journeys import (
     customer_journeys,
     ranked_sessions,
 )
-from cartpath.operators.sessions import SESSION_KEYS, TRAIL_KEYS, session_events, sessions
+from cartpath.operators.sessions import SESSION_KEYS, TRAIL_KEYS, session_events, session_products, sessions
 from cartpath.operators.skew import HOT_GROUP_ROWS, HotKeys, hot_keys, within_limit
 from cartpath.plans import reports
 from cartpath.sources.tables import ensure_schema, scan, write_table
@@ -43,16 +43,17 @@ class Publisher:
         return hot_keys(rows, keys, self.hot_rows, size)
 
     def sessions(self) -> dict[str, int]:
-        """``sessions`` and ``session_events``. Each scans only the event fields it needs, which at
-        scale is cheaper than keeping the flattened events for both."""
+        """``sessions``, ``session_products`` and ``session_events``. Each scans only the event fields it needs, which at
+        scale is cheaper than keeping the flattened events for all."""
         ensure_schema(self.spark, self.silver)
         flat = flatten(self._bronze("events"))
-        by_session = self._hot(flat, SESSION_KEYS)
-        summarised = write_table(sessions(flat, by_session), f"{self.silver}.sessions")
-        # The session table knows the size of every trail, so the events need no second count.
+        summarised = write_table(sessions(flat), f"{self.silver}.sessions")
+        # The session table knows the size of every trail, so the events need no count.
+        by_session = self._hot(self._silver("sessions"), SESSION_KEYS, F.sum("total_events"))
         by_trail = self._hot(self._silver("sessions"), TRAIL_KEYS, F.sum("total_events"))
         return {
             "sessions": summarised,
+            "session_products": write_table(session_products(flat, by_session), f"{self.silver}.session_products"),
             "session_events": write_table(session_events(flat, by_trail), f"{self.silver}.session_events"),
         }
 

@@ -53,7 +53,11 @@ def _hot(spark: SparkSession, folder: str, keys: tuple[str, ...]) -> HotKeys | N
 
 
 def _sessions(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions.sessions(_flat(spark, folder), _hot(spark, folder, sessions.SESSION_KEYS))
+    return sessions.sessions(_flat(spark, folder))
+
+
+def _session_products(spark: SparkSession, folder: str) -> DataFrame:
+    return sessions.session_products(_flat(spark, folder), _hot(spark, folder, sessions.SESSION_KEYS))
 
 
 def _measured(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,9 +136,17 @@ def _topic_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _bodies(spark: SparkSession, folder: str) -> DataFrame:
-    items = given.order_items(spark, folder)
-    hot = None if within_limit(items) else hot_keys(items, orders.ORDER_KEYS)
-    return orders.order_purchases(_reference_orders(spark, folder), hot)
+    return orders.order_purchases(_reference_orders(spark, folder))
+
+
+def _purchase_items(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _reference_orders(spark, folder)
+    # A joined line stands for an order line and a payment type: only the lines themselves tell a hot order.
+    hot = None if within_limit(lines) else hot_keys(lines, orders.ORDER_KEYS)
+    item = F.col("item")
+    return orders.purchase_items(lines, hot).select(
+        "order_id", "position", item["SKU"].alias("sku"), item["priceTotal"].alias("price")
+    )
 
 
 def _order_purchase_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,6 +188,38 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.scan(spark, f"{schema}.orders")
 
 
+def _csv_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Free text with quotes and line breaks to CSV and back, read once by a given schema."""
+    work = work_path(spark, "csv")
+    schema = work.rsplit("/", 1)[-1].replace("-", "_")
+    tables.ensure_schema(spark, schema, f"{work}/{schema}")
+    files.write_csv(given.given(spark, folder, "conversations"), f"{work}/conversations.csv")
+    files.load_csv(spark, f"{work}/conversations.csv", f"{schema}.conversations", given.SCHEMAS["conversations"])
+    return tables.scan(spark, f"{schema}.conversations")
+
+
+def _upsert_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by status, changed by newer, older and undated rows and by rows without a key."""
+    work = work_path(spark, "upsert")
+    schema = work.rsplit("/", 1)[-1].replace("-", "_")
+    tables.ensure_schema(spark, schema, f"{work}/{schema}")
+    held = given.orders(spark, folder).selectExpr(
+        "order_id",
+        "customer_id",
+        "CASE WHEN CAST(order_id AS BIGINT) % 11 <> 0 THEN order_purchase_timestamp END AS changed_at",
+        "order_status",
+    )
+    tables.write_table(held, f"{schema}.orders", partition_by=("order_status",))
+    changes = given.orders(spark, folder).where("CAST(order_id AS BIGINT) % 3 = 0").selectExpr(
+        "CASE WHEN CAST(order_id AS BIGINT) % 5 <> 0 THEN order_id END AS order_id",
+        "concat('c', customer_id) AS customer_id",
+        "order_purchase_timestamp + make_interval(0, 0, 0, CAST(CAST(order_id AS BIGINT) % 2 AS INT) * 2 - 1) AS changed_at",
+        "'returned' AS order_status",
+    )
+    tables.upsert(changes, f"{schema}.orders", ["order_id"], "changed_at", "order_status")
+    return tables.scan(spark, f"{schema}.orders")
+
+
 def _event_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Events to landing files, by the stream into bronze, and flattened from there."""
     work = work_path(spark, "stream")
@@ -214,6 +258,7 @@ def queries() -> dict[str, Query]:
         "flatten_events": _flat,
         "event_envelope_roundtrip": _envelope_roundtrip,
         "sessions": _sessions,
+        "session_products": _session_products,
         "session_events": _trail,
         "events_by_type": lambda s, d: reports.events_by_type(given.bronze_events(s, d)),
         "session_summary": lambda s, d: reports.session_summary(_measured(s, d)),
@@ -247,8 +292,11 @@ def queries() -> dict[str, Query]:
         "reference_orders": _reference_orders,
         "order_purchases": _order_purchases,
         "order_purchase_events": _order_purchase_events,
+        "purchase_items": _purchase_items,
         "table_counts": _table_counts,
         "csv_roundtrip": _csv_roundtrip,
+        "csv_text_roundtrip": _csv_text_roundtrip,
+        "upsert_orders": _upsert_orders,
         "event_stream_ingest": _event_stream_ingest,
         "topic_decode": _topic_decode,
         "event_batches": _event_batches,

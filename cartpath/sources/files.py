@@ -15,17 +15,32 @@ from cartpath.sources.tables import ensure_schema, write_table
 LOAD_RESULT = "file string, table string, status string, rows bigint, error string, seconds double"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A CSV file with a header. Without a schema, types are inferred, which reads the file twice."""
-    reader = spark.read.option("header", True)
+# How retail files quote. A quote in a quoted value is doubled, and blanks belong to the value.
+QUOTING = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = True) -> DataFrame:
+    """A CSV file with a header. Without a schema, types are inferred, which reads the file twice.
+
+    An empty value is NULL, quoted or not. Quoted values may hold line breaks. Where they do not, ``multi_line=False`` lets several tasks
+    share a large file, which is otherwise read by one.
+    """
+    reader = spark.read.options(**QUOTING).option("multiLine", multi_line)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
-def load_csv(spark: SparkSession, path: str, table: str, schema: str | None = None) -> int:
+def write_csv(rows: DataFrame, path: str) -> None:
+    """CSV files with a header that :func:`read_csv` reads back, blanks and line breaks included."""
+    rows.write.options(**QUOTING, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
+def load_csv(
+    spark: SparkSession, path: str, table: str, schema: str | None = None, multi_line: bool = True
+) -> int:
     """Replace a bronze table by a CSV file with lineage columns; returns the rows written."""
     source = F.lit(path.rstrip("/").rsplit("/", 1)[-1])
-    return write_table(with_lineage(read_csv(spark, path, schema), source), table)
+    return write_table(with_lineage(read_csv(spark, path, schema, multi_line), source), table)
 
 
 def load_files(

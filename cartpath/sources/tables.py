@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from cartpath.session import durable
 
@@ -53,25 +54,35 @@ def _overwrite_partitions(rows: DataFrame, table: str) -> None:
 def upsert(changes: DataFrame, table: str, keys: Sequence[str], newest: str, partition: str) -> int:
     """Insert or update rows of a partitioned table by key; the row with the larger ``newest`` wins.
 
-    Only partitions that hold a changed key, before or after, are read whole and written again.
-    Returns the rows written.
+    A NULL key is a key like others, and a NULL ``newest`` is older than any other value. Of equally
+    new rows a change wins, and of several changes the one with the largest values. Rows whose key is not in ``changes`` stay as they are, repeated ones
+    included. Only partitions that hold a changed key, before or after, are read whole and written
+    again. Returns the rows written.
     """
     spark = changes.sparkSession
     current = spark.table(table)
     columns = current.columns
-    held = current.join(changes.select(*keys).distinct(), list(keys), "left_semi")
-    touched = changes.select(partition).union(held.select(partition)).distinct()
+    changed = changes.select(*keys).distinct().withColumnsRenamed({k: f"_{k}" for k in keys})
+    same_key = reduce(lambda a, b: a & b, (current[k].eqNullSafe(changed[f"_{k}"]) for k in keys))
+    held = current.join(changed, same_key, "left_semi")
+    moved = changes.select(F.col(partition).alias("_at")).union(held.select(partition)).distinct()
+    touched = durable(moved)
+    untouched = current.join(touched, current[partition].eqNullSafe(touched["_at"]), "left_semi").join(
+        changed, same_key, "left_anti"
+    )
     # The newest row of a key is an aggregate, which combines any number of copies before its
-    # exchange. A partition that loses its last row has to be dropped, so partitions are listed.
+    # exchange. A struct is never NULL, so undated rows take part. A partition that loses its last
+    # row has to be dropped, so partitions are listed.
+    tie = [f.name for f in current.schema.fields if isinstance(f.dataType, AtomicType)]
     merged = (
-        current.join(touched, partition, "left_semi")
-        .unionByName(changes.select(*columns))
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct(*columns), newest).alias("_row"))
+        held.withColumn("_change", F.lit(False))
+        .unionByName(changes.select(*columns, F.lit(True).alias("_change")))
+        .groupBy(*(F.col(k).alias(f"_{k}") for k in keys))
+        .agg(F.max_by(F.struct(*columns), F.struct(newest, "_change", *tie)).alias("_row"))
         .select("_row.*")
     )
-    rows = durable(merged)
-    emptied = durable(touched).join(rows, partition, "left_anti").select(partition)
+    rows = durable(untouched.unionByName(merged))
+    emptied = touched.join(rows, touched["_at"].eqNullSafe(rows[partition]), "left_anti")
     written = rows.count()
     _overwrite_partitions(rows, table)
     for row in emptied.toLocalIterator():

@@ -23,6 +23,7 @@ SCHEMAS = {
         " o_orderdate timestamp_ntz, o_orderpriority string"
     ),
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
     "events": (
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     ),
@@ -79,8 +80,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    paid = given(spark, folder, "orders").where("o_orderstatus != 'P'")
-    return paid.selectExpr("CAST(o_orderkey AS STRING) AS order_id", "o_orderpriority AS payment_type")
+    return given(spark, folder, "orders").selectExpr("CAST(o_orderkey AS STRING) AS order_id", "o_orderpriority AS payment_type")
 
 
 def actions(spark: SparkSession, folder: str) -> DataFrame:

@@ -101,20 +101,31 @@ def write_event_files(events: DataFrame, folder: str, per_file: int = EVENTS_PER
     events.write.mode("overwrite").option("maxRecordsPerFile", per_file).json(folder)
 
 
+def _finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a write into ``folder`` was committed, by the mark that Spark leaves last."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def batch_events(messages: DataFrame, folder: str, checkpoint: str, per_file: int = EVENTS_PER_FILE) -> None:
     """Write a stream of messages to event files, also the last ones that fill no whole file.
 
     The text of each message is kept as it is, on one line: line breaks only occur between the
     tokens of a JSON text. Nothing is parsed here; :func:`event_stream` does that once and
-    quarantines what is no event. Each micro-batch has its own folder, which a repeated batch
-    overwrites, so that no message is lost or doubled by a restart.
+    quarantines what is no event. Each micro-batch has a folder of its own, below one that names the
+    checkpoint's identity, so that streams may share ``folder``. A batch that is run again after it
+    was finished is not written again, so a restart neither loses nor doubles a message.
     """
+    spark = messages.sparkSession
     text = F.regexp_replace(F.col("value").cast("string"), r"[\r\n]+", " ")
     lines = messages.where(F.col("value").isNotNull()).select(text.alias("value"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite").option("maxRecordsPerFile", per_file)
-        writer.text(f"{folder}/batch-{batch_id:010d}")
+        # The stream notes its identity in the checkpoint before the first batch.
+        identity = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        target = f"{folder}/stream-{identity}/batch-{batch_id:010d}"
+        if not _finished(spark, target):
+            batch.write.mode("overwrite").option("maxRecordsPerFile", per_file).text(target)
 
     finish(
         lines.writeStream.foreachBatch(write)

@@ -8,7 +8,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "conversations")
 
 
 def oracle(folder: str) -> duckdb.DuckDBPyConnection:

@@ -75,23 +75,30 @@ def test_many_hot_keys_are_joined_without_broadcast(flat, monkeypatch):
     assert texts(sessions.session_events(flat, hot)) == texts(sessions.session_events(flat))
 
 
-def test_sessions_over_the_limit_keep_their_products_in_the_trail(flat):
-    plain = sessions.sessions(flat)
-    hot = skew.hot_keys(flat, sessions.SESSION_KEYS, 20)
-    split = sessions.sessions(flat, hot)
-    assert split.dtypes == plain.dtypes
-    assert texts(split.drop(sessions.PRODUCT_LIST)) == texts(plain.drop(sessions.PRODUCT_LIST))
-    unlisted = {(r.session_id, r.customer_id) for r in split.where("products_interacted IS NULL").collect()}
-    sizes = flat.groupBy(*sessions.SESSION_KEYS).count().where("count > 20").collect()
-    assert unlisted == {(r.session_id, r.customer_id) for r in sizes} and unlisted
-    listed = {(r.session_id, r.customer_id): r.products_interacted for r in plain.collect()}
-    rows = sessions.interacted_products(sessions.session_events(flat)).orderBy("event_sequence_num").collect()
+@pytest.mark.parametrize("limit", [10_000, 20])
+def test_products_of_sessions_as_rows(flat, limit):
+    """The list of every session, of whatever size, and the same as rows."""
+    listed = {(r.session_id, r.customer_id): r.products_interacted for r in sessions.sessions(flat).collect()}
+    hot = skew.hot_keys(flat, sessions.SESSION_KEYS, limit)
+    assert (hot is None) == (limit == 10_000)
+    rows = sessions.session_products(flat, hot)
+    assert dict(rows.dtypes)["position"] == "bigint"
     as_rows = {}
-    for row in rows:
+    for row in rows.orderBy("position").collect():
         as_rows.setdefault((row.session_id, row.customer_id), []).append(row.product_id)
+        assert row.position == len(as_rows[row.session_id, row.customer_id])
     assert {key: as_rows.get(key, []) for key in listed} == listed
 
 
+def test_null_in_either_key_is_not_mixed_up(spark):
+    """A digest skips NULL, so the hot session (x, NULL) has the digest of (NULL, x)."""
+    made = [event(f"e{i}", f"01T10:00:{i:02d}", "view", "x", None, [("p", 1.0)]) for i in range(9)]
+    rows = flat_events(spark, [*made, event("other", "01T10:00:00", "view", None, "x", [("q", 1.0)])])
+    hot = skew.hot_keys(rows, sessions.SESSION_KEYS, 5)
+    assert texts(sessions.session_products(rows, hot)) == texts(sessions.session_products(rows))
+    assert all(r.products_interacted for r in sessions.sessions(rows).collect())
+
+
 def test_journeys_of_hot_customers(spark, flat):
     made = sessions.session_measures(flat)
     plain = journeys.ranked_sessions(made)
@@ -122,21 +129,16 @@ def test_size_from_the_session_table(flat):
     assert set(by_rows.frame.collect()) == set(by_sessions.frame.collect())
 
 
-def test_order_with_many_lines_is_given_in_parts(spark):
+def test_order_with_many_lines_is_one_event(spark):
     lines = spark.createDataFrame(
         [("big", "c", f"p{i % 40:02d}", "x", float(i), "card") for i in range(95)] + [("small", "d", "p", "x", 2.0, None)],
         "order_id string, customer_unique_id string, product_id string, product_category_name string,"
         " price double, payment_type string",
     )
     whole = {r.order_id: r for r in orders.order_purchases(lines).collect()}
-    hot = skew.hot_keys(lines, orders.ORDER_KEYS, 30)
-    parts = orders.order_purchases(lines, hot, most_items=30).orderBy("order_id", "part").collect()
-    assert [(r.order_id, r.part, len(r["items"])) for r in parts] == [
-        ("big", 0, 30),
-        ("big", 1, 30),
-        ("big", 2, 30),
-        ("big", 3, 5),
-        ("small", 0, 1),
-    ]
-    assert [i for r in parts if r.order_id == "big" for i in r["items"]] == whole["big"]["items"]
-    assert {r.order_total for r in parts if r.order_id == "big"} == {whole["big"].order_total}
+    assert {k: (r.part, len(r["items"]), r.order_total) for k, r in whole.items()} == {"big": (0, 95, 4465.0), "small": (0, 1, 2.0)}
+    assert orders.purchase_actions(orders.order_purchases(lines)).count() == 2
+    for hot in (None, skew.hot_keys(lines, orders.ORDER_KEYS, 30)):
+        rows = orders.purchase_items(lines, hot).orderBy("order_id", "position").collect()
+        assert [(r.order_id, r.position) for r in rows] == [("big", i + 1) for i in range(95)] + [("small", 1)]
+        assert [r["item"] for r in rows if r.order_id == "big"] == whole["big"]["items"]

@@ -85,3 +85,27 @@ def test_upsert_rewrites_only_touched_partitions(spark, schema):
     ]
     assert {f for f in spark.table(table).inputFiles() if "day=d3" in f} == untouched
     assert tables.write_history(spark, table).count() == 2
+
+
+def test_upsert_keeps_undated_and_keyless_rows(spark, schema):
+    table = f"{schema}.loose"
+    columns = "id string, amount int, seen int, day string"
+    given = [("a", 1, None, "d1"), ("b", 1, None, "d1"), ("b", 1, None, "d1"), (None, 1, 5, "d1"), ("c", 1, 1, None)]
+    tables.write_table(spark.createDataFrame(given, columns), table, partition_by=("day",))
+    changes = [("a", 2, None, "d1"), ("a", 3, 1, "d1"), (None, 2, 4, "d1"), ("d", 2, None, None)]
+    tables.upsert(spark.createDataFrame(changes, columns), table, ["id"], "seen", "day")
+    found = sorted((tuple(r) for r in spark.table(table).collect()), key=str)
+    expected = [("a", 3, 1, "d1"), ("b", 1, None, "d1"), ("b", 1, None, "d1"), (None, 1, 5, "d1"), ("c", 1, 1, None), ("d", 2, None, None)]
+    assert found == sorted(expected, key=str)
+
+
+def test_csv_with_quotes_blanks_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text('id,score,text\n1,5,"two\nlines, and a ""quote"""\n2,,\n3,4," blanks "\n')
+    expected = [(1, 5, 'two\nlines, and a "quote"'), (2, None, None), (3, 4, " blanks ")]
+    for ddl in (None, "id int, score int, text string"):
+        assert sorted(tuple(r) for r in files.read_csv(spark, str(path), ddl).collect()) == expected
+    rows = spark.createDataFrame([(1, "\\ \"x\",\r\ny "), (2, ""), (3, None)], "id int, text string")
+    files.write_csv(rows, str(tmp_path / "out"))
+    found = files.read_csv(spark, str(tmp_path / "out"), "id int, text string").collect()
+    assert sorted(tuple(r) for r in found) == [(r.id, r.text or None) for r in rows.collect()]

@@ -119,3 +119,14 @@ def test_topic_straight_into_bronze(spark, schema, tmp_path):
     ingest.ingest_events(stream, schema, str(tmp_path / "checkpoint"))
     assert names(spark.table(f"{schema}.events")) == ["1"]
     assert [r._corrupt_record for r in spark.table(f"{schema}.events_quarantine").collect()] == ["garbage"]
+
+
+def test_streams_share_a_folder_of_event_files(spark, tmp_path):
+    for name in ("one", "two"):
+        texts = [(json.dumps(event(f"{name}-{i}", "01T10:00:00", "page")),) for i in range(3)]
+        spark.createDataFrame(texts, "value string").write.parquet(str(tmp_path / name))
+    for name, checkpoint in (("one", "a"), ("two", "b"), ("two", "b")):
+        messages = spark.readStream.schema("value string").parquet(str(tmp_path / name))
+        ingest.batch_events(messages, str(tmp_path / "out"), str(tmp_path / checkpoint))
+    lines = spark.read.option("recursiveFileLookup", True).text(str(tmp_path / "out")).collect()
+    assert sorted(json.loads(r.value)["_id"] for r in lines) == [f"{n}-{i}" for n in ("one", "two") for i in range(3)]
