@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cartpath.llm import words
 from cartpath.llm.common import body, durable, longs, rows_of, written
 
+_FEW = 8  # members of a bucket that may meet each other directly
 _MARK = np.uint64(0xFFFFFFFF)
 
 
@@ -130,6 +131,26 @@ def _compared(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> Da
     return written(similar(met, size, least), "links")
 
 
+def _unlinked_pairs(rows: DataFrame, key: list[str], step: int) -> DataFrame:
+    """Pairs (a, b) of different ``root`` in the groups of ``rows`` (id, root) that ``key`` makes.
+
+    All of them in groups of up to ``_FEW`` rows; in larger ones those with the smallest, the largest
+    and an id that ``step`` draws.
+    """
+    own = F.struct("id", "root")
+    groups = rows.groupBy(*key).agg(
+        F.count("*").alias("held"),
+        F.array(F.min(own), F.max(own), F.min_by(own, F.xxhash64("id", *key, F.lit(step)))).alias("centres"),
+        (F.min("root") < F.max("root")).alias("open"),
+    ).where("open")
+    held = rows.join(groups, key)
+    listed = held.where(F.col("held") <= _FEW).groupBy(*key).agg(F.collect_list(own).alias("centres"))
+    few = listed.select("centres", F.inline("centres"))
+    many = held.where(F.col("held") > _FEW).select("centres", "id", "root")
+    met = few.unionByName(many).select("id", "root", F.explode("centres").alias("other")).where("root <> other.root")
+    return met.select(F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: int = 24, rows_per_band: int = 4) -> DataFrame:
     """One row per doc_id: doc_id, copy_of (the smallest id with the same words) and class_id.
 
@@ -139,9 +160,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     shingle; one without words, null included, is a class of its own. Rows with one doc_id are one
     document, a null doc_id is left out.
 
-    In a bucket each member meets the bucket's smallest id first; where that has not connected them,
-    members meet two more centres that each band draws anew. Buckets of up to four members are thereby
-    compared in full, larger ones by up to two centres for each band and the common one.
+    In a bucket each member meets the bucket's smallest id first. What that has not connected is looked
+    at again: buckets of up to ``_FEW`` members are compared in full. Larger ones are cut up by every
+    other band, since texts as similar as ``least`` agree in several, and what is then small is compared
+    in full, the rest with centres drawn anew in each round, until a round finds no link. Only members
+    not yet of one class are compared.
     """
     source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), body().alias("text"))
     drawn = written(sketches(source, size, bands, rows_per_band), "sketches")
@@ -149,30 +172,35 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     classes = written(tops, "copies")
 
     reps = classes.select(F.col("copy_of").alias("id"), F.posexplode("bands").alias("band", "bucket"))
-    buckets = reps.groupBy("band", "bucket").agg(
-        F.count("*").alias("members"),
-        F.min("id").alias("centre"),
-        F.min_by("id", F.xxhash64("id", "band")).alias("second"),
-        F.min_by("id", F.xxhash64("band", "id", F.lit(1))).alias("third"),
-    ).where("members > 1")
-    met = written(reps.join(buckets, ["band", "bucket"]).select("id", "centre", "second", "third", "members"), "met")
+    buckets = reps.groupBy("band", "bucket").agg(F.count("*").alias("members"), F.min("id").alias("centre")).where("members > 1")
+    met = written(reps.join(buckets, ["band", "bucket"]), "met")
     involved = met.select("id").distinct()
     texts = source.join(classes.select(F.col("copy_of").alias("doc_id")), "doc_id", "left_semi")
     texts = texts.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi").dropDuplicates(["id"])
     texts = written(texts, "texts")
 
-    def pairs(rows: DataFrame, *centres: str) -> DataFrame:
-        some = rows.select("id", F.explode(F.array(*centres)).alias("other")).where("id <> other")
-        return some.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-
-    links = _compared(pairs(met, "centre"), texts, size, least)
+    tried = met.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    links = _compared(tried, texts, size, least)
     roots = durable(components(involved, links))
-    more = pairs(met.where("members > 2"), "second", "third")
-    a, b = (roots.select(F.col("id").alias(n), F.col("root").alias(f"{n}_root")) for n in ("a", "b"))
-    more = more.join(a, "a").join(b, "b").where("a_root <> b_root").select("a", "b")
-    tried = pairs(met, "centre")
-    links = links.union(_compared(more.join(tried, ["a", "b"], "left_anti"), texts, size, least))
-    roots = components(involved, links)
+    step = 0
+    while True:
+        # Step 0 looks at the buckets themselves, later ones at their parts.
+        rows = met.where(F.col("members") > (2 if step == 0 else _FEW)).select("id", "band", "bucket").join(roots, "id")
+        key = ["band", "bucket"]
+        if step:
+            unsettled = rows.groupBy(*key).agg((F.min("root") < F.max("root")).alias("open")).where("open").select(*key)
+            cut = classes.select(F.col("copy_of").alias("id"), F.posexplode("bands").alias("other", "part"))
+            rows = rows.join(unsettled, key, "left_semi").join(cut, "id").where("other > band")
+            key = [*key, "other", "part"]
+        more = written(_unlinked_pairs(rows, key, step).join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = _compared(more, texts, size, least)
+        if found.limit(1).count():
+            links = links.union(found)
+            roots = durable(components(involved, links))
+        elif step:
+            break
+        tried = tried.union(more)
+        step += 1
 
     named = classes.join(roots.withColumnRenamed("id", "copy_of"), "copy_of", "left")
     named = named.select("d1", "d2", "copy_of", F.coalesce("root", "copy_of").alias("class_id"))

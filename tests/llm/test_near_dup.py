@@ -44,6 +44,22 @@ def test_edge_rows_and_groups(spark):
     assert found(docs) == classes(rows, 5, 0.8)
 
 
+def test_links_within_large_buckets_of_unlike_texts(spark):
+    """Texts that share most words, but are linked in pairs only: no centre of a bucket helps the others."""
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(150)]
+    ids = rng.sample(range(10_000), 240)
+    rows = []
+    for i in range(120):
+        own = [f"t{i}x{k}" for k in range(50)]
+        edited = [*own[:20], "new", *own[21:]]
+        rows += [(ids[2 * i], " ".join(common + own)), (ids[2 * i + 1], " ".join(common + edited))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = classes(rows, 5, 0.8)
+    assert len(set(expected.values())) == 120
+    assert found(docs) == expected
+
+
 def test_given_documents(spark):
     folder = "/root/testdata/sf0.01/documents.parquet"
     rows = [(r["doc_id"], r["text"]) for r in pq.read_table(folder, columns=["doc_id", "text"]).to_pylist()]
