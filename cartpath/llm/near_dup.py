@@ -123,6 +123,16 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, nodes["id"] == found["_id"], "left").select("id", F.coalesce("root", "id").alias("root"))
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (id, root) after ``links`` (a, b) have connected classes; only the classes they touch are walked again."""
+    a = roots.select(F.col("id").alias("a"), F.col("root").alias("a_root"))
+    b = roots.select(F.col("id").alias("b"), F.col("root").alias("b_root"))
+    ends = durable(links.join(a, "a").join(b, "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct())
+    touched = ends.select(F.col("a").alias("id")).union(ends.select("b")).distinct()
+    tops = components(touched, ends).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    return roots.join(tops, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
+
+
 def _compared(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
     """The verified ones of ``pairs`` (a, b), written once."""
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("a_text"))
@@ -195,8 +205,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
         more = written(_unlinked_pairs(rows, key, step).join(tried, ["a", "b"], "left_anti"), "pairs")
         found = _compared(more, texts, size, least)
         if found.limit(1).count():
-            links = links.union(found)
-            roots = durable(components(involved, links))
+            roots = durable(_merged(roots, found))
         elif step:
             break
         tried = tried.union(more)
