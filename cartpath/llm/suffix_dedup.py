@@ -165,7 +165,7 @@ def _compared(strings: DataFrame, length: int, shard_bytes: int, memory: int) ->
 
 
 def dedup_substrings(
-    docs: DataFrame, length: int = 200, gram: int = 40, hot_anchor: int = 8_192, shard_bytes: int = 2 << 20, memory: int = 64 << 20
+    docs: DataFrame, length: int = 200, gram: int = 40, hot_anchor: int = 2_000, shard_bytes: int = 2 << 20, memory: int = 64 << 20
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and text (bytes) of each row after removal.
 
