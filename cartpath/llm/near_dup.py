@@ -20,6 +20,9 @@ from cartpath.llm import words
 from cartpath.llm.common import body, durable, longs, rows_of, written
 
 _FEW = 8  # members of a bucket that may meet each other directly
+_ORDER_BITS = 20  # slots of the counts that order shingles from rare to common
+_KEPT = 4_000_000  # shingles that a task remembers between pairs
+_BLOCK = 2048  # rows of one side that meet the other in one task
 _MARK = np.uint64(0xFFFFFFFF)
 
 
@@ -49,6 +52,10 @@ def weighted_shingles(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.nda
     return distinct, 1 + np.log(counts)
 
 
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - _ORDER_BITS)).astype(np.int64)
+
+
 def sketches(docs: DataFrame, size: int, bands: int, rows_per_band: int) -> DataFrame:
     """doc_id, a 128-bit digest of the words (null without words) and the band hashes of each row."""
     registers = bands * rows_per_band
@@ -88,13 +95,24 @@ def similar(pairs: DataFrame, size: int, least: float) -> DataFrame:
     """The pairs (a, b, a_text, b_text) whose sets of shingles have at least the Jaccard similarity ``least``."""
 
     def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
+        known: dict[int, np.ndarray] = {}
+        room = _KEPT
+
+        def shingles(doc_id: int, text: bytes) -> np.ndarray:
+            nonlocal room
+            if doc_id not in known:
+                own = np.unique(words.windows(words.word_hashes(text), size))
+                room -= len(own)
+                if room < 0:
+                    known.clear()
+                    room = _KEPT - len(own)
+                known[doc_id] = own
+            return known[doc_id]
+
         for rows in rows_of(parts):
             keep = []
-            for a, a_text, b_text in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True):
-                if last[0] != a:
-                    last = (a, np.unique(words.windows(words.word_hashes(a_text), size)))
-                one, two = last[1], np.unique(words.windows(words.word_hashes(b_text), size))
+            for a, b, a_text, b_text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                one, two = shingles(a, a_text), shingles(b, b_text)
                 shared = len(np.intersect1d(one, two, assume_unique=True)) if min(len(one), len(two)) >= least * max(len(one), len(two)) else 0
                 keep.append(shared >= least * (len(one) + len(two) - shared))
             mask = pa.array(keep, pa.bool_())
@@ -161,6 +179,61 @@ def _unlinked_pairs(rows: DataFrame, key: list[str], step: int) -> DataFrame:
     return met.select(F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b")).distinct()
 
 
+def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """Pairs (a, b) of different ``root`` of ``rows`` (id, root): at least all of the similarity ``least``.
+
+    Shingles are put into one order for all texts, rare ones first. Two texts as similar as ``least`` have
+    a shingle in common among the first of each, and from the first common one on enough must be left.
+    """
+    held = written(rows.join(texts, "id").select("id", "root", "text"), "unsettled")
+
+    def tally(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _ORDER_BITS, np.int64)
+        for batch in rows_of(parts):
+            for text in batch.column(0).to_pylist():
+                np.add.at(counts, _slot(np.unique(words.windows(words.word_hashes(text), size))), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["slot", "n"])
+
+    # What reaches the driver is bounded. Shingles that share a slot are ordered by their hash.
+    table = held.select("text").mapInArrow(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << _ORDER_BITS, np.int64)
+    counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(counts.tobytes())
+
+    def prefixes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = np.frombuffer(shared.value, np.int64)
+        for batch in rows_of(parts, 256):
+            own = [np.unique(words.windows(words.word_hashes(t), size)) for t in batch.column(2).to_pylist()]
+            first = [s[np.lexsort((s, rank[_slot(s)]))][: len(s) - int(np.ceil(least * len(s) - 1e-9)) + 1] for s in own]
+            many = [len(f) for f in first]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(batch.column(0).to_numpy(), many)),
+                    pa.array(np.repeat(batch.column(1).to_numpy(), many)),
+                    longs(np.concatenate(first)),
+                    # Shingles from this one on, and all.
+                    pa.array(np.concatenate([len(s) - np.arange(n) for s, n in zip(own, many, strict=True)]).astype(np.int32)),
+                    pa.array(np.repeat([len(s) for s in own], many).astype(np.int32)),
+                ],
+                names=["id", "root", "shingle", "rest", "total"],
+            )
+
+    drawn = written(held.mapInArrow(prefixes, "id long, root long, shingle long, rest int, total int"), "prefixes")
+    by_root = drawn.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    # All rows of a shingle meet those outside its commonest class, in blocks of bounded size.
+    groups = by_root.groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
+    groups = groups.where("others > 0").select("shingle", "main", F.ceil(F.col("others") / _BLOCK).cast("int").alias("blocks"))
+    open_rows = drawn.join(groups, "shingle")
+    one = open_rows.where("root <> main").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).drop("blocks").alias("x")
+    every = open_rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "main").alias("y")
+    enough = F.least("x.rest", "y.rest") >= least / (1 + least) * (F.col("x.total") + F.col("y.total")) - 1e-9
+    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") == F.col("y.block"))
+    once = (F.col("y.root") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))
+    met = one.join(every, same & (F.col("x.root") != F.col("y.root")) & once & enough)
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: int = 24, rows_per_band: int = 4) -> DataFrame:
     """One row per doc_id: doc_id, copy_of (the smallest id with the same words) and class_id.
 
@@ -171,10 +244,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     document, a null doc_id is left out.
 
     In a bucket each member meets the bucket's smallest id first. What that has not connected is looked
-    at again: buckets of up to ``_FEW`` members are compared in full. Larger ones are cut up by every
-    other band, since texts as similar as ``least`` agree in several, and what is then small is compared
-    in full, the rest with centres drawn anew in each round, until a round finds no link. Only members
-    not yet of one class are compared.
+    at again: buckets of up to ``_FEW`` members are compared in full, larger ones with two more centres
+    and, cut up by every other band, with centres drawn anew in each round, while a round finds links.
+    Members of larger buckets that are still not of one class are compared by the shingles that a pair
+    as similar as ``least`` must share, so no pair of a bucket is left out.
     """
     source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), body().alias("text"))
     drawn = written(sketches(source, size, bands, rows_per_band), "sketches")
@@ -210,6 +283,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
             break
         tried = tried.union(more)
         step += 1
+    unsettled = met.where(F.col("members") > _FEW).select("id", "band", "bucket").join(roots, "id")
+    unsettled = unsettled.groupBy("band", "bucket").agg((F.min("root") < F.max("root")).alias("open")).where("open")
+    left = met.join(unsettled, ["band", "bucket"], "left_semi").select("id").distinct().join(roots, "id")
+    pairs = written(_prefix_pairs(left, texts, size, least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    found = _compared(pairs, texts, size, least)
+    if found.limit(1).count():
+        roots = durable(_merged(roots, found))
 
     named = classes.join(roots.withColumnRenamed("id", "copy_of"), "copy_of", "left")
     named = named.select("d1", "d2", "copy_of", F.coalesce("root", "copy_of").alias("class_id"))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow.parquet as pq
 
 from cartpath.llm import near_dup, words
-from tests.llm.brute import classes
+from tests.llm.brute import classes, shingles
 
 
 def found(docs, **options):
@@ -60,6 +60,56 @@ def test_links_within_large_buckets_of_unlike_texts(spark):
     assert found(docs) == expected
 
 
+def test_many_edits_of_one_template(spark):
+    """Texts of one template that are unlike but for some pairs, so buckets are large at any number of bands."""
+    rng = random.Random(12)
+    template = [f"c{i}" for i in range(300)]
+    texts = []
+    for i in range(150):
+        places = rng.sample(range(2, 300, 5), 8)
+        for one, own in (("a", places[2:5]), ("b", places[5:])):
+            edited = list(template)
+            for k in places[:2]:
+                edited[k] = f"e{i}x{k}"
+            for k in own:
+                edited[k] = f"{one}{i}x{k}"
+            texts.append(edited)
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    expected = family_classes(rows)
+    assert 100 < len(set(expected.values())) <= 150
+    assert found(docs) == expected
+
+
+def family_classes(rows, size=5, least=0.8):
+    """As ``brute.classes``, all pairs compared, by a product of matrices."""
+    sets = [shingles(t, size) for _, t in rows]
+    at = {s: k for k, s in enumerate(set().union(*sets))}
+    template = [k for s, k in at.items() if sum(s in x for x in sets[:60]) > 1]
+    dense = {k: c for c, k in enumerate(template)}
+    common = np.zeros((len(rows), len(dense)), np.float32)
+    holders = {}
+    for i, own in enumerate(sets):
+        for s in own:
+            if (c := dense.get(at[s])) is not None:
+                common[i, c] = 1
+            else:
+                holders.setdefault(s, []).append(i)
+    shared = common @ common.T
+    for ids in holders.values():
+        for i in ids:
+            shared[i, ids] += 1
+    sizes = np.array([len(s) for s in sets])
+    like = shared >= least * (sizes[:, None] + sizes[None, :] - shared) - 1e-6
+    root = np.arange(len(rows))
+    while True:
+        new = np.array([root[like[i]].min() for i in range(len(rows))])
+        if np.array_equal(new, root):
+            return {d: rows[r][0] for (d, _), r in zip(rows, root, strict=True)}
+        root = new
+
+
 def test_given_documents(spark):
     folder = "/root/testdata/sf0.01/documents.parquet"
     rows = [(r["doc_id"], r["text"]) for r in pq.read_table(folder, columns=["doc_id", "text"]).to_pylist()]
