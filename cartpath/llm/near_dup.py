@@ -47,9 +47,9 @@ def signatures(shingles: np.ndarray, weights: np.ndarray, owner: np.ndarray, cou
 
 
 def weighted_shingles(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles and their weights, 1 + ln(count)."""
-    distinct, counts = np.unique(words.windows(hashes, size), return_counts=True)
-    return distinct, 1 + np.log(counts)
+    """Distinct shingles and their weights, all equal: registers then agree by the Jaccard similarity that links are held to."""
+    distinct = np.unique(words.windows(hashes, size))
+    return distinct, np.ones(len(distinct))
 
 
 def _slot(shingles: np.ndarray) -> np.ndarray:

@@ -82,6 +82,17 @@ def test_many_edits_of_one_template(spark):
     assert found(docs) == expected
 
 
+def test_copies_with_a_long_repeated_tail(spark):
+    rows = []
+    for i in range(12):
+        own, extra = [f"t{i}x{k}" for k in range(90)], [f"r{i}x{k}" for k in range(15)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own + extra * 1000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = classes(rows, 5, 0.8)
+    assert len(set(expected.values())) == 12
+    assert found(docs) == expected
+
+
 def family_classes(rows, size=5, least=0.8):
     """As ``brute.classes``, all pairs compared, by a product of matrices."""
     sets = [shingles(t, size) for _, t in rows]
