@@ -3,7 +3,7 @@
 Items and documents are brought into templates: a number, a name (a capitalised word inside a sentence)
 and a unit after a number become typed placeholders. Windows of a template meet in a hash join. Where
 they meet, the values in the placeholders are compared: the item's values must map one to one to the
-document's over all windows of the pair, so a re-parameterised question counts and a chance likeness
+document's over all windows of one copy, so a re-parameterised question counts and a chance likeness
 of templates does not.
 """
 
@@ -128,7 +128,7 @@ def contaminated(
     def candidates(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(lookup.value, np.bool_)
         for rows in rows_of(parts):
-            hashes, owners, plains = [], [], []
+            hashes, owners, starts, plains = [], [], [], []
             for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                 typed, plain, cased = template(text)
                 for form in (typed,) if np.array_equal(typed, cased) else (typed, cased):
@@ -136,15 +136,15 @@ def contaminated(
                         for k in np.flatnonzero(may[(own & np.uint64(bits - 1)).astype(np.int64)]):
                             hashes.append(int(own[k]))
                             owners.append(doc_id)
+                            starts.append(k)
                             plains.append(plain[k : k + width].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.uint64()).view(pa.int64()), pa.array(owners, pa.int64()), pa.array(plains, pa.list_(pa.int64()))],
-                names=["window", "doc_id", "doc_words"],
+                [pa.array(hashes, pa.uint64()).view(pa.int64()), pa.array(owners, pa.int64()), pa.array(starts, pa.int64()), pa.array(plains, pa.list_(pa.int64()))],
+                names=["window", "doc_id", "start", "doc_words"],
             )
 
     source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), body().alias("text"))
-    # A window that a document repeats with equal words says nothing new.
-    found = source.mapInArrow(candidates, "window long, doc_id long, doc_words array<long>").distinct()
+    found = source.mapInArrow(candidates, "window long, doc_id long, start long, doc_words array<long>").distinct()
     met = found.join(wanted, "window")
 
     def judge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,17 +155,22 @@ def contaminated(
                 form, item, doc = (np.array(r[c], np.int64) for c in ("form", "item_words", "doc_words"))
                 slots = np.isin(form, marks)
                 if len(doc) == len(form) and np.array_equal(form[~slots], doc[~slots]):  # not just equal hashes
-                    out.append((r["doc_id"], r["item_id"], r["place"], r["total"], item[slots], doc[slots]))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                    out.append((r["doc_id"], r["item_id"], r["start"] - r["place"], r["place"], r["total"], item[slots], doc[slots]))
+            columns = list(zip(*out, strict=True)) or [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "place", "total", "item_slots", "doc_slots"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "at", "place", "total", "item_slots", "doc_slots"]
             )
 
-    schema = "doc_id long, item_id long, place int, total int, item_slots array<long>, doc_slots array<long>"
-    windows = met.select("doc_id", "item_id", "place", "total", "form", "item_words", "doc_words").mapInArrow(judge, schema)
-    # A document may hold an item several times with several values; consistency is asked of each value of a slot.
-    places = windows.groupBy("doc_id", "item_id").agg(
+    schema = "doc_id long, item_id long, at long, place int, total int, item_slots array<long>, doc_slots array<long>"
+    windows = met.select("doc_id", "item_id", "start", "place", "total", "form", "item_words", "doc_words").mapInArrow(judge, schema)
+    # A document may hold an item several times with several values, so each place where it may lie is judged by
+    # itself: the exact one, neighbourhoods for copies with words put in or left out, and the document as a whole.
+    span = 2 * (F.col("total") + size)
+    near = [F.floor((F.col("at") + shift * (F.col("total") + size)) / span).cast("long") for shift in (0, 1)]
+    regions = [("exact", F.col("at")), ("even", near[0]), ("odd", near[1]), ("all", F.lit(0).cast("long"))]
+    region = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), where.alias("where")) for kind, where in regions]))
+    places = windows.withColumn("region", region).groupBy("doc_id", "item_id", "region").agg(
         F.countDistinct("place").alias("n_windows"),
         F.max("total").alias("total"),
         F.collect_set(F.struct("place", "item_slots", "doc_slots")).alias("slots"),
@@ -173,7 +178,10 @@ def contaminated(
     consistent = F.udf(_consistent, "struct<ok:boolean,changed:boolean>")
     shares = places.withColumn("share", F.least(F.lit(1.0), F.col("n_windows") / F.col("total"))).where(F.col("share") >= least_share)
     judged = shares.withColumn("slot", consistent("slots")).where("slot.ok")
-    return judged.select("doc_id", "item_id", "share", "n_windows", F.col("slot.changed").alias("reparameterised"))
+    # Of several copies the fullest is told, and of these a verbatim one.
+    best = F.max(F.struct("share", "n_windows", (~F.col("slot.changed")).alias("verbatim"))).alias("best")
+    kept = judged.groupBy("doc_id", "item_id").agg(best)
+    return kept.select("doc_id", "item_id", "best.share", "best.n_windows", (~F.col("best.verbatim")).alias("reparameterised"))
 
 
 def _consistent(rows) -> tuple[bool, bool]:

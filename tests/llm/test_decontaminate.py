@@ -31,6 +31,15 @@ def test_templates_and_slots(spark):
     assert got == {(1, 1): False, (2, 1): True, (4, 1): False, (9, 1): False}
 
 
+def test_each_copy_is_judged_by_itself(spark):
+    one, two = ITEM.replace("60", "75"), ITEM.replace("60", "90")
+    chance = "leaves Boston at 80 miles and meets Alice after a while"
+    longer = ITEM.replace("60", "75") + ", where a man sold 60 red apples and kept a dozen of them for the long winter that was to come so soon after"
+    texts = {1: f"{one}. Words between them. {two}.", 2: f"{one}. Later: {chance}.", 3: one.replace("3 hours", "75 hours")}
+    assert pairs(spark, texts, {1: ITEM}) == {(1, 1): True, (2, 1): True}
+    assert pairs(spark, {1: longer}, {1: ITEM}) == {(1, 1): True}
+
+
 def test_short_items_and_empty_tables(spark):
     assert pairs(spark, {1: "so the quick brown fox jumps"}, {5: "The quick brown fox jumps"}) == {(1, 5): False}
     assert pairs(spark, {1: "the quick"}, {5: "the quick"}) == {}
