@@ -1,6 +1,7 @@
 """Benchmark passages in documents, also with numbers, names and units exchanged.
 
-Items and documents are brought into templates: a number, a name (a capitalised word inside a sentence)
+Items and documents are brought into templates: a number, a name (a run of capitalised words inside a sentence,
+in a form of its own also at the start of one)
 and a unit after a number become typed placeholders. Windows of a template meet in a hash join. Where
 they meet, the values in the placeholders are compared: the item's values must map one to one to the
 document's over all windows of one copy, so a re-parameterised question counts and a chance likeness
@@ -9,8 +10,9 @@ of templates does not.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from cartpath.llm import words
 from cartpath.llm.common import body, rows_of
 
 # Words that stand for numbers, and units that may follow a number.
-NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split()
+NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 UNITS = "percent dollar dollars euro euros cent cents km kilometers kilometres miles mile m meter meters metres cm mm feet foot inches inch kg kilograms g grams pounds lb liters litres l ml hours hour minutes minute seconds second days day weeks week months month years year mph kmh".split()
 NUMBER, NAME, UNIT = (np.uint64(words.hash_of(f"placeholder_{kind}")) for kind in ("number", "name", "unit"))
 _NUMBERS = np.array([words.hash_of(w) for w in NUMBER_WORDS], np.uint64)
@@ -29,8 +31,23 @@ _UNITS = np.array([words.hash_of(w) for w in UNITS], np.uint64)
 _STOP = np.isin(np.arange(256), np.frombuffer(b".!?:\n", np.uint8))
 
 
-def template(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words with placeholders, of the plain words, and of the words with names left plain."""
+@dataclass
+class Form:
+    """Hashes of the words with placeholders, what stands in the text for each, and the word each begins at."""
+
+    typed: np.ndarray
+    plain: np.ndarray
+    place: np.ndarray
+
+
+def _joined(starts: np.ndarray, ends: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans and first words of runs; ``more`` tells the words that continue the run before."""
+    at = np.flatnonzero(~more)
+    return starts[at], ends[np.append(at[1:], len(starts)) - 1], at
+
+
+def forms(text: bytes) -> list[Form]:
+    """The text with names left plain, with names inside sentences and with all capitalised words as names, without repeats."""
     plain_text = words.letters_only(text)
     raw = plain_text.encode()
     lowered = plain_text.lower().encode()
@@ -38,10 +55,16 @@ def template(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lowered = "".join(c.lower() if len(c.lower().encode()) == len(c.encode()) else c for c in plain_text).encode()
     before, data = np.frombuffer(raw, np.uint8), np.frombuffer(lowered, np.uint8)
     starts, ends = words.spans(data)
+    if not len(starts):
+        return []
+    # Digits with single dots or commas between them are one number.
+    digits = words.only_digits(data, starts, ends)
+    more = np.zeros(len(starts), bool)
+    between = data[np.minimum(ends[:-1], len(data) - 1)]
+    more[1:] = digits[1:] & digits[:-1] & (starts[1:] - ends[:-1] == 1) & ((between == ord(".")) | (between == ord(",")))
+    starts, ends, place = _joined(starts, ends, more)
     plain = words.hashes(data, starts, ends)
-    if not len(plain):
-        return plain, plain, plain
-    number = words.only_digits(data, starts, ends) | np.isin(plain, _NUMBERS)
+    number = digits[place] | np.isin(plain, _NUMBERS)
     unit = np.isin(plain, _UNITS)
     unit[1:] &= number[:-1]
     unit[0] = False
@@ -53,28 +76,29 @@ def template(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = np.zeros(len(plain), bool)
     inside[1:] = stops[starts[1:]] == stops[ends[:-1]]
     named_plain = np.where(number, NUMBER, np.where(unit, UNIT, plain))
-    typed = np.where(capital & inside & ~number & ~unit, NAME, named_plain)
-    return typed, plain, named_plain
+    out = [Form(named_plain, plain, place)]
+    for may in (inside, np.ones(len(plain), bool)):
+        name = capital & may & ~number & ~unit
+        # Capitalised words with a blank between them are one name.
+        run = np.zeros(len(plain), bool)
+        run[1:] = name[1:] & name[:-1] & (starts[1:] - ends[:-1] == 1) & (data[np.minimum(ends[:-1], len(data) - 1)] == 32)
+        whole = _joined(starts, ends, run)
+        typed = np.where(name, NAME, named_plain)[whole[2]]
+        if not any(np.array_equal(typed, f.typed) for f in out):
+            out.append(Form(typed, words.hashes(data, *whole[:2]), place[whole[2]]))
+    return out
 
 
-def item_windows(item: bytes, size: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(window hash, place, template, plain words) of an item; with fewer words than ``size`` it is one window."""
-    typed, plain, cased = template(item)
-    width = min(size, len(typed))
+def item_windows(item: bytes, size: int) -> list[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """(window hash, form, place, template, plain words) of an item; with fewer words than ``size`` it is one window."""
     out = []
-    for form in (typed,) if np.array_equal(typed, cased) else (typed, cased):
-        hashes = words.windows(form, size)
-        out += [(int(h), k, form[k : k + width], plain[k : k + width]) for k, h in enumerate(hashes)]
+    for n, form in enumerate(forms(item)):
+        width = min(size, len(form.typed))
+        hashes = words.windows(form.typed, size)
+        out += [(int(h), n, int(form.place[k]), form.typed[k : k + width], form.plain[k : k + width]) for k, h in enumerate(hashes)]
     return out
 
 
-def _with_names(item: bytes, size: int) -> set[int]:
-    """Places of the windows of an item that hold a name."""
-    typed = template(item)[0]
-    width = min(size, len(typed))
-    return {k for k in range(len(typed) - width + 1) if NAME in typed[k : k + width]}
-
-
 def _windows_of(form: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
     for size in sizes:
         if len(form) >= size:
@@ -100,21 +124,19 @@ def contaminated(
         for rows in rows_of(parts):
             out = []
             for item_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                found = item_windows(text, size)
-                found = [w for w in found if int(np.sum(~np.isin(w[2], (NUMBER, NAME, UNIT)))) >= least_words]
-                # A re-parameterised copy can only show the windows that are specific enough with names replaced.
-                named = {k for _, k, form, _ in found if NAME in form}
-                total = len({k for _, k, _, _ in found} - {k for k in _with_names(text, size) if k not in named}) or len({k for _, k, _, _ in found})
-                for h, k, form, plain in found:
-                    out.append((h, item_id, k, len(form), total, form.view(np.int64), plain.view(np.int64)))
-            columns = list(zip(*out, strict=True)) or [[]] * 7
-            kinds = [pa.uint64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                found = [w for w in item_windows(text, size) if int(np.sum(~np.isin(w[3], (NUMBER, NAME, UNIT)))) >= least_words]
+                # The share is that of the windows of one form; a copy with other names shows only those with names replaced.
+                totals = Counter(n for _, n, _, _, _ in found)
+                for h, n, k, form, plain in found:
+                    out.append((h, item_id, n, k, len(form), totals[n], form.view(np.int64), plain.view(np.int64)))
+            columns = list(zip(*out, strict=True)) or [[]] * 8
+            kinds = [pa.uint64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             arrays[0] = arrays[0].view(pa.int64())
-            yield pa.RecordBatch.from_arrays(arrays, names=["window", "item_id", "place", "width", "total", "form", "item_words"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["window", "item_id", "form_no", "place", "width", "total", "form", "item_words"])
 
     named = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), body().alias("text"))
-    wanted = named.mapInArrow(items, "window long, item_id long, place int, width int, total int, form array<long>, item_words array<long>")
+    wanted = named.mapInArrow(items, "window long, item_id long, form_no int, place int, width int, total int, form array<long>, item_words array<long>")
     # What reaches the driver is bounded: the set bits of the filter, and at most ``size`` widths.
     bits = 1 << filter_bits
     slots = wanted.select(F.pmod("window", F.lit(bits)).cast("int").alias("bit")).distinct()
@@ -130,14 +152,13 @@ def contaminated(
         for rows in rows_of(parts):
             hashes, owners, starts, plains = [], [], [], []
             for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                typed, plain, cased = template(text)
-                for form in (typed,) if np.array_equal(typed, cased) else (typed, cased):
-                    for width, own in _windows_of(form, sizes):
+                for form in forms(text):
+                    for width, own in _windows_of(form.typed, sizes):
                         for k in np.flatnonzero(may[(own & np.uint64(bits - 1)).astype(np.int64)]):
                             hashes.append(int(own[k]))
                             owners.append(doc_id)
-                            starts.append(k)
-                            plains.append(plain[k : k + width].view(np.int64))
+                            starts.append(int(form.place[k]))
+                            plains.append(form.plain[k : k + width].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.uint64()).view(pa.int64()), pa.array(owners, pa.int64()), pa.array(starts, pa.int64()), pa.array(plains, pa.list_(pa.int64()))],
                 names=["window", "doc_id", "start", "doc_words"],
@@ -155,22 +176,24 @@ def contaminated(
                 form, item, doc = (np.array(r[c], np.int64) for c in ("form", "item_words", "doc_words"))
                 slots = np.isin(form, marks)
                 if len(doc) == len(form) and np.array_equal(form[~slots], doc[~slots]):  # not just equal hashes
-                    out.append((r["doc_id"], r["item_id"], r["start"] - r["place"], r["place"], r["total"], item[slots], doc[slots]))
-            columns = list(zip(*out, strict=True)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                    out.append((r["doc_id"], r["item_id"], r["form_no"], r["start"] - r["place"], r["place"], r["total"], item[slots], doc[slots]))
+            columns = list(zip(*out, strict=True)) or [[]] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "at", "place", "total", "item_slots", "doc_slots"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "form_no", "at", "place", "total", "item_slots", "doc_slots"]
             )
 
-    schema = "doc_id long, item_id long, at long, place int, total int, item_slots array<long>, doc_slots array<long>"
-    windows = met.select("doc_id", "item_id", "start", "place", "total", "form", "item_words", "doc_words").mapInArrow(judge, schema)
+    schema = "doc_id long, item_id long, form_no int, at long, place int, total int, item_slots array<long>, doc_slots array<long>"
+    windows = met.select("doc_id", "item_id", "form_no", "start", "place", "total", "form", "item_words", "doc_words").mapInArrow(judge, schema)
     # A document may hold an item several times with several values, so each place where it may lie is judged by
     # itself: the exact one, neighbourhoods for copies with words put in or left out, and the document as a whole.
     span = 2 * (F.col("total") + size)
     near = [F.floor((F.col("at") + shift * (F.col("total") + size)) / span).cast("long") for shift in (0, 1)]
     regions = [("exact", F.col("at")), ("even", near[0]), ("odd", near[1]), ("all", F.lit(0).cast("long"))]
     region = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), where.alias("where")) for kind, where in regions]))
-    places = windows.withColumn("region", region).groupBy("doc_id", "item_id", "region").agg(
+    # Forms are judged one by one, and together for a copy that shows some names as they are and some replaced.
+    windows = windows.withColumn("form_no", F.explode(F.array("form_no", F.lit(-1))))
+    places = windows.withColumn("region", region).groupBy("doc_id", "item_id", "form_no", "region").agg(
         F.countDistinct("place").alias("n_windows"),
         F.max("total").alias("total"),
         F.collect_set(F.struct("place", "item_slots", "doc_slots")).alias("slots"),

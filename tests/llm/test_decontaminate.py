@@ -40,6 +40,20 @@ def test_each_copy_is_judged_by_itself(spark):
     assert pairs(spark, {1: longer}, {1: ITEM}) == {(1, 1): True}
 
 
+def test_common_replacements(spark):
+    names = "Alice has five red apples in a basket today. Bob takes two green pears from the old kitchen table there."
+    sums = "The shop on the corner sells 900 loaves and New York buys 5 more of them before the night comes down"
+    texts = {
+        1: names.replace("Alice", "Carol").replace("Bob", "David"),
+        2: names.replace("five", "sixteen").replace("two", "zero"),
+        3: sums.replace("900", "1,000"),
+        4: sums.replace("5", "7.5"),
+        5: sums.replace("New York", "Paris"),
+        6: sums.replace("New York", "Little Rock").replace("900", "ninety"),
+    }
+    assert pairs(spark, texts, {1: names, 2: sums}) == {(d, 1 if d < 3 else 2): True for d in texts}
+
+
 def test_short_items_and_empty_tables(spark):
     assert pairs(spark, {1: "so the quick brown fox jumps"}, {5: "The quick brown fox jumps"}) == {(1, 5): False}
     assert pairs(spark, {1: "the quick"}, {5: "the quick"}) == {}
