@@ -47,7 +47,7 @@ def _joined(starts: np.ndarray, ends: np.ndarray, more: np.ndarray) -> tuple[np.
 
 
 def forms(text: bytes) -> list[Form]:
-    """The text with names left plain, with names inside sentences and with all capitalised words as names, without repeats."""
+    """The text with names left plain, with names inside sentences and with all capitalised words as names, and as it is, without repeats."""
     plain_text = words.letters_only(text)
     raw = plain_text.encode()
     lowered = plain_text.lower().encode()
@@ -86,16 +86,18 @@ def forms(text: bytes) -> list[Form]:
         typed = np.where(name, NAME, named_plain)[whole[2]]
         if not any(np.array_equal(typed, f.typed) for f in out):
             out.append(Form(typed, words.hashes(data, *whole[:2]), place[whole[2]]))
+    if not np.array_equal(plain, named_plain):
+        out.append(Form(plain, plain, place))
     return out
 
 
-def item_windows(item: bytes, size: int) -> list[tuple[int, int, int, np.ndarray, np.ndarray]]:
-    """(window hash, form, place, template, plain words) of an item; with fewer words than ``size`` it is one window."""
+def item_windows(item: bytes, size: int) -> list[tuple[int, int, int, int, np.ndarray, np.ndarray]]:
+    """(window hash, form, its number, place, template, plain words) of an item; with fewer words than ``size`` it is one window."""
     out = []
     for n, form in enumerate(forms(item)):
         width = min(size, len(form.typed))
         hashes = words.windows(form.typed, size)
-        out += [(int(h), n, int(form.place[k]), form.typed[k : k + width], form.plain[k : k + width]) for k, h in enumerate(hashes)]
+        out += [(int(h), n, k, int(form.place[k]), form.typed[k : k + width], form.plain[k : k + width]) for k, h in enumerate(hashes)]
     return out
 
 
@@ -106,14 +108,15 @@ def _windows_of(form: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int,
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, size: int = 8, least_share: float = 0.8, least_words: int = 5, filter_bits: int = 22
+    docs: DataFrame, benchmark: DataFrame, size: int = 8, least_share: float = 0.8, least_words: int = 5, least_run: int = 13, filter_bits: int = 22
 ) -> DataFrame:
     """Pairs of a document and an item it contains: doc_id, item_id, share, n_windows, reparameterised.
 
-    ``share`` is the part of the item's windows found in the document; pairs of at least ``least_share``
-    are returned if their slot values are consistent. ``reparameterised`` tells that some slot has
-    another value than in the item. Items of fewer than ``least_words`` words, or whose windows are
-    placeholders but for fewer than that, are too general to be found. Null and empty texts contain
+    ``share`` is the part of the item's windows found in one copy; pairs of at least ``least_share``, or with
+    ``least_run`` words in a row, are returned if the slot values of that copy are consistent.
+    ``reparameterised`` tells that some slot has another value than in the item. Templates of fewer than
+    ``least_words`` words but for placeholders are too general; such items are found where they are copied
+    word by word, from three words on. Null and empty texts contain
     nothing; a null doc_id or item_id takes no part; rows with one doc_id are one document.
 
     A table of ``2 ** filter_bits`` bits, whatever the size of the benchmark, tells tasks which windows
@@ -124,19 +127,28 @@ def contaminated(
         for rows in rows_of(parts):
             out = []
             for item_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                found = [w for w in item_windows(text, size) if int(np.sum(~np.isin(w[3], (NUMBER, NAME, UNIT)))) >= least_words]
+                found = item_windows(text, size)
+                special = [w for w in found if int(np.sum(~np.isin(w[4], (NUMBER, NAME, UNIT)))) >= min(least_words, len(w[4]))]
+                special = [w for w in special if len(w[4]) >= 3]
+                # Windows of no placeholder match word by word; they are needed where a template is too general.
+                exact = {w[1] for w in found if np.array_equal(w[4], w[5])}
+                exact = {n for n in exact if all(np.array_equal(w[4], w[5]) for w in found if w[1] == n)} - {0}
+                if sum(w[1] == 0 for w in special) == sum(w[1] == 0 for w in found):
+                    special = [w for w in special if w[1] not in exact]
+                found = special
+                # They count for the share only: a passage of equal words does not outweigh other values in the same copy.
                 # The share is that of the windows of one form; a copy with other names shows only those with names replaced.
-                totals = Counter(n for _, n, _, _, _ in found)
-                for h, n, k, form, plain in found:
-                    out.append((h, item_id, n, k, len(form), totals[n], form.view(np.int64), plain.view(np.int64)))
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            kinds = [pa.uint64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                totals = Counter(w[1] for w in found)
+                for h, n, nth, k, form, plain in found:
+                    out.append((h, item_id, n, None if n in exact else nth, k, len(form), totals[n], form.view(np.int64), plain.view(np.int64)))
+            columns = list(zip(*out, strict=True)) or [[]] * 9
+            kinds = [pa.uint64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             arrays[0] = arrays[0].view(pa.int64())
-            yield pa.RecordBatch.from_arrays(arrays, names=["window", "item_id", "form_no", "place", "width", "total", "form", "item_words"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["window", "item_id", "form_no", "nth", "place", "width", "total", "form", "item_words"])
 
     named = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), body().alias("text"))
-    wanted = named.mapInArrow(items, "window long, item_id long, form_no int, place int, width int, total int, form array<long>, item_words array<long>")
+    wanted = named.mapInArrow(items, "window long, item_id long, form_no int, nth int, place int, width int, total int, form array<long>, item_words array<long>")
     # What reaches the driver is bounded: the set bits of the filter, and at most ``size`` widths.
     bits = 1 << filter_bits
     slots = wanted.select(F.pmod("window", F.lit(bits)).cast("int").alias("bit")).distinct()
@@ -176,15 +188,15 @@ def contaminated(
                 form, item, doc = (np.array(r[c], np.int64) for c in ("form", "item_words", "doc_words"))
                 slots = np.isin(form, marks)
                 if len(doc) == len(form) and np.array_equal(form[~slots], doc[~slots]):  # not just equal hashes
-                    out.append((r["doc_id"], r["item_id"], r["form_no"], r["start"] - r["place"], r["place"], r["total"], item[slots], doc[slots]))
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                    out.append((r["doc_id"], r["item_id"], r["form_no"], r["nth"], r["start"] - r["place"], r["place"], r["total"], item[slots], doc[slots]))
+            columns = list(zip(*out, strict=True)) or [[]] * 9
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "form_no", "at", "place", "total", "item_slots", "doc_slots"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "form_no", "nth", "at", "place", "total", "item_slots", "doc_slots"]
             )
 
-    schema = "doc_id long, item_id long, form_no int, at long, place int, total int, item_slots array<long>, doc_slots array<long>"
-    windows = met.select("doc_id", "item_id", "form_no", "start", "place", "total", "form", "item_words", "doc_words").mapInArrow(judge, schema)
+    schema = "doc_id long, item_id long, form_no int, nth int, at long, place int, total int, item_slots array<long>, doc_slots array<long>"
+    windows = met.select("doc_id", "item_id", "form_no", "nth", "start", "place", "total", "form", "item_words", "doc_words").mapInArrow(judge, schema)
     # A document may hold an item several times with several values, so each place where it may lie is judged by
     # itself: the exact one, neighbourhoods for copies with words put in or left out, and the document as a whole.
     span = 2 * (F.col("total") + size)
@@ -196,10 +208,15 @@ def contaminated(
     places = windows.withColumn("region", region).groupBy("doc_id", "item_id", "form_no", "region").agg(
         F.countDistinct("place").alias("n_windows"),
         F.max("total").alias("total"),
+        F.when(F.col("form_no") >= 0, F.array_sort(F.collect_set("nth"))).alias("nths"),
         F.collect_set(F.struct("place", "item_slots", "doc_slots")).alias("slots"),
     )
     consistent = F.udf(_consistent, "struct<ok:boolean,changed:boolean>")
-    shares = places.withColumn("share", F.least(F.lit(1.0), F.col("n_windows") / F.col("total"))).where(F.col("share") >= least_share)
+    shares = places.withColumn("share", F.least(F.lit(1.0), F.col("n_windows") / F.col("total")))
+    # Windows in a row that make a passage of ``least_run`` words: one as far on as many windows later.
+    steps = least_run - size
+    in_row = F.expr(f"exists(transform(nths, (n, i) -> coalesce(n - get(nths, i - {steps}) = {steps}, false)), x -> x)") if steps >= 0 else F.lit(False)
+    shares = shares.where((F.col("share") >= least_share) | F.coalesce((F.col("region.kind") == "exact") & in_row, F.lit(False)))
     judged = shares.withColumn("slot", consistent("slots")).where("slot.ok")
     # Of several copies the fullest is told, and of these a verbatim one.
     best = F.max(F.struct("share", "n_windows", (~F.col("slot.changed")).alias("verbatim"))).alias("best")

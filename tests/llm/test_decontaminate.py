@@ -63,6 +63,14 @@ def test_short_items_and_empty_tables(spark):
     assert contaminated(spark.createDataFrame([(1, ITEM)], "doc_id long, text string"), bench).count() == 0
 
 
+def test_general_items_and_passages(spark):
+    sums, long = "Calculate 12 + 45 - 3 * 7 / 2", " ".join(f"w{k}ord" for k in range(27))
+    texts = {1: f"Task: {sums} =", 2: "so red green blue it is", 3: "before " + " ".join(long.split()[5:18]) + " after", 4: "Calculate 12 + 46 - 3 * 7 / 2"}
+    texts[5] = "before " + " ".join(long.split()[5:17]) + " after"
+    got = pairs(spark, texts, {1: sums, 2: "Red green blue", 3: long})
+    assert got == {(1, 1): False, (2, 2): False, (3, 3): False}
+
+
 def test_given_documents(spark):
     folder = "/root/testdata/sf0.01"
     words = lambda t: re.findall(r"\w+", t.lower())
