@@ -164,13 +164,18 @@ def contaminated(
         for rows in rows_of(parts):
             hashes, owners, starts, plains = [], [], [], []
             for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+                seen = set()  # forms share most windows
                 for form in forms(text):
                     for width, own in _windows_of(form.typed, sizes):
                         for k in np.flatnonzero(may[(own & np.uint64(bits - 1)).astype(np.int64)]):
-                            hashes.append(int(own[k]))
+                            start, shown = int(form.place[k]), form.plain[k : k + width]
+                            if (key := (int(own[k]), start, shown.tobytes())) in seen:
+                                continue
+                            seen.add(key)
+                            hashes.append(key[0])
                             owners.append(doc_id)
-                            starts.append(int(form.place[k]))
-                            plains.append(form.plain[k : k + width].view(np.int64))
+                            starts.append(start)
+                            plains.append(shown.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.uint64()).view(pa.int64()), pa.array(owners, pa.int64()), pa.array(starts, pa.int64()), pa.array(plains, pa.list_(pa.int64()))],
                 names=["window", "doc_id", "start", "doc_words"],
