@@ -75,5 +75,112 @@ FROM captures c LEFT JOIN hits h ON c.url = h.url AND c.fetched_on = h.fetched_o
 """
 
 
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text, where a CTE ``crc`` with the table ``t`` is at hand."""
+    numbers = f"[CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT) FOR i IN range(octet_length(encode({text})))]"
+    step = "lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])"
+    return f"xor(list_reduce({numbers}, {step}, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"
+
+
+CRC_TABLE = """
+crc AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END, i)
+        ORDER BY i) AS t
+    FROM range(256) AS r(i)
+)"""
+
+SPELLINGS = f"""
+WITH RECURSIVE {CRC_TABLE},
+texts AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+),
+runs AS (
+    SELECT doc, run, count(*) AS n FROM (SELECT doc, unnest(regexp_extract_all(text, '[a-zÀ-ÿ]+')) AS run FROM texts)
+    WHERE length(run) >= 5 GROUP BY doc, run
+),
+hashed AS (SELECT run, n, {_crc32("doc || ':' || run")} AS h FROM runs, crc),
+changed AS (
+    SELECT n, CASE WHEN h % 97 = 0
+        THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+    FROM hashed
+),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+without AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM words, range(1, 200) AS r(i) WHERE i <= length(word)
+),
+pairs AS (
+    SELECT a.word AS a, b.word AS b FROM without a JOIN without b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word FROM words a JOIN without b ON a.word = b.rest
+    UNION SELECT b.word, a.word FROM words a JOIN without b ON a.word = b.rest
+),
+near AS (
+    SELECT a AS word, count(*) AS n_near, arg_min(b, (-w.n, b)) AS best, max(w.n) AS best_n
+    FROM pairs JOIN words w ON w.word = b GROUP BY a
+),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form,
+        CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+    FROM words LEFT JOIN near USING (word)
+),
+chain AS (
+    SELECT word, word AS last FROM forms
+    UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.last = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.last AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c ON f.word = c.word JOIN forms e ON e.word = c.last WHERE e.form IS NULL
+"""
+
+TRIE = f"""
+WITH {CRC_TABLE},
+turns AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS first, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS head
+    FROM (SELECT DISTINCT conv_id FROM turns), crc
+),
+sizes AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id),
+rebuilt AS (
+    SELECT c.conv_id, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.first AND t.pos <= c.head
+    UNION ALL
+    SELECT c.conv_id, t.pos - c.head + least(c.head, coalesce(s.n, 0)), t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.head LEFT JOIN sizes s ON s.conv_id = c.first
+),
+members AS (
+    SELECT conv_id, pos AS depth, length(text) AS n_chars,
+        string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY pos) AS prefix
+    FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+),
+nodes AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(n_chars) AS saved FROM members GROUP BY depth, prefix
+),
+places AS (SELECT m.conv_id AS member, n.conv_id, n.depth FROM members m JOIN nodes n ON m.depth = n.depth AND m.prefix = n.prefix),
+linked AS (SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN places p ON p.member = n.conv_id AND p.depth = n.depth - 1),
+children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT l.*, coalesce(c.n_children, 0) AS n_children FROM linked l LEFT JOIN children c ON c.conv_id = l.conv_id AND c.depth = l.depth),
+totals AS (
+    SELECT p.conv_id, p.depth, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, CAST(sum(f.saved) AS BIGINT) AS saved_tokens
+    FROM full_nodes f JOIN places p ON p.member = f.conv_id AND p.depth <= f.depth GROUP BY p.conv_id, p.depth
+),
+ends AS (
+    SELECT p.conv_id, p.depth, string_agg(CAST(p.member AS VARCHAR), ',' ORDER BY p.member) AS ids
+    FROM places p JOIN (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id) w ON w.conv_id = p.member AND w.depth = p.depth
+    GROUP BY p.conv_id, p.depth
+)
+SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, t.n_leaves, t.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM full_nodes f JOIN totals t ON t.conv_id = f.conv_id AND t.depth = f.depth
+LEFT JOIN ends e ON e.conv_id = f.conv_id AND e.depth = f.depth
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": URLS, "op4_line_dedup": LINES}
+    return {
+        "op2_url_filters": URLS,
+        "op4_line_dedup": LINES,
+        "op11_spelling_variants": SPELLINGS,
+        "op12_conversation_prefix_trie": TRIE,
+    }

@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartpath.llm import ann, decontaminate, line_dedup, near_dup, packing, quality, sharding, suffix_dedup, url_filter, warc
+from cartpath.llm import (
+    ann,
+    decontaminate,
+    line_dedup,
+    near_dup,
+    ngram_rules,
+    packing,
+    prefix_trie,
+    quality,
+    sharding,
+    spelling,
+    suffix_dedup,
+    url_filter,
+    warc,
+)
 from cartpath.llm.common import Query, read_table, work_path, written
 
 SHARDS = sharding.grid(2, 3, 4)
@@ -89,6 +103,22 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, folder))
 
 
+def spellings(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, folder))
+
+
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, folder, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that are labelled good are the trusted ones, but for those held out from learning."""
+    labels = read_table(spark, folder, "labels", "doc_id", "quality")
+    trusted = labels.where("quality = 1").where(~quality.held_out()).select("doc_id")
+    judged = ngram_rules.apply_rules(documents(spark, folder), trusted, with_text=False)
+    return judged.select("doc_id", *ngram_rules.STATISTICS, "base_failed", "kept", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_array_dedup": suffix_array,
@@ -101,6 +131,9 @@ def queries() -> dict[str, Query]:
         "op8_warc": archives,
         "op9_best_fit_packing": lambda spark, folder: sequences(documents(spark, folder)),
         "op10_minhash_near_dedup": near_duplicates,
+        "op11_spelling_variants": spellings,
+        "op12_conversation_prefix_trie": conversation_trie,
+        "op13_quality_rules": quality_rules,
         "pipeline": corpus_pipeline.run,
     }
 
