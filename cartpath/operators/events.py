@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartpath.functions.measures import amount
 from cartpath.functions.stages import (
     CART_ADD,
     CART_REMOVAL,
@@ -37,12 +38,19 @@ def payment_text(payment: str) -> str:
 
 
 def cart_total(items: Column) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda total, line: total + line["priceTotal"])
+    """Sum of the prices, as exact as :func:`cartpath.functions.measures.total_amount`; a line without a price adds nothing."""
+    money = "decimal(38,6)"
+    total = F.aggregate(
+        items,
+        F.lit(0).cast(money),
+        lambda total, line: (total + F.coalesce(amount(line["priceTotal"]), F.lit(0))).cast(money),
+    )
+    return total.cast("double")
 
 
 def without_product(items: Column, sku: Column) -> Column:
-    """The cart after a product was taken out."""
-    return F.filter(items, lambda line: line["SKU"] != sku)
+    """The cart after a product was taken out, with all its lines. A NULL product takes out those without one."""
+    return F.filter(items, lambda line: ~line["SKU"].eqNullSafe(sku))
 
 
 def to_envelope(actions: DataFrame) -> DataFrame:
@@ -119,3 +127,28 @@ def flatten(events: DataFrame) -> DataFrame:
         "_source_file",
         f"{stage_text()} AS funnel_stage",
     )
+
+
+def flatten_items(events: DataFrame) -> DataFrame:
+    """One row per event and item: event, session and customer, place of the item (from 0), product, price and stage.
+
+    Events without items have no row. Where :func:`flatten` lets the first item stand for its event,
+    here a purchase counts for everything it bought.
+    """
+    items = "arrays_zip(productListItems.SKU, productListItems.priceTotal)"
+    rows = events.selectExpr(
+        "_id AS event_id",
+        "web.webSession.ID AS session_id",
+        f"get(identityMap['{IDENTITY}'], 0).id AS customer_id",
+        f"{stage_text()} AS funnel_stage",
+        f"posexplode({items}) AS (item_no, item)",
+    )
+    return rows.selectExpr(
+        "event_id",
+        "session_id",
+        "customer_id",
+        "item_no",
+        "item.SKU AS product_id",
+        "CAST(item.priceTotal AS DOUBLE) AS product_price",
+        "funnel_stage",
+    )

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.functions.measures import total_amount
-from cartpath.functions.stages import PURCHASE
-from cartpath.operators.events import item_text, payment_text
+from cartpath.functions.stages import CART_ADD, CART_REMOVAL, PAGE_VIEW, PRODUCT_VIEW, PURCHASE
+from cartpath.operators.events import cart_total, item_text, payment_text, without_product
 from cartpath.operators.skew import HotKeys, ordered_context
 
 ORDER_KEYS = ("order_id",)
@@ -117,3 +117,63 @@ def purchase_actions(
         "order_total",
         "payment_type",
     )
+
+
+# How often a session takes a product out again, in percent, and the seconds between its events.
+REMOVAL_PERCENT = 15
+EVENT_GAP = 0.05
+
+
+def order_sessions(bodies: DataFrame, started: Column | None = None, platform: str = "web", device: str = "desktop") -> DataFrame:
+    """The events of the session that led to each order, as actions for :func:`cartpath.operators.events.to_envelope`.
+
+    A session views the page, views each item, adds each item, may take one product out of a cart of
+    several items, and buys what is left. Which sessions do and which product it is follows from a
+    digest of the order, so the events are the same in every run. ``bodies`` are :func:`order_purchases`.
+    """
+    started = F.current_timestamp() if started is None else started
+
+    def drawn(purpose: str) -> Column:
+        digits = F.substring(F.md5(F.concat_ws("-", F.lit(purpose), "order_id").cast("binary")), 1, 8)
+        return F.conv(digits, 16, 10).cast("bigint")
+
+    size = F.size("items")
+    takes_out = (size > 1) & (drawn("removal") % 100 < REMOVAL_PERCENT)
+    lines = bodies.select(
+        "order_id",
+        "customer_id",
+        "payment_type",
+        "items",
+        F.when(takes_out, F.get("items", (drawn("product") % F.greatest(size, F.lit(1))).cast("int"))["SKU"]).alias("_sku"),
+        takes_out.alias("_takes_out"),
+    )
+    left = F.when(F.col("_takes_out"), without_product(F.col("items"), F.col("_sku"))).otherwise(F.col("items"))
+    lines = lines.withColumn("_left", left)
+    one_each = "transform(items, i -> named_struct('kind', '{kind}', 'items', array(i)))"
+    steps = f"""concat(
+        array(named_struct('kind', '{PAGE_VIEW}', 'items', slice(items, 1, 0))),
+        {one_each.format(kind=PRODUCT_VIEW)},
+        {one_each.format(kind=CART_ADD)},
+        CASE WHEN _takes_out
+            THEN array(named_struct('kind', '{CART_REMOVAL}', 'items', slice(filter(items, i -> i.SKU <=> _sku), 1, 1)))
+            ELSE slice(array(named_struct('kind', '', 'items', items)), 1, 0) END,
+        array(named_struct('kind', '{PURCHASE}', 'items', _left)))"""
+    actions = lines.select("*", F.posexplode(F.expr(steps)).alias("_step", "_event"))
+    absent, page = "CAST(NULL AS STRING)", f"_event.kind = '{PAGE_VIEW}'"
+    gap = f"make_interval(0, 0, 0, 0, 0, 0, CAST(_step * {EVENT_GAP} AS DECIMAL(18, 6)))"
+    return actions.select("*", started.alias("_started"), cart_total(F.col("_left")).alias("order_total")).selectExpr(
+        "sha2(concat_ws('-', order_id, 'event', _step), 256) AS event_id",
+        f"_started + {gap} AS event_time",
+        "_event.kind AS event_type",
+        "sha2(concat_ws('-', 'session', order_id), 256) AS session_id",
+        "customer_id",
+        f"'{platform}' AS platform",
+        f"'{device}' AS device",
+        f"CASE WHEN {page} THEN 'homepage' END AS page_name",
+        f"CASE WHEN {page} THEN '/' END AS page_url",
+        f"CASE WHEN {page} THEN 'direct' END AS referrer_url",
+        f"CASE WHEN {page} THEN {absent} ELSE order_id END AS order_id",
+        "_event.items AS items",
+        "order_total",
+        "payment_type",
+    )

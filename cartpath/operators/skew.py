@@ -5,8 +5,8 @@ of ordinary size, one exchange and one sort, but not where one key (a bot, or th
 anonymous traffic) holds a third of all rows. So groups over ``HOT_GROUP_ROWS`` are found first, by
 a count that combines before its exchange, and take another way to the same result: their rows are
 range-partitioned by key and order, which cuts a big group into chunks of about equal size, and
-what a chunk needs from the ones before it (rows so far, last row, group totals) comes from one
-summary row per chunk. Where no group is hot, which is the usual case, the plan is the plain window.
+what a chunk needs from the ones before it (rows so far, running sums, last row, group totals) comes
+from one summary row per chunk. Where no group is hot, which is the usual case, the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -114,17 +114,19 @@ def ordered_context(
     number: str,
     previous: dict[str, str] | None = None,
     totals: dict[str, Column] | None = None,
+    running: dict[str, Column] | None = None,
     hot: HotKeys | None = None,
     ties: bool = False,
 ) -> DataFrame:
-    """Number the rows of each group in order, with values of the row before and of the group.
+    """Number the rows of each group in order, with values of the rows before and of the group.
 
     ``number`` names the 1-based row number (a bigint), ``previous`` maps new columns to the column whose
-    value in the row before they take, and ``totals`` maps new columns to aggregates of the group.
+    value in the row before they take, ``totals`` maps new columns to aggregates of the group, and
+    ``running`` maps new columns to bigint expressions that are summed over all rows before.
     ``ties`` says that rows may be equal in keys and order, as copies of one event are; any number
     of them is cut into chunks like other rows, in an order that is arbitrary but fixed.
     """
-    previous, totals = previous or {}, totals or {}
+    previous, totals, running = previous or {}, totals or {}, running or {}
     ordinary, oversized = split_hot(rows, keys, hot)
     group = Window.partitionBy(*keys)
     in_order = group.orderBy(*order)
@@ -132,6 +134,7 @@ def ordered_context(
         "*",
         F.row_number().over(in_order).cast("bigint").alias(number),
         *(F.lag(source).over(in_order).alias(name) for name, source in previous.items()),
+        *(_sum_before(value, in_order).alias(name) for name, value in running.items()),
         *(total.over(group).alias(name) for name, total in totals.items()),
     )
     if oversized is None:
@@ -141,11 +144,17 @@ def ordered_context(
         # is run again, and rows would then be lost or doubled in the exchange behind it.
         oversized = durable(oversized.withColumn("_tie", F.monotonically_increasing_id()))
         order = [*order, "_tie"]
-    chunked = _chunked_context(oversized, keys, order, number, previous, totals, hot)
+    chunked = _chunked_context(oversized, keys, order, number, previous, totals, running, hot)
     return result.unionByName(chunked.drop("_tie"))
 
 
-def _chunked_context(rows, keys, order, number, previous, totals, hot: HotKeys) -> DataFrame:
+def _sum_before(value: Column, in_order) -> Column:
+    """Sum over the rows before the current one; 0 for the first. The frame ends at the row itself, so that it shares its sort."""
+    summed = F.sum(value.cast("bigint")).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return summed - value.cast("bigint")
+
+
+def _chunked_context(rows, keys, order, number, previous, totals, running, hot: HotKeys) -> DataFrame:
     # The chunk of a row is its range partition. The partition id is only stable once written, so
     # the chunked rows are checkpointed and everything below reads that copy.
     chunked = durable(
@@ -154,14 +163,24 @@ def _chunked_context(rows, keys, order, number, previous, totals, hot: HotKeys)
     position = F.struct(*order)
     carried = F.struct(*(F.col(source).alias(name) for name, source in previous.items())) if previous else F.lit(None)
     earlier = Window.partitionBy(*keys).orderBy("_chunk")
+    sums = {f"_{i}_sum": value.cast("bigint") for i, value in enumerate(running.values())}
+
+    def in_earlier(name: str) -> Column:
+        return F.coalesce(F.sum(name).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
     summary = (
         chunked.groupBy(*keys, "_chunk")
-        .agg(F.count(F.lit(1)).alias("_n"), F.max_by(carried, position).alias("_last"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.max_by(carried, position).alias("_last"),
+            *(F.sum(value).alias(name) for name, value in sums.items()),
+        )
         .select(
             *keys,
             "_chunk",
-            F.coalesce(F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            in_earlier("_n").alias("_before"),
             F.lag("_last").over(earlier).alias("_carried"),
+            *(in_earlier(name).alias(name) for name in sums),
         )
     )
     # One row per chunk and key: as many as there are chunks and hot keys.
@@ -177,11 +196,15 @@ def _chunked_context(rows, keys, order, number, previous, totals, hot: HotKeys)
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     place = F.row_number().over(in_chunk)
     return rows.select(
-        *(c for c in rows.columns if c not in {"_chunk", "_before", "_carried", *totals}),
+        *(c for c in rows.columns if c not in {"_chunk", "_before", "_carried", *sums, *totals}),
         (place + F.col("_before")).alias(number),
         *(
             F.when(place == 1, F.col(f"_carried.{name}")).otherwise(F.lag(source).over(in_chunk)).alias(name)
             for name, source in previous.items()
         ),
+        *(
+            (_sum_before(value, in_chunk) + F.col(carry)).alias(name)
+            for (name, value), carry in zip(running.items(), sums, strict=True)
+        ),
         *totals,
     )

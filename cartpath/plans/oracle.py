@@ -167,6 +167,33 @@ _LINES = """lines AS (
     JOIN lineitem ON l_orderkey = o_orderkey
     JOIN part ON p_partkey = l_partkey)"""
 
+# Sessions that lead to the orders: which take a product out again, and what is left of the cart.
+_ORDER_ITEMS = f"""{_LINES},
+items AS (
+    SELECT order_id, product_id, product_category_name, price, customer_unique_id,
+        row_number() OVER (PARTITION BY order_id ORDER BY product_id, price) - 1 AS n, COUNT(*) OVER (PARTITION BY order_id) AS size
+    FROM lines),
+drawn AS (
+    SELECT order_id, size, MIN(customer_unique_id) AS customer_id,
+        size > 1 AND CAST('0x' || substr(md5('removal-' || order_id), 1, 8) AS BIGINT) % 100 < 15 AS takes_out,
+        CAST('0x' || substr(md5('product-' || order_id), 1, 8) AS BIGINT) % size AS pick
+    FROM items GROUP BY order_id, size),
+removed AS (
+    SELECT d.order_id, d.size, d.customer_id, d.takes_out, CASE WHEN d.takes_out THEN i.product_id END AS sku
+    FROM drawn d LEFT JOIN items i ON i.order_id = d.order_id AND i.n = d.pick),
+order_moves AS (
+    SELECT order_id, 0 AS step, 'web.webpagedetails.pageViews' AS event_type, CAST(NULL AS VARCHAR) AS product_id, 0 AS n FROM removed
+    UNION ALL SELECT order_id, n + 1, 'commerce.productViews', product_id, 0 FROM items
+    UNION ALL SELECT order_id, size + n + 1, 'commerce.productListAdds', product_id, 0 FROM items
+    UNION ALL SELECT order_id, 2 * size + 1, 'commerce.productListRemovals', sku, 0 FROM removed WHERE takes_out
+    UNION ALL SELECT i.order_id, 2 * i.size + 1 + CAST(takes_out AS INTEGER), 'commerce.purchases', i.product_id, i.n
+    FROM items i JOIN removed r USING (order_id) WHERE NOT takes_out OR i.product_id <> r.sku),
+bought AS (
+    SELECT r.order_id, r.customer_id, 2 * r.size + 1 + CAST(takes_out AS INTEGER) AS step, COUNT(i.order_id) AS n_items,
+        COALESCE(CAST(SUM(CAST(i.price AS DECIMAL(18, 2))) AS DOUBLE), 0.0) AS total
+    FROM removed r LEFT JOIN items i ON i.order_id = r.order_id AND (NOT takes_out OR i.product_id <> r.sku)
+    GROUP BY r.order_id, r.customer_id, r.size, takes_out)"""
+
 _FUNNEL_COUNTS = ", ".join(f"COUNT(*) FILTER (max_funnel_stage_reached >= {n}) AS s{n}" for n in (1, 2, 3, 4))
 
 
@@ -305,6 +332,57 @@ def oracle_sql() -> dict[str, str]:
             ),
             _funnel_steps("counts", "product_category_name,"),
         ),
+        "order_funnel_by_category": _with(
+            (
+                _ORDER_ITEMS,
+                f"""counts AS (
+                    SELECT product_category_name, COUNT(*) AS total, {_FUNNEL_COUNTS}
+                    FROM (SELECT COALESCE(p_type, 'unknown') AS product_category_name, order_id,
+                              MAX(CASE event_type WHEN 'commerce.purchases' THEN 4 WHEN 'commerce.productViews' THEN 2 ELSE 3 END)
+                                  AS max_funnel_stage_reached
+                          FROM order_moves LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = product_id
+                          WHERE product_id IS NOT NULL GROUP BY 1, 2) s
+                    GROUP BY 1)""",
+            ),
+            _funnel_steps("counts", "product_category_name,"),
+        ),
+        "session_carts": _with(
+            (
+                _FLAT,
+                """moves AS (
+                    SELECT *, COALESCE(COUNT(*) FILTER (is_purchase = 1) OVER before, 0) AS stretch, row_number() OVER whole AS place
+                    FROM flat WHERE is_add_to_cart + is_remove_from_cart + is_purchase = 1
+                    WINDOW whole AS (PARTITION BY session_id ORDER BY event_timestamp, event_id),
+                        before AS (PARTITION BY session_id ORDER BY event_timestamp, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+                kept AS (
+                    SELECT a.*, p.event_id AS purchase_id, p.event_timestamp AS purchased_at
+                    FROM moves a JOIN moves p ON p.session_id = a.session_id AND p.stretch = a.stretch AND p.is_purchase = 1
+                    WHERE a.is_add_to_cart = 1 AND NOT EXISTS (
+                        SELECT 1 FROM moves r WHERE r.session_id = a.session_id AND r.stretch = a.stretch
+                            AND r.product_id = a.product_id AND r.is_remove_from_cart = 1 AND r.place > a.place))""",
+            ),
+            """SELECT session_id, purchase_id, purchased_at, product_id, product_name, product_price AS price,
+                row_number() OVER (PARTITION BY session_id, purchase_id ORDER BY place) AS position,
+                CAST(SUM(CAST(product_price AS DECIMAL(18, 2))) OVER (PARTITION BY session_id, purchase_id) AS DOUBLE) AS cart_total
+            FROM kept""",
+        ),
+        "order_session_events": _with(
+            (_ORDER_ITEMS,),
+            """SELECT sha256(m.order_id || '-event-' || m.step) AS event_id, sha256('session-' || m.order_id) AS session_id,
+                strftime(TIMESTAMP '2024-01-31 00:00:00' + m.step * INTERVAL 50 MILLISECOND, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp,
+                m.event_type, COALESCE(string_agg(m.product_id, ',' ORDER BY m.n), '') AS skus,
+                MAX(b.total) AS order_total
+            FROM (SELECT order_id, step, event_type, product_id, n FROM order_moves
+                UNION ALL SELECT order_id, step, 'commerce.purchases', NULL, 0 FROM bought WHERE n_items = 0) m
+            LEFT JOIN bought b ON b.order_id = m.order_id AND m.event_type = 'commerce.purchases'
+            GROUP BY m.order_id, m.step, m.event_type""",
+        ),
+        "order_carts": _with(
+            (_ORDER_ITEMS,),
+            """SELECT sha256('session-' || order_id) AS session_id, sha256(order_id || '-event-' || step) AS purchase_id,
+                n_items AS stated_items, total AS stated_total, n_items AS cart_items, total AS cart_total, TRUE AS agrees
+            FROM bought""",
+        ),
         "ranked_sessions": _with(
             _TO_RANKED,
             """SELECT session_id, customer_id, session_start, session_rank, is_first_session,

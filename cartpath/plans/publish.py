@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpath.operators.events import flatten
+from cartpath.operators.carts import session_carts
+from cartpath.operators.events import flatten, flatten_items
 from cartpath.operators.funnel import funnel_by_category, funnel_daily, funnel_metrics, funnel_step_times
 from cartpath.operators.journeys import (
     CUSTOMER_KEYS,
@@ -43,7 +44,7 @@ class Publisher:
         return hot_keys(rows, keys, self.hot_rows, size)
 
     def sessions(self) -> dict[str, int]:
-        """``sessions``, ``session_products`` and ``session_events``. Each scans only the event fields it needs, which at
+        """``sessions``, ``session_products``, ``session_events`` and ``session_carts``. Each scans only the event fields it needs, which at
         scale is cheaper than keeping the flattened events for all."""
         ensure_schema(self.spark, self.silver)
         flat = flatten(self._bronze("events"))
@@ -55,6 +56,9 @@ class Publisher:
             "sessions": summarised,
             "session_products": write_table(session_products(flat, by_session), f"{self.silver}.session_products"),
             "session_events": write_table(session_events(flat, by_trail), f"{self.silver}.session_events"),
+            "session_carts": write_table(
+                session_carts(self._bronze("events"), by_trail), f"{self.silver}.session_carts"
+            ),
         }
 
     def funnel(self) -> dict[str, int]:
@@ -101,7 +105,7 @@ class Publisher:
         """Every report as a table."""
         ensure_schema(self.spark, self.gold)
         written = {name: write_table(rows, f"{self.gold}.{name}") for name, rows in self.reports().items()}
-        by_category = funnel_by_category(self._silver("session_events"), self._bronze("products"))
+        by_category = funnel_by_category(flatten_items(self._bronze("events")), self._bronze("products"))
         written["funnel_by_category"] = write_table(by_category, f"{self.gold}.funnel_by_category")
         return written
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartpath.operators import events as event_ops
-from cartpath.operators import funnel, journeys, orders, sessions
+from cartpath.operators import carts, funnel, journeys, orders, sessions
 from cartpath.operators.skew import HotKeys, hot_keys, within_limit
 from cartpath.plans import reports
-from cartpath.session import configure, work_path
+from cartpath.session import configure, work_path, written
 from cartpath.sources import files, tables, topics
 from cartpath.sources import testtables as given
 from cartpath.sources.schemas import EVENT_DDL
@@ -166,6 +166,35 @@ def _order_purchase_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _order_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested events of the sessions that led to the orders; their purchases hold several items."""
+    started = F.lit("2024-01-31").cast("timestamp")
+    return event_ops.to_envelope(orders.order_sessions(_bodies(spark, folder), started))
+
+
+def _order_session_events(spark: SparkSession, folder: str) -> DataFrame:
+    return _order_events(spark, folder).select(
+        F.col("_id").alias("event_id"),
+        F.col("web.webSession.ID").alias("session_id"),
+        "timestamp",
+        F.col("eventType").alias("event_type"),
+        F.coalesce(F.array_join(F.transform("productListItems", lambda line: line["SKU"]), ","), F.lit("")).alias("skus"),
+        F.col("commerce.order.priceTotal").alias("order_total"),
+    )
+
+
+def _session_carts(spark: SparkSession, folder: str) -> DataFrame:
+    return carts.session_carts(given.bronze_events(spark, folder), _hot(spark, folder, carts.CART_KEYS))
+
+
+def _order_carts(spark: SparkSession, folder: str) -> DataFrame:
+    """Each order's purchase beside the cart that its session's adds and removals lead to."""
+    events = written(_order_events(spark, folder), "order-events")
+    moves = carts.cart_moves(events)
+    hot = None if within_limit(events) else hot_keys(moves, carts.CART_KEYS)
+    return carts.checked_purchases(events, carts.session_carts(events, hot))
+
+
 def _order_purchases(spark: SparkSession, folder: str) -> DataFrame:
     return _bodies(spark, folder).select(
         "order_id",
@@ -270,7 +299,15 @@ def queries() -> dict[str, Query]:
         "step_time_summary": lambda s, d: reports.step_time_summary(funnel.funnel_step_times(_flat(s, d))),
         "funnel_daily": lambda s, d: funnel.funnel_daily(_measured(s, d)),
         "daily_trend": lambda s, d: reports.daily_trend(funnel.funnel_daily(_measured(s, d))),
-        "funnel_by_category": lambda s, d: funnel.funnel_by_category(_flat(s, d), given.products(s, d)),
+        "funnel_by_category": lambda s, d: funnel.funnel_by_category(
+            event_ops.flatten_items(given.bronze_events(s, d)), given.products(s, d)
+        ),
+        "order_funnel_by_category": lambda s, d: funnel.funnel_by_category(
+            event_ops.flatten_items(_order_events(s, d)), given.products(s, d)
+        ),
+        "session_carts": _session_carts,
+        "order_session_events": _order_session_events,
+        "order_carts": _order_carts,
         "ranked_sessions": lambda s, d: _ranked(s, d).select(
             "session_id",
             "customer_id",

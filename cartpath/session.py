@@ -64,3 +64,10 @@ def durable(rows: DataFrame) -> DataFrame:
     """Cut the lineage of ``rows`` by a reliable checkpoint, which outlives lost executors."""
     shared_folder(rows.sparkSession)
     return rows.checkpoint()
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` as a Parquet table in the shared folder: computed once, and not again when an executor is lost."""
+    path = work_path(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

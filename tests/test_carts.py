@@ -1,0 +1,130 @@
+"""Carts against a replay of the events one by one, in plain windows and in chunks."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from sample import event
+
+from cartpath.functions.stages import CART_ADD, CART_REMOVAL, PURCHASE
+from cartpath.operators import carts, orders, skew
+from cartpath.operators.events import flatten, flatten_items, to_envelope, with_lineage, without_product
+from cartpath.operators.funnel import funnel_by_category
+from cartpath.sources.topics import decode_events
+
+
+def nested(spark, events):
+    return decode_events(spark.createDataFrame([(json.dumps(e),) for e in events], "value string").repartition(4))
+
+
+def replayed(events: list[dict]) -> list[tuple]:
+    """Every purchase of every session, its cart kept in a list."""
+    out, held = [], {}
+    for e in sorted(events, key=lambda e: (e["timestamp"] or "", e["_id"])):
+        session, items = e["web"]["webSession"]["ID"], e["productListItems"] or []
+        cart = held.setdefault(session, [])
+        if e["eventType"] == CART_ADD:
+            cart += items
+        elif e["eventType"] == CART_REMOVAL:
+            gone = {i["SKU"] for i in items}
+            cart[:] = [i for i in cart if i["SKU"] not in gone]
+        elif e["eventType"] == PURCHASE:
+            total = round(sum(i["priceTotal"] or 0 for i in cart), 6)
+            out += [(session, e["_id"], n, i["SKU"], i["priceTotal"], total) for n, i in enumerate(cart, 1)]
+            cart.clear()
+    return sorted(out, key=str)
+
+
+def found(rows):
+    made = rows.select("session_id", "purchase_id", "position", "product_id", "price", "cart_total").collect()
+    return sorted((tuple(r[:5]) + (round(r.cart_total, 6),) for r in made), key=str)
+
+
+def random_events(n=700, seed=5):
+    """Two sessions hold most events; removals of several products, items without product or price, equal times, no items."""
+    rng = random.Random(seed)
+    made = []
+    for i in range(n):
+        kind = rng.choice(["add"] * 6 + ["remove", "remove", "buy", "view"])
+        items = [(rng.choice(["a", "b", "c", "d", None]), rng.choice([1.25, 0.1, None])) for _ in range(rng.randrange(4))]
+        session = rng.choice(["hot", "hot", None, None, "s1", "s2"])
+        e = event(f"e{i:04d}", f"{rng.randint(1, 3):02d}T10:00:{rng.randrange(30):02d}", kind, session, "c", items)
+        made.append(e if rng.random() < 0.97 else {**e, "timestamp": None, "productListItems": None})
+    return made
+
+
+@pytest.mark.parametrize("limit", [None, 100, 7])
+def test_carts_equal_a_replay(spark, limit):
+    events = random_events()
+    rows = nested(spark, events)
+    hot = None if limit is None else skew.hot_keys(carts.cart_moves(rows), carts.CART_KEYS, limit)
+    assert (hot is None) == (limit is None)
+    expected = replayed(events)
+    assert found(carts.session_carts(rows, hot)) == expected
+    assert len(expected) > 100
+
+
+def test_a_removal_takes_all_lines_and_a_purchase_empties_the_cart(spark):
+    events = [
+        event("1", "01T10:00:00", "add", items=[("a", 1.0), ("b", 2.0), ("a", 3.0)]),
+        event("2", "01T10:00:01", "remove", items=[("a", 0.0)]),
+        event("3", "01T10:00:02", "add", items=[("a", 5.0)]),
+        event("4", "01T10:00:03", "buy", items=[]),
+        event("5", "01T10:00:04", "buy", items=[("b", 2.0)]),
+    ]
+    rows = carts.session_carts(nested(spark, events)).orderBy("position").collect()
+    assert [(r.purchase_id, r.product_id, r.cart_total) for r in rows] == [("4", "b", 7.0), ("4", "a", 7.0)]
+    checked = carts.checked_purchases(nested(spark, events), carts.session_carts(nested(spark, events)))
+    assert {r.purchase_id: (r.stated_items, r.cart_items, r.agrees) for r in checked.collect()} == {"4": (0, 2, False), "5": (1, 0, False)}
+
+
+def test_no_events(spark):
+    assert carts.session_carts(nested(spark, [event("1", "01T10:00:00", "page")])).count() == 0
+
+
+def test_carts_take_one_exchange(spark, tmp_path):
+    nested(spark, random_events(50)).write.parquet(str(tmp_path / "events"))
+    plan = carts.session_carts(spark.read.parquet(str(tmp_path / "events")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "environment" not in plan[plan.index("ReadSchema") :] and "commerce" not in plan[plan.index("ReadSchema") :]
+
+
+def test_order_sessions_lead_to_their_purchase(spark):
+    rng = random.Random(1)
+    lines = [(f"c{o % 7}", f"o{o}", f"p{rng.randrange(4)}", "cat", float(rng.randrange(9)), "card") for o in range(120) for _ in range(rng.randint(1, 4))]
+    columns = ["customer_unique_id", "order_id", "product_id", "product_category_name", "price", "payment_type"]
+    bodies = orders.order_purchases(spark.createDataFrame(lines, columns))
+    events = to_envelope(orders.order_sessions(bodies, F.lit("2024-01-01").cast("timestamp")))
+    checked = carts.checked_purchases(events, carts.session_carts(events)).collect()
+    assert len(checked) == 120 and all(r.agrees and r.stated_items == r.cart_items and r.stated_total == r.cart_total for r in checked)
+    removals = events.where(F.col("eventType") == CART_REMOVAL).count()
+    assert 5 < removals < 40
+    bought = sum(r.cart_items for r in checked)
+    added = events.where(F.col("eventType") == CART_ADD).count()
+    assert bought < added == len(lines)
+
+
+def test_category_funnel_of_whole_carts(spark):
+    events = [
+        event("1", "01T10:00:00", "view", items=[("a", 1.0)]),
+        event("2", "01T10:00:01", "buy", items=[("a", 1.0), ("b", 2.0), (None, 1.0), ("x", 1.0)]),
+        event("3", "01T10:00:01", "view", session="s2", items=[("b", 2.0)]),
+    ]
+    products = spark.createDataFrame([("a", "A"), ("b", "B")], "product_id string, product_category_name string")
+    rows = with_lineage(nested(spark, events), F.lit("x"))
+
+    def converted(flat):
+        funnel = funnel_by_category(flat, products).where("funnel_step = 4")
+        return {r.product_category_name: (r.sessions_entered, r.overall_conversion_rate_pct) for r in funnel.collect()}
+
+    assert converted(flatten_items(rows)) == {"A": (1, 100.0), "B": (1, 50.0), "unknown": (1, 100.0)}
+    assert converted(flatten(rows)) == {"A": (1, 100.0), "B": (0, 0.0)}
+
+
+def test_a_null_product_is_taken_out_by_a_null_removal(spark):
+    cart = spark.sql("SELECT array(named_struct('SKU', 'a', 'priceTotal', 1D), named_struct('SKU', CAST(NULL AS STRING), 'priceTotal', 2D)) AS items")
+    left = cart.select(without_product(F.col("items"), F.lit(None).cast("string")).alias("x"), without_product(F.col("items"), F.lit("a")).alias("y")).first()
+    assert [i.SKU for i in left.x] == ["a"] and [i.SKU for i in left.y] == [None]

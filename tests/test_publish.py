@@ -38,7 +38,7 @@ def test_counts_of_all_tables(published):
     assert written["customer_journeys"] == 150 and written["customer_journey_sessions"] == 397
     assert len(table("sessions").columns) == 17 and len(table("session_events").columns) == 13
     assert len(table("customer_journeys").columns) == 38 and len(table("customer_journey_sessions").columns) == 19
-    assert written["sessions_by_stage"] == 4 and len(written) == 8 + 13
+    assert written["sessions_by_stage"] == 4 and len(written) == 9 + 13
 
 
 def test_invariants(published):
