@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpath.operators.events import with_lineage
+from cartpath.sources.evolution import merge_schemas, same_types, schema_ddl
 from cartpath.sources.schemas import CORRUPT, EVENT_DDL
 from cartpath.sources.topics import decode_events
+from cartpath.streaming.records import BLOCK, PATH, decode_records, records
 
 # Fixed value: events per landing file. It is a parameter below: large streams want larger files.
 EVENTS_PER_FILE = 100
@@ -20,21 +27,39 @@ LANDING = "events_landing"
 EVENTS = "events"
 QUARANTINE = "events_quarantine"
 REJECTED = "_rejected"
+BATCH = "_batch"
+
+
+@dataclass(frozen=True)
+class EventFiles:
+    """New lines of event files in any form, as a stream, with the schema of the events in them."""
+
+    lines: DataFrame
+    schema: str
+
+    def decoded(self, lines: DataFrame) -> DataFrame:
+        """The events of a batch of lines with lineage; what is no event is kept in ``_corrupt_record``."""
+        return with_lineage(decode_records(records(lines), self.schema, CORRUPT, "_id"), F.col(PATH)).drop(PATH)
+
+    def columns(self) -> T.StructType:
+        none = self.lines.sparkSession.createDataFrame([], f"value string, {PATH} string")
+        return with_lineage(decode_records(none, self.schema, CORRUPT, "_id"), F.col(PATH)).drop(PATH).schema
 
 
 def event_stream(
     spark: SparkSession,
     folder: str,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     files_per_batch: int = FILES_PER_BATCH,
     schema: str = EVENT_DDL,
-) -> DataFrame:
-    """New event files of a folder as a stream with lineage.
-
-    Files of one event per line, as the functions below write them, are split over tasks however large
-    one is. ``multi_line`` reads files that hold one JSON array instead, each file in one task; of a file
-    with several values it would read the first alone. What is no event is kept in ``_corrupt_record``: a file that cannot
-    be parsed, or any line without an event id.
+) -> DataFrame | EventFiles:
+    """New event files of a folder as a stream with lineage, for :func:`ingest_events`.
+
+    By default a file may hold one event per line, or JSON arrays of events, indented or not, and one
+    folder both; files of either form are split over tasks however large one is. With
+    ``multi_line`` false every line is an event by itself, which saves looking for the form and gives a
+    plain stream of events. With true a file is one JSON value, read by one task; of a file with
+    several values only the first is read. What is no event is kept in ``_corrupt_record``.
     """
     reader = spark.readStream.options(
         maxFilesPerTrigger=files_per_batch, maxFileAge=OLDEST_FILE, recursiveFileLookup=True
@@ -45,8 +70,12 @@ def event_stream(
             folder, multiLine=True, columnNameOfCorruptRecord=CORRUPT
         )
         return with_lineage(files, path)
-    lines = reader.text(folder).where(F.length(F.trim("value")) > 0).select("value", path.alias("_path"))
-    return with_lineage(decode_events(lines, schema, ("_path",)), F.col("_path")).drop("_path")
+    lines = reader.text(folder).where(F.length(F.trim("value")) > 0)
+    if multi_line is None:
+        block = F.col("_metadata.file_block_start")
+        return EventFiles(lines.select("value", path.alias(PATH), block.alias(BLOCK)), schema)
+    lines = lines.select("value", path.alias(PATH))
+    return with_lineage(decode_events(lines, schema, (PATH,)), F.col(PATH)).drop(PATH)
 
 
 def finish(query: StreamingQuery) -> None:
@@ -57,43 +86,111 @@ def finish(query: StreamingQuery) -> None:
         raise failure
 
 
-def add_columns(spark: SparkSession, table: str, rows: DataFrame) -> list[str]:
-    """Add the columns of ``rows`` that an existing table lacks; older rows have NULL in them."""
-    if not spark.catalog.tableExists(table):
-        return []
-    known = set(spark.table(table).columns)
-    missing = [f for f in rows.schema.fields if f.name not in known]
-    if missing:
-        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
-    return [f.name for f in missing]
-
+class Landing:
+    """The landing table of a schema: one folder, whose partitions are the batches written so far.
 
-def ingest_events(stream: DataFrame, schema: str, checkpoint: str) -> None:
-    """Append everything that has arrived to bronze, each file once, then stop.
+    A batch becomes visible when its partitions are added to the table, after its files are complete;
+    one that is run again is written over, or left alone if it was added before. Accepted and
+    rejected rows are partitions of their own, and ``events`` and ``events_quarantine`` are views of
+    them, so a scan of either prunes the other. When the schema grows, in columns or inside structs, a
+    table definition with the merged schema is put over the same files and the views change to it;
+    older rows have NULL in what is new. A type that does not fit is refused before anything is
+    written.
+    """
 
-    All rows go into one landing table in a single pass, partitioned by whether they are rejected
-    (no event id, as for a file that is no event). ``events`` and ``events_quarantine`` are views
-    of its two parts, so a scan of either prunes the other. The checkpoint makes a rerun add
-    nothing and a restart go on where it stopped.
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema = spark, schema
+        location = spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+        self.folder = f"{location}/{LANDING}"
+        names = [t.name for t in spark.catalog.listTables(schema, f"{LANDING}*")]
+        versions = [int(m[1] or 1) for n in names if (m := re.fullmatch(rf"{LANDING}(?:_(\d+))?", n))]
+        self.version = max(versions, default=0)
+
+    @property
+    def table(self) -> str:
+        return f"{self.schema}.{LANDING}" + (f"_{self.version}" if self.version > 1 else "")
+
+    def partitions(self) -> list[str]:
+        """The partitions as SQL text."""
+        if not self.version:
+            return []
+        found = [dict(p.split("=") for p in row[0].split("/")) for row in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()]
+        return [self._partition(p[BATCH], p[REJECTED]) for p in found]
+
+    @staticmethod
+    def _partition(batch: str, rejected: str) -> str:
+        return f"PARTITION ({BATCH}='{batch}', {REJECTED}={rejected})"
+
+    def grow(self, given: T.StructType) -> list[str]:
+        """Let the table hold columns of the given schema as well; returns the columns that changed."""
+        own = [T.StructField(BATCH, T.StringType()), T.StructField(REJECTED, T.BooleanType())]
+        data = T.StructType([f for f in given.fields if f.name not in (BATCH, REJECTED)])
+        if not self.version:
+            changed = [f.name for f in data.fields]
+            merged = data
+        else:
+            known = T.StructType([f for f in self.spark.table(self.table).schema.fields if f.name not in (BATCH, REJECTED)])
+            merged = merge_schemas(known, data)
+            before = {f.name: f.dataType for f in known.fields}
+            changed = [f.name for f in merged.fields if f.name not in before or not same_types(before[f.name], f.dataType)]
+        if changed:
+            held, former = self.partitions(), self.table
+            self.version += 1
+            columns = schema_ddl(T.StructType([*merged.fields, *own]))
+            self.spark.sql(f"CREATE TABLE {self.table} ({columns}) USING parquet PARTITIONED BY ({BATCH}, {REJECTED}) LOCATION '{self.folder}'")
+            if held:
+                self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {' '.join(held)}")
+            self._set_views()
+            if self.version > 1:
+                self.spark.sql(f"DROP TABLE {former}")  # its definition: the files belong to the folder
+        return changed
+
+    def _set_views(self) -> None:
+        columns = [c for c in self.spark.table(self.table).columns if c not in (BATCH, REJECTED)]
+        events = ", ".join(f"`{c}`" for c in columns if c != CORRUPT)
+        everything = ", ".join(f"`{c}`" for c in columns)
+        views = {EVENTS: (events, f"NOT {REJECTED}"), QUARANTINE: (everything, REJECTED)}
+        for name, (listed, which) in views.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.schema}.{name} AS SELECT {listed} FROM {self.table} WHERE {which}")
+
+    def add(self, rows: DataFrame, batch: str) -> None:
+        """Write one batch and add it to the table, unless it was added before."""
+        mine = [self._partition(batch, flag) for flag in ("false", "true")]
+        if mine[0] in self.partitions():
+            return
+        marked = rows.withColumn(REJECTED, F.col("_id").isNull())
+        marked.write.mode("overwrite").partitionBy(REJECTED).parquet(f"{self.folder}/{BATCH}={batch}")
+        self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {' '.join(mine)}")
+        self.spark.catalog.refreshTable(self.table)
+
+
+def _identity(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a stream, which it notes in its checkpoint before the first batch."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
+def ingest_events(stream: DataFrame | EventFiles, schema: str, checkpoint: str) -> None:
+    """Append everything that has arrived to the landing table of bronze, each file once, then stop.
+
+    The checkpoint makes a rerun add nothing and a restart go on where it stopped; several streams may
+    feed one table.
     """
-    spark = stream.sparkSession
-    table = f"{schema}.{LANDING}"
-    marked = stream.withColumn(REJECTED, F.col("_id").isNull())
-    add_columns(spark, table, marked)
+    files = stream if isinstance(stream, EventFiles) else None
+    source = files.lines if files else stream
+    spark = source.sparkSession
+    landing = Landing(spark, schema)
+    landing.grow(files.columns() if files else source.schema)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = files.decoded(batch) if files else batch
+        landing.add(rows, f"{_identity(spark, checkpoint)}-{batch_id:010d}")
+
     finish(
-        marked.writeStream.outputMode("append")
+        source.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(REJECTED)
         .trigger(availableNow=True)
-        .toTable(table)
+        .start()
     )
-    spark.catalog.refreshTable(table)
-    columns = [c for c in spark.table(table).columns if c != REJECTED]
-    events = ", ".join(f"`{c}`" for c in columns if c != CORRUPT)
-    everything = ", ".join(f"`{c}`" for c in columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {schema}.{EVENTS} AS SELECT {events} FROM {table} WHERE NOT {REJECTED}")
-    spark.sql(f"CREATE OR REPLACE VIEW {schema}.{QUARANTINE} AS SELECT {everything} FROM {table} WHERE {REJECTED}")
 
 
 def write_event_files(events: DataFrame, folder: str, per_file: int = EVENTS_PER_FILE) -> None:
@@ -101,10 +198,17 @@ def write_event_files(events: DataFrame, folder: str, per_file: int = EVENTS_PER
     events.write.mode("overwrite").option("maxRecordsPerFile", per_file).json(folder)
 
 
+DONE = "_done"
+
+
 def _finished(spark: SparkSession, folder: str) -> bool:
-    """Whether a write into ``folder`` was committed, by the mark that Spark leaves last."""
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+    """Whether a batch was written into ``folder`` to its end, by the mark that is left after it."""
+    try:
+        return not spark.read.schema("batch bigint").parquet(f"{folder}/{DONE}").isEmpty()
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def batch_events(messages: DataFrame, folder: str, checkpoint: str, per_file: int = EVENTS_PER_FILE) -> None:
@@ -121,11 +225,10 @@ def batch_events(messages: DataFrame, folder: str, checkpoint: str, per_file: in
     lines = messages.where(F.col("value").isNotNull()).select(text.alias("value"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The stream notes its identity in the checkpoint before the first batch.
-        identity = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
-        target = f"{folder}/stream-{identity}/batch-{batch_id:010d}"
+        target = f"{folder}/stream-{_identity(spark, checkpoint)}/batch-{batch_id:010d}"
         if not _finished(spark, target):
             batch.write.mode("overwrite").option("maxRecordsPerFile", per_file).text(target)
+            spark.range(batch_id, batch_id + 1).toDF("batch").coalesce(1).write.mode("overwrite").parquet(f"{target}/{DONE}")
 
     finish(
         lines.writeStream.foreachBatch(write)
