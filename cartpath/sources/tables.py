@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from cartpath.session import durable
+from cartpath.sources.versions import Contract, VersionedTable, is_layer
 
-HISTORY = "_load_history"
 JDBC_BATCH = 10_000
 
 
@@ -20,46 +20,38 @@ def ensure_schema(spark: SparkSession, schema: str, location: str | None = None)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{at}")
 
 
-def scan(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
+def scan(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """A table as it is now, or as it was in one of the versions that are kept."""
+    return spark.table(table) if version is None else VersionedTable(spark, table).at(version)
 
 
-def write_table(rows: DataFrame, table: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> int:
+def write_table(
+    rows: DataFrame, table: str, mode: str = "overwrite", partition_by: tuple[str, ...] = (), contract: Contract | None = None
+) -> int:
     """Write a table and return its rows, counted while they are written.
 
-    Overwriting replaces the schema too. The write is noted in the history table of the schema.
+    Readers see all of the write or nothing of it, and a write that fails or breaks its ``contract``
+    changes nothing. Overwriting replaces the schema too. The write is noted in the history table of
+    the schema, and the last versions stay readable.
     """
-    seen = Observation()
-    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    written = seen.get["rows"]
-    note_write(rows.sparkSession, table, mode, written)
-    return written
-
-
-def _overwrite_partitions(rows: DataFrame, table: str) -> None:
-    """Replace only the partitions that ``rows`` has. ``insertInto`` takes this from the session
-    alone; as a writer option it is ignored and the whole table would be replaced."""
-    conf, key = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
-    try:
-        rows.write.mode("overwrite").insertInto(table)
-    finally:
-        conf.set(key, before)
+    target = VersionedTable(rows.sparkSession, table)
+    if mode == "append":
+        return target.append(rows, contract)
+    return target.overwrite(rows, partition_by, contract)
 
 
 def upsert(changes: DataFrame, table: str, keys: Sequence[str], newest: str, partition: str) -> int:
     """Insert or update rows of a partitioned table by key; the row with the larger ``newest`` wins.
 
     A NULL key is a key like others, and a NULL ``newest`` is older than any other value. Of equally
-    new rows a change wins, and of several changes the one with the largest values. Rows whose key is not in ``changes`` stay as they are, repeated ones
-    included. Only partitions that hold a changed key, before or after, are read whole and written
-    again. Returns the rows written.
+    new rows a change wins, and of several changes the one with the largest values. Rows whose key is
+    not in ``changes`` stay as they are, repeated ones included. Only partitions that hold a changed
+    key, before or after, are read whole and written again, and all of them are replaced in one step.
+    Returns the rows written.
     """
     spark = changes.sparkSession
+    target = VersionedTable(spark, table)
+    target.adopt()
     current = spark.table(table)
     columns = current.columns
     changed = changes.select(*keys).distinct().withColumnsRenamed({k: f"_{k}" for k in keys})
@@ -71,8 +63,7 @@ def upsert(changes: DataFrame, table: str, keys: Sequence[str], newest: str, par
         changed, same_key, "left_anti"
     )
     # The newest row of a key is an aggregate, which combines any number of copies before its
-    # exchange. A struct is never NULL, so undated rows take part. A partition that loses its last
-    # row has to be dropped, so partitions are listed.
+    # exchange. A struct is never NULL, so undated rows take part.
     tie = [f.name for f in current.schema.fields if isinstance(f.dataType, AtomicType)]
     merged = (
         held.withColumn("_change", F.lit(False))
@@ -81,31 +72,13 @@ def upsert(changes: DataFrame, table: str, keys: Sequence[str], newest: str, par
         .agg(F.max_by(F.struct(*columns), F.struct(newest, "_change", *tie)).alias("_row"))
         .select("_row.*")
     )
-    rows = durable(untouched.unionByName(merged))
-    emptied = touched.join(rows, touched["_at"].eqNullSafe(rows[partition]), "left_anti")
-    written = rows.count()
-    _overwrite_partitions(rows, table)
-    for row in emptied.toLocalIterator():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = :value)", args={"value": row[0]})
-    note_write(spark, table, "upsert", written)
-    return written
-
-
-def note_write(spark: SparkSession, table: str, operation: str, rows: int | None) -> None:
-    """Append one row to the load history of the table's schema."""
-    schema, name = table.rsplit(".", 1)
-    entry = spark.createDataFrame([(name, operation, rows)], "table string, operation string, rows bigint")
-    entry.withColumn("written_at", F.current_timestamp()).coalesce(1).write.mode("append").saveAsTable(
-        f"{schema}.{HISTORY}"
-    )
+    values = [row[0] for row in touched.toLocalIterator()]
+    return target.replace_partitions(untouched.unionByName(merged), values, "upsert")
 
 
 def write_history(spark: SparkSession, table: str) -> DataFrame:
     """The writes of one table, oldest first, numbered from 0."""
-    schema, name = table.rsplit(".", 1)
-    writes = spark.table(f"{schema}.{HISTORY}").where(F.col("table") == name)
-    version = F.row_number().over(Window.partitionBy("table").orderBy("written_at")) - 1
-    return writes.select(version.alias("version"), "written_at", "operation", "rows")
+    return VersionedTable(spark, table).history().select("version", "written_at", "operation", "rows")
 
 
 def count_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -118,8 +91,8 @@ def count_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, schema: str) -> DataFrame:
-    """Row count of every table and view of a schema."""
-    names = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary]
+    """Row count of every table and view of a schema; layers count with the table they are part of."""
+    names = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary and not is_layer(t.name)]
     return count_rows({name: spark.table(f"{schema}.{name}") for name in names})
 
 
