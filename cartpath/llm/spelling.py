@@ -17,7 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.llm.common import body, rows_of, written
@@ -28,6 +28,7 @@ _RUN = re.compile("[a-zÀ-ÿ]+")
 _START, _END = "^", "$"  # no run holds them
 _HELD = 200_000  # words or grams counted in a task before they are passed on
 _LEAST_FREQUENT = 100  # a run of characters in more words than this is frequent
+_INLINE = 64  # characters of a marked word that is carried in its lists; longer ones are looked up
 _DICTIONARY = 1 << 17  # upper bound of the frequent runs sent to every task
 
 
@@ -112,7 +113,7 @@ def cheapest_pair(marked: str, found: list[tuple[int, int]], frequent: dict[str,
 
 def _list_number(gram: str, size: int, place: int) -> int:
     """The number of the list of a gram at a place of a word of some length; lists that share one only give more to verify."""
-    return zlib.crc32(gram.encode()) << 20 | (size & 1023) << 10 | place & 1023
+    return zlib.crc32(gram.encode()) << 31 | (size * 40_503 + place) & 0x7FFFFFFF
 
 
 def _letters(word: str) -> int:
@@ -124,18 +125,19 @@ def _letters(word: str) -> int:
 
 
 def gram_lists(words: DataFrame, frequent: dict[str, int], longest: int) -> DataFrame:
-    """number, probes, word, n, size, letters: every word in the lists of its grams, and the lists it has to look up.
+    """number, probes, id, word, n, size, letters: every word in the lists of its grams, and the lists it has to look up.
 
-    A variant of the same length has an unaffected gram at the same place, one that is a letter
-    longer at the same or the next place. Shorter variants find the word from their side.
+    A variant of the same length has an unaffected gram at the same place, one that is a letter longer
+    at the same or the next place. Shorter variants find the word from their side. Words that are too
+    long to be repeated for each gram have a number instead of the word.
     """
     sent = words.sparkSession.sparkContext.broadcast(frequent)
 
     def index(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for batch in rows_of(parts, 4096):
-            columns: list[list] = [[] for _ in range(6)]
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            columns: list[list] = [[] for _ in range(7)]
+            for word, n, number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 marked = f"{_START}{word}{_END}"
                 size, letters, found = len(marked), _letters(word), grams(marked, known, longest)
                 numbers = [(_list_number(marked[i:j], size, i), False) for i, j in found]
@@ -145,13 +147,15 @@ def gram_lists(words: DataFrame, frequent: dict[str, int], longest: int) -> Data
                     numbers += [(_list_number(gram, size + more, i + shift), True) for more, shift in ((0, 0), (1, 0), (1, 1))]
                 for column, values in zip(columns, zip(*numbers, strict=True), strict=False):
                     column.extend(values)
-                for column, value in zip(columns[2:], (word, n, size, letters), strict=True):
+                own = number if size > _INLINE else None, word if size <= _INLINE + 1 else None
+                for column, value in zip(columns[2:], (*own, n, size, letters), strict=True):
                     column.extend([value] * len(numbers))
-            kinds = (pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int32(), pa.int64())
-            names = ("number", "probes", "word", "n", "size", "letters")
+            kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64())
+            names = ("number", "probes", "id", "word", "n", "size", "letters")
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(names))
 
-    return words.mapInArrow(index, "number long, probes boolean, word string, n long, size int, letters long")
+    named = words.select("word", "n", F.xxhash64("word").alias("id"))
+    return named.mapInArrow(index, "number long, probes boolean, id long, word string, n long, size int, letters long")
 
 
 def near_pairs(words: DataFrame, longest: int = 5) -> DataFrame:
@@ -162,14 +166,28 @@ def near_pairs(words: DataFrame, longest: int = 5) -> DataFrame:
     """
     rows = written(gram_lists(words, frequent_runs(words, longest), longest), "spelling-lists")
     mine, lists = rows.where("probes"), rows.where("NOT probes")
-    a = mine.select("number", *(F.col(c).alias(f"a_{c}") for c in ("word", "n", "size", "letters")))
-    b = lists.select("number", *(F.col(c).alias(f"b_{c}") for c in ("word", "n", "size", "letters")))
+    a = mine.select("number", *(F.col(c).alias(f"a_{c}") for c in ("id", "word", "n", "size", "letters")))
+    b = lists.select("number", *(F.col(c).alias(f"b_{c}") for c in ("id", "word", "n", "size", "letters")))
     # The cheap tests come first; words of one length meet from both sides, and one side is enough.
-    apart = (F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2) & (
-        (F.col("b_size") == F.col("a_size") + 1) | ((F.col("b_size") == F.col("a_size")) & (F.col("a_word") < F.col("b_word")))
-    )
-    found = a.join(b, (a["number"] == b["number"]) & apart & (F.levenshtein("a_word", "b_word", 1) == 1))
-    once = written(found.select("a_word", "a_n", "b_word", "b_n").distinct(), "spelling-pairs")
+    larger = F.col("b_size") == F.col("a_size") + 1
+    apart = F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= 2
+
+    def one_side(column: str) -> Column:
+        return larger | ((F.col("b_size") == F.col("a_size")) & (F.col(f"a_{column}") < F.col(f"b_{column}")))
+
+    one_apart = F.levenshtein("a_word", "b_word", 1) == 1
+    listed = a["number"] == b["number"]
+    short = a.where(F.col("a_size") <= _INLINE), b.where(F.col("b_size") <= _INLINE + 1)
+    found = short[0].join(short[1], listed & apart & one_side("word") & one_apart).select("a_word", "a_n", "b_word", "b_n")
+    # Texts of long words are fetched once for a pair. Two words of one number would only be looked at needlessly.
+    long = a.where(F.col("a_size") > _INLINE), b.where(F.col("b_size") > _INLINE)
+    numbers = written(long[0].join(long[1], listed & apart & one_side("id")).select("a_id", "b_id").distinct(), "spelling-long")
+    if not numbers.isEmpty():
+        for x in "ab":
+            texts = words.select(F.xxhash64("word").alias(f"{x}_id"), F.col("word").alias(f"{x}_word"), F.col("n").alias(f"{x}_n"))
+            numbers = numbers.join(texts, f"{x}_id")
+        found = found.unionByName(numbers.where(one_apart).select(found.columns))
+    once = written(found.distinct(), "spelling-pairs")
     names = ["a", "a_n", "b", "b_n"]
     return once.toDF(*names).unionByName(once.toDF("b", "b_n", "a", "a_n"))
 
