@@ -20,6 +20,7 @@ from cartpath.llm import words
 from cartpath.llm.common import body, durable, longs, rows_of, written
 
 _FEW = 8  # members of a bucket that may meet each other directly
+_ROUNDS = 3  # times that larger buckets meet centres before their shingles are looked at
 _ORDER_BITS = 20  # slots of the counts that order shingles from rare to common
 _KEPT = 4_000_000  # shingles that a task remembers between pairs
 _BLOCK = 2048  # rows of one side that meet the other in one task
@@ -57,7 +58,7 @@ def _slot(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int, bands: int, rows_per_band: int) -> DataFrame:
-    """doc_id, a 128-bit digest of the words (null without words) and the band hashes of each row."""
+    """doc_id, mark, a 128-bit digest of the words (null without words) and the band hashes of each row (doc_id, text, mark)."""
     registers = bands * rows_per_band
 
     def sketch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,14 +82,15 @@ def sketches(docs: DataFrame, size: int, bands: int, rows_per_band: int) -> Data
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0),
+                    rows.column(2),
                     pa.array(np.ascontiguousarray(digests[:, 0]).view(np.int64), mask=empty),
                     pa.array(np.ascontiguousarray(digests[:, 1]).view(np.int64), mask=empty),
                     pa.ListArray.from_arrays(offsets, flat),
                 ],
-                names=["doc_id", "d1", "d2", "bands"],
+                names=["doc_id", "mark", "d1", "d2", "bands"],
             )
 
-    return docs.mapInArrow(sketch, "doc_id long, d1 long, d2 long, bands array<long>")
+    return docs.mapInArrow(sketch, "doc_id long, mark long, d1 long, d2 long, bands array<long>")
 
 
 def similar(pairs: DataFrame, size: int, least: float) -> DataFrame:
@@ -220,6 +222,7 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) ->
             )
 
     drawn = written(held.mapInArrow(prefixes, "id long, root long, shingle long, rest int, total int"), "prefixes")
+    shared.destroy()
     by_root = drawn.groupBy("shingle", "root").agg(F.count("*").alias("n"))
     # All rows of a shingle meet those outside its commonest class, in blocks of bounded size.
     groups = by_root.groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
@@ -241,59 +244,78 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     the Jaccard similarity ``least`` or more of their sets of ``size``-word shingles are linked, and a
     class is what links connect; its id is the smallest in it. A text of fewer than ``size`` words is one
     shingle; one without words, null included, is a class of its own. Rows with one doc_id are one
-    document, a null doc_id is left out.
+    document, so the classes of all its texts are one class. A null doc_id is left out.
 
     In a bucket each member meets the bucket's smallest id first. What that has not connected is looked
-    at again: buckets of up to ``_FEW`` members are compared in full, larger ones with two more centres
-    and, cut up by every other band, with centres drawn anew in each round, while a round finds links.
-    Members of larger buckets that are still not of one class are compared by the shingles that a pair
-    as similar as ``least`` must share, so no pair of a bucket is left out.
+    at again: buckets of up to ``_FEW`` members are compared in full, larger ones with two more centres,
+    drawn anew in each of ``_ROUNDS`` rounds. Members of larger buckets that are still not of one class
+    are compared by the shingles that a pair as similar as ``least`` must share, so no pair of a
+    bucket is left out.
     """
+    # The mark tells texts of one doc_id apart.
     source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), body().alias("text"))
+    source = source.withColumn("mark", F.xxhash64("text"))
     drawn = written(sketches(source, size, bands, rows_per_band), "sketches")
-    tops = drawn.where("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("copy_of"), F.first("bands").alias("bands"))
-    classes = written(tops, "copies")
+    tops = drawn.where("d1 IS NOT NULL").groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("copy_of"), F.min_by("mark", "doc_id").alias("mark"), F.first("bands").alias("bands")
+    )
+    # Each class of copies has a number, which stays what it is once it is written.
+    classes = written(tops.withColumn("id", F.monotonically_increasing_id()), "copies")
 
-    reps = classes.select(F.col("copy_of").alias("id"), F.posexplode("bands").alias("band", "bucket"))
+    reps = classes.select("id", F.posexplode("bands").alias("band", "bucket"))
     buckets = reps.groupBy("band", "bucket").agg(F.count("*").alias("members"), F.min("id").alias("centre")).where("members > 1")
     met = written(reps.join(buckets, ["band", "bucket"]), "met")
     involved = met.select("id").distinct()
-    texts = source.join(classes.select(F.col("copy_of").alias("doc_id")), "doc_id", "left_semi")
-    texts = texts.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi").dropDuplicates(["id"])
-    texts = written(texts, "texts")
+    chosen = classes.select("id", F.col("copy_of").alias("doc_id"), "mark").join(involved, "id", "left_semi")
+    texts = written(source.join(chosen, ["doc_id", "mark"]).dropDuplicates(["id"]).select("id", "text"), "texts")
+
+    tried = [written(met.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "pairs")]
+    roots = durable(components(involved, _compared(tried[0], texts, size, least)))
+
+    def look(pairs: DataFrame) -> bool:
+        """Compare pairs that have not met, and merge the classes that they connect."""
+        nonlocal roots
+        fresh = pairs
+        for earlier in tried:
+            fresh = fresh.join(earlier, ["a", "b"], "left_anti")
+        tried.append(written(fresh, "pairs"))
+        found = _compared(tried[-1], texts, size, least)
+        if found.isEmpty():
+            return False
+        roots = durable(_merged(roots, found))
+        return True
 
-    tried = met.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    links = _compared(tried, texts, size, least)
-    roots = durable(components(involved, links))
-    step = 0
-    while True:
-        # Step 0 looks at the buckets themselves, later ones at their parts.
-        rows = met.where(F.col("members") > (2 if step == 0 else _FEW)).select("id", "band", "bucket").join(roots, "id")
-        key = ["band", "bucket"]
-        if step:
-            unsettled = rows.groupBy(*key).agg((F.min("root") < F.max("root")).alias("open")).where("open").select(*key)
-            cut = classes.select(F.col("copy_of").alias("id"), F.posexplode("bands").alias("other", "part"))
-            rows = rows.join(unsettled, key, "left_semi").join(cut, "id").where("other > band")
-            key = [*key, "other", "part"]
-        more = written(_unlinked_pairs(rows, key, step).join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = _compared(more, texts, size, least)
-        if found.limit(1).count():
-            roots = durable(_merged(roots, found))
-        elif step:
+    def unsettled(more_than: int) -> DataFrame:
+        """The members of larger buckets that are not of one class."""
+        rows = met.where(F.col("members") > more_than).select("id", "band", "bucket").join(roots, "id")
+        parts = rows.groupBy("band", "bucket").agg((F.min("root") < F.max("root")).alias("open")).where("open")
+        return written(rows.join(parts.select("band", "bucket"), ["band", "bucket"], "left_semi"), "unsettled")
+
+    for step in range(_ROUNDS):
+        rows = unsettled(_FEW if step else 2)
+        if rows.isEmpty() or not look(_unlinked_pairs(rows, ["band", "bucket"], step)) and step:
             break
-        tried = tried.union(more)
-        step += 1
-    unsettled = met.where(F.col("members") > _FEW).select("id", "band", "bucket").join(roots, "id")
-    unsettled = unsettled.groupBy("band", "bucket").agg((F.min("root") < F.max("root")).alias("open")).where("open")
-    left = met.join(unsettled, ["band", "bucket"], "left_semi").select("id").distinct().join(roots, "id")
-    pairs = written(_prefix_pairs(left, texts, size, least).join(tried, ["a", "b"], "left_anti"), "pairs")
-    found = _compared(pairs, texts, size, least)
-    if found.limit(1).count():
-        roots = durable(_merged(roots, found))
+    rows = unsettled(_FEW)
+    if not rows.isEmpty():
+        look(_prefix_pairs(rows.select("id", "root").distinct(), texts, size, least))
 
-    named = classes.join(roots.withColumnRenamed("id", "copy_of"), "copy_of", "left")
-    named = named.select("d1", "d2", "copy_of", F.coalesce("root", "copy_of").alias("class_id"))
+    rooted = classes.join(roots, "id", "left").select("d1", "d2", "copy_of", F.coalesce("root", "id").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("copy_of").alias("class_id")), "root").drop("root")
     # Copies without words have no class above.
     out = drawn.select("doc_id", "d1", "d2").join(named, ["d1", "d2"], "left")
     out = out.select("doc_id", F.coalesce("copy_of", "doc_id").alias("copy_of"), F.coalesce("class_id", "doc_id").alias("class_id"))
-    return out.groupBy("doc_id").agg(F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"))
+    out = out.groupBy("doc_id").agg(
+        F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"), F.collect_set("class_id").alias("_all")
+    )
+    return _united(out)
+
+
+def _united(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, copy_of, class_id, _all) with the classes that texts of one document are in made one."""
+    shared = rows.where(F.size("_all") > 1).select(F.col("class_id").alias("a"), F.explode("_all").alias("b")).where("a <> b").distinct()
+    shared = written(shared, "shared")
+    if shared.isEmpty():
+        return rows.drop("_all")
+    touched = shared.select(F.col("a").alias("id")).union(shared.select("b")).distinct()
+    tops = components(touched, shared).select(F.col("id").alias("class_id"), F.col("root").alias("_top"))
+    return rows.join(tops, "class_id", "left").select("doc_id", "copy_of", F.coalesce("_top", "class_id").alias("class_id"))

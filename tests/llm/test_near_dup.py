@@ -138,3 +138,10 @@ def test_empty_table_and_other_columns(spark):
     assert found(spark.createDataFrame([], "doc_id long, text string")) == {}
     docs = spark.createDataFrame([(1, "a b", 2, "z")], "doc_id long, text string, id int, bands string")
     assert found(docs) == {1: 1}
+
+
+def test_texts_of_one_document_are_one_class(spark):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, c), (8, c), (9, None), (20, ""), (20, c + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(docs) == {1: 1, 5: 1, 7: 1, 8: 8, 9: 8, 20: 8}
