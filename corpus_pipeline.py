@@ -30,10 +30,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id stays; rows without an id all stay."""
-    classes = near_dup.near_duplicates(docs.select("doc_id", "text"))
-    others = classes.where("doc_id <> class_id").select("doc_id")
-    return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each class of near duplicates the row with the smallest doc_id stays; rows without an id all stay.
+
+    Rows are numbered first and compared by that number, so that two texts under one doc_id are two
+    documents and a text is only dropped where one of its class stays.
+    """
+    rows = written(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    classes = near_dup.near_duplicates(rows.where("doc_id IS NOT NULL").select(F.col("_row").alias("doc_id"), "text"))
+    members = classes.select(F.col("doc_id").alias("_row"), "class_id").join(rows.select("_row", "doc_id"), "_row")
+    first = members.groupBy("class_id").agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row")
+    return rows.join(first, "_row", "left_semi").unionByName(rows.where("doc_id IS NULL")).select(*COLUMNS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
