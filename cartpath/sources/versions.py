@@ -157,7 +157,7 @@ class VersionedTable:
         """
         held = self.adopt()
         partition = self._partition_of(held)
-        kind = self.spark.table(self.table).schema[partition].dataType
+        kind = self.spark.table(f"{self.schema}.{held[0].table}").schema[partition].dataType
         gone = tuple(_literal(v, kind) for v in values)
         layer, n = self._write(rows, (partition,), contract, held)
         kept = [Layer(x.table, tuple(dict.fromkeys((*x.without, *gone)))) for x in held]
@@ -167,11 +167,20 @@ class VersionedTable:
     # --- how ---------------------------------------------------------------------------------------
 
     def adopt(self) -> list[Layer]:
-        """The layers of now; a plain table of this name becomes the first layer."""
+        """The layers of now; a plain table of this name becomes the first layer, once.
+
+        A partitioned one is copied for that, since not every catalog takes the places of partitions
+        along when a table is renamed.
+        """
         if self.exists() and not self._is_view():
-            layer = self._new_name()
-            self.spark.sql(f"ALTER TABLE {self.table} RENAME TO {self.schema}.{layer}")
-            self._set_view([Layer(layer)])
+            layer = Layer(self._new_name())
+            partition = next((c.name for c in self.spark.catalog.listColumns(self.table) if c.isPartition), None)
+            if partition:
+                self.spark.table(self.table).write.partitionBy(partition).saveAsTable(f"{self.schema}.{layer.table}")
+                self.spark.sql(f"DROP TABLE {self.table}")
+            else:
+                self.spark.sql(f"ALTER TABLE {self.table} RENAME TO {self.schema}.{layer.table}")
+            self._set_view([layer])
         return self.layers()
 
     def _new_name(self) -> str:
