@@ -61,6 +61,33 @@ def _steps(counts: DataFrame, by: tuple[str, ...]) -> DataFrame:
     )
 
 
+PARTIALS = ("_total", *(f"_{n}" for n in STAGE_NAMES))
+
+
+def funnel_partials(sessions: DataFrame, *by: str) -> DataFrame:
+    """Sessions and those that reached each step, per session date and the given columns.
+
+    These counts add up, so that a part of the sessions can be counted anew without the others.
+    """
+    return sessions.groupBy(*by, F.to_date("session_start").alias("session_date")).agg(
+        F.count("*").alias("_total"), *(_reached(n).alias(f"_{n}") for n in STAGE_NAMES)
+    )
+
+
+def metrics_of_partials(partials: DataFrame) -> DataFrame:
+    """:func:`funnel_metrics` from partial counts."""
+    return _steps(partials.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in PARTIALS)), ())
+
+
+def daily_of_partials(partials: DataFrame) -> DataFrame:
+    """:func:`funnel_daily` from partial counts."""
+    daily = partials.groupBy("session_date").agg(
+        F.sum("_total").alias("total_sessions"),
+        *(F.sum(f"_{n}").alias(name) for n, name in {2: "product_views", 3: "add_to_carts", 4: "purchases"}.items()),
+    )
+    return daily.select("*", percent(F.col("purchases"), F.col("total_sessions")).alias("daily_conversion_rate_pct"))
+
+
 def funnel_metrics(sessions: DataFrame) -> DataFrame:
     """Four rows: sessions that reached each step, with overall, step and drop-off rates.
 
@@ -75,10 +102,12 @@ def funnel_metrics(sessions: DataFrame) -> DataFrame:
 def funnel_by_category(flat: DataFrame, products: DataFrame) -> DataFrame:
     """The funnel per product category, over the sessions that touched a product of it.
 
-    A session's depth within a category is the deepest stage of its events on such products, the
-    first item of an event standing for the event. ``products`` has product_id and
-    product_category_name; a product that it does not know, or without category, counts as
-    ``unknown``.
+    A session's depth within a category is the deepest stage of its events on such products. ``flat``
+    has session_id, customer_id, product_id and funnel_stage: those of
+    :func:`cartpath.operators.events.flatten_items` for whole carts, those of
+    :func:`~cartpath.operators.events.flatten` for the first item of each event. ``products`` has
+    product_id and product_category_name; a product that it does not know, or without category,
+    counts as ``unknown``.
     """
     # One row per session and product before the join, so a hot product only joins once a session.
     touched = (

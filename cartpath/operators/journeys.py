@@ -218,8 +218,12 @@ def customer_journeys(ranked: DataFrame, customers: DataFrame, orders: DataFrame
 
     Customers without any session do not appear.
     """
-    profiles = customer_profiles(customers, orders)
-    return journey_metrics(ranked).join(profiles, "customer_id", "left").select(*JOURNEY_COLUMNS)
+    return with_profiles(journey_metrics(ranked), customer_profiles(customers, orders))
+
+
+def with_profiles(metrics: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Journey rows completed by the order history and place of each person."""
+    return metrics.join(profiles, "customer_id", "left").select(*JOURNEY_COLUMNS)
 
 
 def customer_journey_sessions(ranked: DataFrame) -> DataFrame:
