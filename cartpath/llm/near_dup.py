@@ -162,15 +162,16 @@ def _compared(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> Da
 
 
 def _unlinked_pairs(rows: DataFrame, key: list[str], step: int) -> DataFrame:
-    """Pairs (a, b) of different ``root`` in the groups of ``rows`` (id, root) that ``key`` makes.
+    """Pairs (a, b) of different ``root`` in the groups of ``rows`` (id, root, common) that ``key`` makes.
 
-    All of them in groups of up to ``_FEW`` rows; in larger ones those with the smallest, the largest
-    and an id that ``step`` draws.
+    All of them in groups of up to ``_FEW`` rows; in larger ones those with three centres: the row that has
+    most in common with others, and two that ``step`` draws.
     """
     own = F.struct("id", "root")
+    drawn = F.xxhash64("id", *key, F.lit(step))
     groups = rows.groupBy(*key).agg(
         F.count("*").alias("held"),
-        F.array(F.min(own), F.max(own), F.min_by(own, F.xxhash64("id", *key, F.lit(step)))).alias("centres"),
+        F.array(F.max_by(own, "common"), F.min_by(own, drawn), F.max_by(own, drawn)).alias("centres"),
         (F.min("root") < F.max("root")).alias("open"),
     ).where("open")
     held = rows.join(groups, key)
@@ -246,9 +247,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     shingle; one without words, null included, is a class of its own. Rows with one doc_id are one
     document, so the classes of all its texts are one class. A null doc_id is left out.
 
-    In a bucket each member meets the bucket's smallest id first. What that has not connected is looked
-    at again: buckets of up to ``_FEW`` members are compared in full, larger ones with two more centres,
-    drawn anew in each of ``_ROUNDS`` rounds. Members of larger buckets that are still not of one class
+    In a bucket each member first meets the one that shares most buckets with others, which is the
+    nearest to an original that copies were made from. What that has not connected is looked at again:
+    buckets of up to ``_FEW`` members are compared in full, larger ones with two more centres, drawn anew
+    in each of ``_ROUNDS`` rounds. Members of larger buckets that are still not of one class
     are compared by the shingles that a pair as similar as ``least`` must share, so no pair of a
     bucket is left out.
     """
@@ -263,13 +265,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     classes = written(tops.withColumn("id", F.monotonically_increasing_id()), "copies")
 
     reps = classes.select("id", F.posexplode("bands").alias("band", "bucket"))
-    buckets = reps.groupBy("band", "bucket").agg(F.count("*").alias("members"), F.min("id").alias("centre")).where("members > 1")
-    met = written(reps.join(buckets, ["band", "bucket"]), "met")
-    involved = met.select("id").distinct()
+    buckets = reps.groupBy("band", "bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = written(reps.join(buckets, ["band", "bucket"]), "shared")
+    involved = written(shared.groupBy("id").agg(F.sum("members").alias("common")), "involved")
+    met = written(shared.join(involved, "id"), "met")
+    centres = met.groupBy("band", "bucket").agg(F.max_by("id", "common").alias("centre"))
+    involved = involved.select("id")
     chosen = classes.select("id", F.col("copy_of").alias("doc_id"), "mark").join(involved, "id", "left_semi")
     texts = written(source.join(chosen, ["doc_id", "mark"]).dropDuplicates(["id"]).select("id", "text"), "texts")
 
-    tried = [written(met.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "pairs")]
+    star = met.join(centres, ["band", "bucket"]).where("id <> centre")
+    star = star.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    tried = [written(star, "pairs")]
     roots = durable(components(involved, _compared(tried[0], texts, size, least)))
 
     def look(pairs: DataFrame) -> bool:
@@ -287,7 +294,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
 
     def unsettled(more_than: int) -> DataFrame:
         """The members of larger buckets that are not of one class."""
-        rows = met.where(F.col("members") > more_than).select("id", "band", "bucket").join(roots, "id")
+        rows = met.where(F.col("members") > more_than).select("id", "band", "bucket", "common").join(roots, "id")
         parts = rows.groupBy("band", "bucket").agg((F.min("root") < F.max("root")).alias("open")).where("open")
         return written(rows.join(parts.select("band", "bucket"), ["band", "bucket"], "left_semi"), "unsettled")
 
