@@ -115,18 +115,20 @@ def ordered_context(
     previous: dict[str, str] | None = None,
     totals: dict[str, Column] | None = None,
     running: dict[str, Column] | None = None,
+    highest: dict[str, Column] | None = None,
     hot: HotKeys | None = None,
     ties: bool = False,
 ) -> DataFrame:
     """Number the rows of each group in order, with values of the rows before and of the group.
 
     ``number`` names the 1-based row number (a bigint), ``previous`` maps new columns to the column whose
-    value in the row before they take, ``totals`` maps new columns to aggregates of the group, and
-    ``running`` maps new columns to bigint expressions that are summed over all rows before.
+    value in the row before they take, ``totals`` maps new columns to aggregates of the group,
+    ``running`` maps new columns to bigint expressions that are summed over all rows before, and
+    ``highest`` to expressions whose largest value in the rows before they take.
     ``ties`` says that rows may be equal in keys and order, as copies of one event are; any number
     of them is cut into chunks like other rows, in an order that is arbitrary but fixed.
     """
-    previous, totals, running = previous or {}, totals or {}, running or {}
+    previous, totals, running, highest = previous or {}, totals or {}, running or {}, highest or {}
     ordinary, oversized = split_hot(rows, keys, hot)
     group = Window.partitionBy(*keys)
     in_order = group.orderBy(*order)
@@ -135,6 +137,7 @@ def ordered_context(
         F.row_number().over(in_order).cast("bigint").alias(number),
         *(F.lag(source).over(in_order).alias(name) for name, source in previous.items()),
         *(_sum_before(value, in_order).alias(name) for name, value in running.items()),
+        *(_highest_before(value, in_order).alias(name) for name, value in highest.items()),
         *(total.over(group).alias(name) for name, total in totals.items()),
     )
     if oversized is None:
@@ -144,7 +147,7 @@ def ordered_context(
         # is run again, and rows would then be lost or doubled in the exchange behind it.
         oversized = durable(oversized.withColumn("_tie", F.monotonically_increasing_id()))
         order = [*order, "_tie"]
-    chunked = _chunked_context(oversized, keys, order, number, previous, totals, running, hot)
+    chunked = _chunked_context(oversized, keys, order, number, previous, totals, running, highest, hot)
     return result.unionByName(chunked.drop("_tie"))
 
 
@@ -154,7 +157,11 @@ def _sum_before(value: Column, in_order) -> Column:
     return summed - value.cast("bigint")
 
 
-def _chunked_context(rows, keys, order, number, previous, totals, running, hot: HotKeys) -> DataFrame:
+def _highest_before(value: Column, in_order) -> Column:
+    return F.max(value).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _chunked_context(rows, keys, order, number, previous, totals, running, highest, hot: HotKeys) -> DataFrame:
     # The chunk of a row is its range partition. The partition id is only stable once written, so
     # the chunked rows are checkpointed and everything below reads that copy.
     chunked = durable(
@@ -164,6 +171,7 @@ def _chunked_context(rows, keys, order, number, previous, totals, running, hot:
     carried = F.struct(*(F.col(source).alias(name) for name, source in previous.items())) if previous else F.lit(None)
     earlier = Window.partitionBy(*keys).orderBy("_chunk")
     sums = {f"_{i}_sum": value.cast("bigint") for i, value in enumerate(running.values())}
+    tops = {f"_{i}_top": value for i, value in enumerate(highest.values())}
 
     def in_earlier(name: str) -> Column:
         return F.coalesce(F.sum(name).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -174,6 +182,7 @@ def _chunked_context(rows, keys, order, number, previous, totals, running, hot:
             F.count(F.lit(1)).alias("_n"),
             F.max_by(carried, position).alias("_last"),
             *(F.sum(value).alias(name) for name, value in sums.items()),
+            *(F.max(value).alias(name) for name, value in tops.items()),
         )
         .select(
             *keys,
@@ -181,6 +190,7 @@ def _chunked_context(rows, keys, order, number, previous, totals, running, hot:
             in_earlier("_n").alias("_before"),
             F.lag("_last").over(earlier).alias("_carried"),
             *(in_earlier(name).alias(name) for name in sums),
+            *(_highest_before(F.col(name), earlier).alias(name) for name in tops),
         )
     )
     # One row per chunk and key: as many as there are chunks and hot keys.
@@ -196,7 +206,7 @@ def _chunked_context(rows, keys, order, number, previous, totals, running, hot:
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     place = F.row_number().over(in_chunk)
     return rows.select(
-        *(c for c in rows.columns if c not in {"_chunk", "_before", "_carried", *sums, *totals}),
+        *(c for c in rows.columns if c not in {"_chunk", "_before", "_carried", *sums, *tops, *totals}),
         (place + F.col("_before")).alias(number),
         *(
             F.when(place == 1, F.col(f"_carried.{name}")).otherwise(F.lag(source).over(in_chunk)).alias(name)
@@ -206,5 +216,9 @@ def _chunked_context(rows, keys, order, number, previous, totals, running, hot:
             (_sum_before(value, in_chunk) + F.col(carry)).alias(name)
             for (name, value), carry in zip(running.items(), sums, strict=True)
         ),
+        *(
+            F.greatest(_highest_before(value, in_chunk), F.col(carry)).alias(name)
+            for (name, value), carry in zip(highest.items(), tops, strict=True)
+        ),
         *totals,
     )

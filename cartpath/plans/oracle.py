@@ -254,7 +254,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(event_id AS VARCHAR) AS event_id, TRUE AS is_primary,
                 CASE WHEN user_id % 3 = 0 THEN 'browser' ELSE 'application' END AS environment_type,
                 CASE user_id % 3 WHEN 0 THEN 'Windows' WHEN 1 THEN 'iOS' ELSE 'Android' END AS operating_system,
-                CASE event_id % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'tablet' ELSE 'mobile' END AS device_category,
+                CASE event_id % 3 WHEN 0 THEN 'terminal' WHEN 1 THEN 'handset' ELSE 'kiosk' END AS device_category,
                 CASE WHEN event_type = 'click' THEN 'homepage' END AS page_name,
                 CASE WHEN event_type = 'click' THEN 'direct' END AS referrer_url,
                 CASE WHEN event_type = 'click' THEN 'external' END AS referrer_type,
@@ -383,6 +383,55 @@ def oracle_sql() -> dict[str, str]:
                 n_items AS stated_items, total AS stated_total, n_items AS cart_items, total AS cart_total, TRUE AS agrees
             FROM bought""",
         ),
+        "strict_funnel": _with(
+            (
+                _FLAT,
+                """steps AS (SELECT session_id, event_timestamp AS moment, event_id AS id, funnel_stage AS stage FROM flat
+                    WHERE event_type <> 'commerce.productListRemovals'),
+                one AS (SELECT session_id, moment, id, moment AS begun FROM steps WHERE stage = 1),
+                two AS (
+                    SELECT s.session_id, s.moment, s.id, p.begun FROM steps s JOIN one p ON p.session_id = s.session_id AND (p.moment, p.id) < (s.moment, s.id)
+                    WHERE s.stage = 2 AND s.moment <= p.begun + INTERVAL 6 HOUR),
+                three AS (
+                    SELECT s.session_id, s.moment, s.id, p.begun FROM steps s JOIN two p ON p.session_id = s.session_id AND (p.moment, p.id) < (s.moment, s.id)
+                    WHERE s.stage = 3 AND s.moment <= p.begun + INTERVAL 6 HOUR),
+                four AS (
+                    SELECT s.session_id, s.moment, s.id, p.begun FROM steps s JOIN three p ON p.session_id = s.session_id AND (p.moment, p.id) < (s.moment, s.id)
+                    WHERE s.stage = 4 AND s.moment <= p.begun + INTERVAL 6 HOUR),
+                counts AS (
+                    SELECT (SELECT COUNT(DISTINCT session_id) FROM flat) AS total,
+                        (SELECT COUNT(DISTINCT session_id) FROM one) AS s1, (SELECT COUNT(DISTINCT session_id) FROM two) AS s2,
+                        (SELECT COUNT(DISTINCT session_id) FROM three) AS s3, (SELECT COUNT(DISTINCT session_id) FROM four) AS s4)""",
+            ),
+            _funnel_steps("counts"),
+        ),
+        "step_time_quantiles": _with(
+            (_FLAT, _STEP_TIMES),
+            """SELECT CAST(date_trunc('week', ts_page_view) AS DATE) AS week, COUNT(*) AS journeys,
+                quantile_disc(seconds_page_view_to_purchase, 0.5) AS median_sec_full_journey,
+                quantile_disc(seconds_page_view_to_purchase, 0.9) AS p90_sec_full_journey
+            FROM step_times WHERE seconds_page_view_to_purchase IS NOT NULL GROUP BY 1""",
+        ),
+        "csv_rejects": """SELECT CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey END AS order_id,
+                CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS customer_id,
+                CASE WHEN o_orderkey % 11 = 0 THEN 'x' || o_orderkey || ',' || o_custkey || ',' || o_orderstatus END AS rejected_line
+            FROM orders""",
+        "load_results": " UNION ALL ".join(
+            f"SELECT '{name}.csv' AS file, '{name}' AS \"table\", '{status}' AS status, {n} AS rows, {rejected} AS rejected"
+            for name, status, n, rejected in (
+                *((t, "loaded", f"(SELECT COUNT(*) FROM {t})", "CAST(0 AS BIGINT)") for t in ("customer", "part", "supplier")),
+                ("nation", "failed", "NULL", "NULL"),
+                ("absent", "skipped", "NULL", "NULL"),
+            )
+        ),
+        "event_files_any_form": _with((_FLAT,), flat),
+        "event_schema_growth": """SELECT CAST(event_id AS VARCHAR) AS event_id,
+                CASE event_id % 3 WHEN 0 THEN 'terminal' WHEN 1 THEN 'handset' ELSE 'kiosk' END AS device_category,
+                CASE WHEN event_id % 2 = 1 THEN 'v' || length(CAST(event_id AS VARCHAR)) END AS app_version,
+                CASE WHEN event_type <> 'click' THEN CASE WHEN event_id % 2 = 1 THEN 1099511627776 ELSE 1 END END AS quantity,
+                CASE WHEN event_type <> 'click' AND event_id % 2 = 1 THEN CASE event_type WHEN 'error' THEN 0.0 ELSE value / 2 END END AS discount
+            FROM events""",
+        "late_customer_journeys": _with(_TO_JOURNEYS, "SELECT * FROM journeys"),
         "ranked_sessions": _with(
             _TO_RANKED,
             """SELECT session_id, customer_id, session_start, session_rank, is_first_session,

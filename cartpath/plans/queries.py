@@ -12,10 +12,12 @@ from cartpath.operators import events as event_ops
 from cartpath.operators import carts, funnel, journeys, orders, sessions
 from cartpath.operators.skew import HotKeys, hot_keys, within_limit
 from cartpath.plans import reports
+from cartpath.plans.late import LateSilver
 from cartpath.session import configure, work_path, written
 from cartpath.sources import files, tables, topics
 from cartpath.sources import testtables as given
-from cartpath.sources.schemas import EVENT_DDL
+from cartpath.sources.schemas import EVENT_DDL, EVENT_FIELDS
+from cartpath.sources.versions import REJECTED_TEXT, VersionedTable
 from cartpath.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 LINEAGE = ("_ingested_at", "_source_file")
 # Larger than the landing default of 100, so that the number of files stays in proportion.
 EVENTS_PER_FILE = 10_000
+# Steps of the strict funnel have to follow within this time.
+STRICT_SECONDS = 6 * 3600
 
 
 def plain(rows: DataFrame) -> DataFrame:
@@ -49,7 +53,7 @@ def _flat(spark: SparkSession, folder: str) -> DataFrame:
 def _hot(spark: SparkSession, folder: str, keys: tuple[str, ...]) -> HotKeys | None:
     if within_limit(given.given(spark, folder, "events")):
         return None
-    return hot_keys(_flat(spark, folder), keys)
+    return hot_keys(given.event_keys(spark, folder), keys)
 
 
 def _sessions(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,13 +211,103 @@ def _order_purchases(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _new_schema(spark: SparkSession, purpose: str) -> tuple[str, str]:
+    """A work folder, and a catalog schema below it."""
+    work = work_path(spark, purpose)
+    schema = work.rsplit("/", 1)[-1].replace("-", "_")
+    tables.ensure_schema(spark, schema, f"{work}/{schema}")
+    return work, schema
+
+
+def _csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders to CSV, every eleventh with a key that is no number, and back by a schema: what was loaded and what was not."""
+    work, schema = _new_schema(spark, "rejects")
+    rows = given.given(spark, folder, "orders").selectExpr(
+        "concat(CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END, o_orderkey) AS order_id",
+        "o_custkey AS customer_id",
+        "o_orderstatus AS order_status",
+    )
+    files.write_csv(rows, f"{work}/orders.csv")
+    files.load_csv(spark, f"{work}/orders.csv", f"{schema}.orders", "order_id bigint, customer_id bigint, order_status string")
+    loaded = tables.scan(spark, f"{schema}.orders").selectExpr("order_id", "customer_id", "CAST(NULL AS STRING) AS rejected_line")
+    rejected = VersionedTable(spark, f"{schema}.orders").rejects()
+    return loaded.unionByName(rejected.selectExpr("CAST(NULL AS BIGINT) AS order_id", "CAST(NULL AS BIGINT) AS customer_id", f"{REJECTED_TEXT} AS rejected_line"))
+
+
+def _load_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Several CSV files loaded at a time, one of them missing and one with a type that does not exist."""
+    work, schema = _new_schema(spark, "loads")
+    for name in ("customer", "part", "supplier", "nation"):
+        files.write_csv(given.given(spark, folder, name), f"{work}/{name}.csv")
+    wanted = {f"{name}.csv": name for name in ("customer", "part", "supplier", "nation", "absent")}
+    schemas = {name: given.SCHEMAS[name] for name in ("customer", "part", "supplier")} | {"nation": "n_nationkey no_such_type"}
+    return files.load_files(spark, work, schema, wanted, schemas).select("file", "table", "status", "rows", "rejected")
+
+
+def _event_files_any_form(spark: SparkSession, folder: str) -> DataFrame:
+    """Event files of one event per line and of indented arrays in one folder, read by one stream."""
+    work, schema = _new_schema(spark, "forms")
+    event = F.struct(*EVENT_FIELDS)
+    landed = given.bronze_events(spark, folder).withColumn("_n", F.col("_id").cast("bigint"))
+    lines, arrays = landed.where("_n % 3 = 0"), landed.where("_n % 3 <> 0")
+    lines.select(F.to_json(event).alias("value")).write.text(f"{work}/landing/lines")
+    # A hundred events to an array, as the consumer of the topic writes them.
+    texts = arrays.groupBy(F.floor(F.col("_n") / 150).alias("file")).agg(F.collect_list(F.to_json(event, {"pretty": "true"})).alias("texts"))
+    indented = F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("\n]"))
+    texts.select(indented.alias("value")).write.text(f"{work}/landing/arrays")
+    ingest.ingest_events(ingest.event_stream(spark, f"{work}/landing"), schema, f"{work}/checkpoint")
+    return event_ops.flatten(tables.scan(spark, f"{schema}.{ingest.EVENTS}"))
+
+
+def _event_schema_growth(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of a first and of a later schema, which has more inside structs and arrays and a wider number."""
+    work, schema = _new_schema(spark, "growth")
+    events = given.bronze_events(spark, folder).drop(*LINEAGE)
+    later = "CAST(_id AS BIGINT) % 2 = 1"
+    ingest.write_event_files(events.where(f"NOT {later}"), f"{work}/landing/first", EVENTS_PER_FILE)
+    ingest.ingest_events(ingest.event_stream(spark, f"{work}/landing", multi_line=False), schema, f"{work}/checkpoint")
+    version = F.concat(F.lit("v"), F.length("_id"))
+    grown = events.where(later).withColumn("environment", F.col("environment").withField("app", F.struct(version.alias("version"))))
+    items = F.transform("productListItems", lambda line: line.withField("discount", line["priceTotal"] / 2).withField("quantity", F.lit(2**40)))
+    ingest.write_event_files(grown.withColumn("productListItems", items), f"{work}/landing/later", EVENTS_PER_FILE)
+    wider = EVENT_DDL.replace("deviceCategory:string", "deviceCategory:string, app:struct<version:string>")
+    wider = wider.replace("quantity:int", "quantity:bigint, discount:double")
+    ingest.ingest_events(ingest.event_stream(spark, f"{work}/landing", multi_line=False, schema=wider), schema, f"{work}/checkpoint")
+    item = F.get("productListItems", F.lit(0))
+    return tables.scan(spark, f"{schema}.{ingest.EVENTS}").select(
+        F.col("_id").alias("event_id"),
+        F.col("environment.deviceCategory").alias("device_category"),
+        F.col("environment.app.version").alias("app_version"),
+        item["quantity"].alias("quantity"),
+        item["discount"].alias("discount"),
+    )
+
+
+def _late_silver(spark: SparkSession, folder: str) -> str:
+    """The silver tables from three quarters of the events, and then the others as late ones; the name of the schema."""
+    _, schema = _new_schema(spark, "late")
+    silver = LateSilver(spark, schema, buckets=8)
+    flat = event_ops.flatten(given.bronze_events(spark, folder))
+    late = "CAST(event_id AS BIGINT) % 4 = 3"
+    silver.publish(flat.where(f"NOT {late}"), given.customers(spark, folder), given.orders(spark, folder))
+    silver.add(flat.where(late))
+    return schema
+
+
+def _step_time_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles of each week from sketches of its days."""
+    sketches = written(funnel.step_time_sketches(funnel.funnel_step_times(_flat(spark, folder)), 4096), "sketches")
+    return funnel.sketched_quantiles(sketches, {"week": F.to_date(F.date_trunc("week", "session_date"))})
+
+
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Orders to a CSV file with a header, and from there into a bronze table."""
     work = work_path(spark, "csv")
     schema = work.rsplit("/", 1)[-1].replace("-", "_")
     tables.ensure_schema(spark, schema, f"{work}/{schema}")
     given.orders(spark, folder).write.option("header", True).csv(f"{work}/orders.csv")
-    files.load_csv(spark, f"{work}/orders.csv", f"{schema}.orders")
+    ddl = "order_id int, customer_id int, order_status string, order_purchase_timestamp timestamp"
+    files.load_csv(spark, f"{work}/orders.csv", f"{schema}.orders", ddl)
     return tables.scan(spark, f"{schema}.orders")
 
 
@@ -308,6 +402,13 @@ def queries() -> dict[str, Query]:
         "session_carts": _session_carts,
         "order_session_events": _order_session_events,
         "order_carts": _order_carts,
+        "strict_funnel": lambda s, d: funnel.strict_funnel(_flat(s, d), STRICT_SECONDS, _hot(s, d, sessions.TRAIL_KEYS)),
+        "step_time_quantiles": _step_time_quantiles,
+        "csv_rejects": _csv_rejects,
+        "load_results": _load_results,
+        "event_files_any_form": _event_files_any_form,
+        "event_schema_growth": _event_schema_growth,
+        "late_customer_journeys": lambda s, d: s.table(f"{_late_silver(s, d)}.customer_journeys"),
         "ranked_sessions": lambda s, d: _ranked(s, d).select(
             "session_id",
             "customer_id",

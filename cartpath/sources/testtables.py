@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpath.functions.stages import CART_ADD, CART_REMOVAL, PAGE_VIEW, PRODUCT_VIEW, PURCHASE, map_text
-from cartpath.operators.events import item_text, to_envelope, with_lineage
+from cartpath.operators.events import OPERATING_SYSTEMS, item_text, to_envelope, with_lineage
 
 # Columns used of each given table. A declared schema saves the job that reads the file footers.
 SCHEMAS = {
@@ -37,8 +37,11 @@ EVENT_TYPES = {
     "error": CART_REMOVAL,
     "purchase": PURCHASE,
 }
-PLATFORMS = {0: "web", 1: "mobile_ios", 2: "mobile_android"}
-DEVICES = {0: "desktop", 1: "tablet", 2: "mobile"}
+PLATFORMS = dict(enumerate(OPERATING_SYSTEMS))
+DEVICES = {0: "terminal", 1: "handset", 2: "kiosk"}
+# A session is one user's day, a customer one user within three days of the month.
+SESSION_ID = "concat_ws('-', user_id, date_format(ts, 'yyyyMMdd'))"
+CUSTOMER_ID = "CAST(user_id * 10 + (dayofmonth(ts) - 1) div 3 AS STRING)"
 
 
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -92,8 +95,8 @@ def actions(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(event_id AS STRING) AS event_id",
         "CAST(ts AS TIMESTAMP) AS event_time",
         f"{map_text(EVENT_TYPES)}[event_type] AS event_type",
-        "concat_ws('-', user_id, date_format(ts, 'yyyyMMdd')) AS session_id",
-        "CAST(user_id * 10 + (dayofmonth(ts) - 1) div 3 AS STRING) AS customer_id",
+        f"{SESSION_ID} AS session_id",
+        f"{CUSTOMER_ID} AS customer_id",
         f"{map_text(PLATFORMS)}[CAST(user_id % 3 AS INT)] AS platform",
         f"{map_text(DEVICES)}[CAST(event_id % 3 AS INT)] AS device",
         "CASE WHEN event_type = 'click' THEN 'homepage' END AS page_name",
@@ -109,3 +112,8 @@ def actions(spark: SparkSession, folder: str) -> DataFrame:
 def bronze_events(spark: SparkSession, folder: str) -> DataFrame:
     """The ``events`` table as nested events with lineage."""
     return with_lineage(to_envelope(actions(spark, folder)), F.lit("events.parquet"))
+
+
+def event_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Session and customer of every event, without its other parts."""
+    return given(spark, folder, "events").selectExpr(f"{SESSION_ID} AS session_id", f"{CUSTOMER_ID} AS customer_id")

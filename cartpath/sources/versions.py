@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+import threading
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -29,8 +30,11 @@ KEPT_VERSIONS = 3
 MOST_LAYERS = 8
 # A partition column that spreads rows for replacement alone; the view does not show it.
 BUCKET = "_bucket"
+# A partition column that tells rejected rows, with the text of each; the view shows the others alone.
+REJECTED, REJECTED_TEXT = "_rejected", "_corrupt_record"
 _LAYER = re.compile(r"__\d{6}_[0-9a-f]{8}$")
 _PROPERTY = "layers"
+_NOTING = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -139,6 +143,19 @@ class VersionedTable:
         self._switch([layer], "overwrite", n)
         return n
 
+    def overwrite_accepted(self, rows: DataFrame) -> tuple[int, int]:
+        """Overwrite by rows with REJECTED and REJECTED_TEXT; returns how many were accepted and how many rejected.
+
+        Both kinds are written and counted in one pass.
+        """
+        layer, seen = Layer(self._new_name()), Observation()
+        flagged = F.count_if(F.col(REJECTED))
+        counted = rows.observe(seen, (F.count(F.lit(1)) - flagged).alias("accepted"), flagged.alias("rejected"))
+        counted.write.partitionBy(REJECTED).saveAsTable(f"{self.schema}.{layer.table}")
+        counts = seen.get
+        self._switch([layer], "overwrite", counts["accepted"])
+        return counts["accepted"], counts["rejected"]
+
     def append(self, rows: DataFrame, contract: Contract | None = None) -> int:
         """Add rows; a table that does not exist yet begins with them."""
         held = self.adopt()
@@ -214,17 +231,27 @@ class VersionedTable:
         columns = self.spark.catalog.listColumns(f"{self.schema}.{layers[0].table}")
         return next((c.name for c in columns if c.isPartition), None)
 
+    def rejects(self) -> DataFrame:
+        """The rows of now that a load has rejected, with their text."""
+        layers = self.layers()
+        whole = self.spark.sql(self._select(layers, self._partition_of(layers), hidden=True))
+        return whole.where(REJECTED).drop(REJECTED) if REJECTED in whole.columns else whole.where("false")
+
     def _select(self, layers: Sequence[Layer], partition: str | None, hidden: bool = False) -> str:
         names = self.spark.table(f"{self.schema}.{layers[0].table}").columns
-        columns = ", ".join(f"`{c}`" for c in names if hidden or c != BUCKET)
+        split = partition == REJECTED
+        unseen = {BUCKET, *((REJECTED, REJECTED_TEXT) if split else ())}
+        columns = ", ".join(f"`{c}`" for c in names if hidden or c not in unseen)
+        accepted = f"NOT `{REJECTED}`" if split and not hidden else ""
         parts = []
         for layer in layers:
-            kept = ""
+            conditions = [accepted] if accepted else []
             if layer.without:
                 without = [f"`{partition}` IS NULL"] if "NULL" in layer.without else []
                 values = [v for v in layer.without if v != "NULL"]
                 without += [f"coalesce(`{partition}` IN ({', '.join(values)}), false)"] if values else []
-                kept = f" WHERE NOT ({' OR '.join(without)})"
+                conditions.append(f"NOT ({' OR '.join(without)})")
+            kept = f" WHERE {' AND '.join(conditions)}" if conditions else ""
             parts.append(f"SELECT {columns} FROM {self.schema}.{layer.table}{kept}")
         return " UNION ALL ".join(parts)
 
@@ -268,4 +295,5 @@ def note_write(spark: SparkSession, table: str, operation: str, rows: int | None
     schema, name = table.rsplit(".", 1)
     entry = spark.createDataFrame([(name, operation, rows, layers)], "table string, operation string, rows bigint, layers string")
     noted = entry.withColumn("written_at", F.current_timestamp()).select("table", "operation", "rows", "written_at", "layers")
-    noted.coalesce(1).write.mode("append").saveAsTable(f"{schema}.{HISTORY}")
+    with _NOTING:  # two appends to one Parquet table at a time would undo each other
+        noted.coalesce(1).write.mode("append").saveAsTable(f"{schema}.{HISTORY}")
