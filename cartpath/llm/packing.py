@@ -17,6 +17,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,21 +75,33 @@ class Encoder:
         self.used += len(flat)
         self.known.update(zip(chunks, range(at, at + new), strict=True))
 
-    def ids(self, text: str) -> np.ndarray:
-        if _UNUSUAL.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        chunks = text.lower().split()
+    def all_ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Chunks are cut and told apart in Arrow, so each different one is looked up once."""
+        usual = [_UNUSUAL.search(text) is None for text in texts]
+        lowered = [text.lower() if plain else "" for text, plain in zip(texts, usual, strict=True)]
+        chunks = pc.ascii_split_whitespace(pa.array(lowered, pa.large_string()))
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.known) > _MOST_CHUNKS:
             self.forget()
-        at = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
-        if len(at) and at.min() < 0:
-            missing = np.flatnonzero(at < 0)
-            absent = [chunks[i] for i in missing]
-            self._learn(list(dict.fromkeys(absent)))
+        at = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            absent = [distinct[i] for i in missing]
+            self._learn(absent)
             at[missing] = [self.known[chunk] for chunk in absent]
+        at = at[coded.indices.to_numpy()]
         sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = self.flat[np.repeat(self.starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        cuts = ends[chunks.offsets.to_numpy()]
+        return [
+            flat[cuts[i] : cuts[i + 1]] if plain else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            for i, (text, plain) in enumerate(zip(texts, usual, strict=True))
+        ]
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.all_ids([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -103,10 +116,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, keep_ids: bool
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(tokenizer) or _encoders.setdefault(tokenizer, Encoder(tokenizer))
-        for rows in rows_of(parts):
+        for rows in rows_of(parts, 256):
             out: list[tuple] = []
-            for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                ids = np.append(encoder.ids(text.decode("utf-8", "replace")), np.uint32(END)).astype("<u4")
+            texts = [text.decode("utf-8", "replace") for text in rows.column(1).to_pylist()]
+            for doc_id, found in zip(rows.column(0).to_pylist(), encoder.all_ids(texts), strict=True):
+                ids = np.append(found, np.uint32(END)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), capacity)):
                     own = ids[start : start + capacity]
                     out.append((doc_id, number, start, len(own), zlib.crc32(own.tobytes()), own.astype(np.int32) if keep_ids else None))
