@@ -24,6 +24,7 @@ _ROUNDS = 3  # times that larger buckets meet centres before their shingles are
 _ORDER_BITS = 20  # slots of the counts that order shingles from rare to common
 _KEPT = 4_000_000  # shingles that a task remembers between pairs
 _BLOCK = 2048  # rows of one side that meet the other in one task
+_BITS = 1024  # of the mask of a text's shingles
 _MARK = np.uint64(0xFFFFFFFF)
 
 
@@ -187,6 +188,8 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) ->
 
     Shingles are put into one order for all texts, rare ones first. Two texts as similar as ``least`` have
     a shingle in common among the first of each, and from the first common one on enough must be left.
+    A bit that only one mask has stands for a shingle that only one text has, so pairs whose masks differ
+    in more bits than the similarity allows are left out as well.
     """
     held = written(rows.join(texts, "id").select("id", "root", "text"), "unsettled")
 
@@ -210,6 +213,10 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) ->
             own = [np.unique(words.windows(words.word_hashes(t), size)) for t in batch.column(2).to_pylist()]
             first = [s[np.lexsort((s, rank[_slot(s)]))][: len(s) - int(np.ceil(least * len(s) - 1e-9)) + 1] for s in own]
             many = [len(f) for f in first]
+            masks = np.zeros((len(own), _BITS), np.uint8)
+            for mask, shingles in zip(masks, own, strict=True):
+                mask[(shingles % np.uint64(_BITS)).astype(np.int64)] = 1
+            packed = np.repeat(np.packbits(masks, axis=1).view(np.int64), many, axis=0)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(batch.column(0).to_numpy(), many)),
@@ -218,11 +225,12 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) ->
                     # Shingles from this one on, and all.
                     pa.array(np.concatenate([len(s) - np.arange(n) for s, n in zip(own, many, strict=True)]).astype(np.int32)),
                     pa.array(np.repeat([len(s) for s in own], many).astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(packed) + 1, dtype=np.int32) * packed.shape[1]), pa.array(packed.reshape(-1))),
                 ],
-                names=["id", "root", "shingle", "rest", "total"],
+                names=["id", "root", "shingle", "rest", "total", "mask"],
             )
 
-    drawn = written(held.mapInArrow(prefixes, "id long, root long, shingle long, rest int, total int"), "prefixes")
+    drawn = written(held.mapInArrow(prefixes, "id long, root long, shingle long, rest int, total int, mask array<long>"), "prefixes")
     shared.destroy()
     by_root = drawn.groupBy("shingle", "root").agg(F.count("*").alias("n"))
     # All rows of a shingle meet those outside its commonest class, in blocks of bounded size.
@@ -231,7 +239,11 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) ->
     open_rows = drawn.join(groups, "shingle")
     one = open_rows.where("root <> main").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).drop("blocks").alias("x")
     every = open_rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "main").alias("y")
-    enough = F.least("x.rest", "y.rest") >= least / (1 + least) * (F.col("x.total") + F.col("y.total")) - 1e-9
+    needed = least / (1 + least) * (F.col("x.total") + F.col("y.total")) - 1e-9
+    enough = F.least("x.rest", "y.rest") >= needed
+    for one_side, other in (("x", "y"), ("y", "x")):
+        alone = F.zip_with(f"{one_side}.mask", f"{other}.mask", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+        enough = enough & (F.col(f"{one_side}.total") - F.aggregate(alone, F.lit(0), lambda n, bits: n + bits) >= needed)
     same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") == F.col("y.block"))
     once = (F.col("y.root") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))
     met = one.join(every, same & (F.col("x.root") != F.col("y.root")) & once & enough)
