@@ -424,6 +424,13 @@ def oracle_sql() -> dict[str, str]:
                 ("absent", "skipped", "NULL", "NULL"),
             )
         ),
+        "table_versions": """WITH kept AS (
+                SELECT 0 AS version, 'overwrite' AS operation, o_orderkey, o_orderkey % 3 = 0 AS fresh FROM orders WHERE o_orderkey % 3 = 0
+                UNION ALL SELECT 1, 'append', o_orderkey, o_orderkey % 3 = 1 FROM orders WHERE o_orderkey % 3 < 2
+                UNION ALL SELECT 2, 'replace', o_orderkey, o_orderstatus = 'F' FROM orders
+                WHERE CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 3 = 2 ELSE o_orderkey % 3 < 2 END)
+            SELECT version, operation, COUNT(*) FILTER (fresh) AS rows, COUNT(*) AS held, CAST(SUM(o_orderkey) AS BIGINT) AS key_sum
+            FROM kept GROUP BY version, operation""",
         "event_files_any_form": _with((_FLAT,), flat),
         "event_schema_growth": """SELECT CAST(event_id AS VARCHAR) AS event_id,
                 CASE event_id % 3 WHEN 0 THEN 'terminal' WHEN 1 THEN 'handset' ELSE 'kiosk' END AS device_category,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from cartpath.session import configure, work_path, written
 from cartpath.sources import files, tables, topics
 from cartpath.sources import testtables as given
 from cartpath.sources.schemas import EVENT_DDL, EVENT_FIELDS
-from cartpath.sources.versions import REJECTED_TEXT, VersionedTable
+from cartpath.sources.versions import REJECTED_TEXT, Contract, ContractError, VersionedTable
 from cartpath.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,6 +235,28 @@ def _csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.unionByName(rejected.selectExpr("CAST(NULL AS BIGINT) AS order_id", "CAST(NULL AS BIGINT) AS customer_id", f"{REJECTED_TEXT} AS rejected_line"))
 
 
+def _table_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of orders by status through its writes: what each of them noted, and what its version still holds."""
+    _, schema = _new_schema(spark, "versions")
+    table = f"{schema}.orders"
+    rows = given.given(spark, folder, "orders").selectExpr("o_orderkey AS order_id", "o_orderstatus AS order_status")
+    contract = Contract("order_id bigint, order_status string", required=("order_id",), keys=("order_id",))
+    tables.write_table(rows.where("order_id % 3 = 0"), table, partition_by=("order_status",), contract=contract)
+    tables.write_table(rows.where("order_id % 3 = 1"), table, "append")
+    try:
+        tables.write_table(rows.unionByName(rows), table, contract=contract)  # refused, so it is no version
+    except ContractError:
+        pass
+    returned = rows.where("order_id % 3 = 2 AND order_status = 'F'")
+    VersionedTable(spark, table).replace_partitions(returned, ["F"])
+    held = [
+        tables.scan(spark, table, n).agg(F.count("*").alias("held"), F.sum("order_id").alias("key_sum")).withColumn("version", F.lit(n))
+        for n in range(3)
+    ]
+    noted = tables.write_history(spark, table).select("version", "operation", "rows")
+    return noted.join(reduce(DataFrame.unionByName, held), "version")
+
+
 def _load_results(spark: SparkSession, folder: str) -> DataFrame:
     """Several CSV files loaded at a time, one of them missing and one with a type that does not exist."""
     work, schema = _new_schema(spark, "loads")
@@ -406,6 +429,7 @@ def queries() -> dict[str, Query]:
         "step_time_quantiles": _step_time_quantiles,
         "csv_rejects": _csv_rejects,
         "load_results": _load_results,
+        "table_versions": _table_versions,
         "event_files_any_form": _event_files_any_form,
         "event_schema_growth": _event_schema_growth,
         "late_customer_journeys": lambda s, d: s.table(f"{_late_silver(s, d)}.customer_journeys"),
