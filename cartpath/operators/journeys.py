@@ -13,7 +13,7 @@ from cartpath.operators.skew import HotKeys, ordered_context
 CUSTOMER_KEYS = ("customer_id",)
 DELIVERED = "delivered"
 
-# Columns of the first and of the last session in a journey row, and the session column of each.
+# Columns of the first and of the last session in a journey row, and the session column of each.
 FIRST_TOUCH = {
     "first_session_id": "session_id",
     "first_session_start": "session_start",
@@ -30,6 +30,7 @@ LAST_TOUCH = {
     "last_session_revenue": "session_revenue",
 }
 
+# The columns of the published journey table.
 JOURNEY_COLUMNS = (
     "customer_id",
     "total_sessions",

@@ -13,6 +13,7 @@ SESSION_KEYS = ("session_id", "customer_id")
 TRAIL_KEYS = ("session_id",)
 PRODUCT_LIST = "products_interacted"
 
+# The columns of the published session table.
 SESSION_COLUMNS = (
     "session_id",
     "customer_id",
