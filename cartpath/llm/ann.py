@@ -80,7 +80,7 @@ def balanced_parts(graph: np.ndarray, vectors: np.ndarray, parts: int, rng: np.r
 
 
 def fit(sample: np.ndarray, parts: int, k: int, goal: float, width: int = 128, epochs: int = 40, seed: int = 11) -> Router:
-    """Learn the parts of a sample, and the fewest probes with which a held-back half finds ``goal`` of its neighbours."""
+    """Learn the parts of a sample, and the fewest probes with which its vectors find ``goal`` of their neighbours in it."""
     rng = np.random.default_rng(seed)
     n, dims = sample.shape
     parts = int(max(1, min(parts, n // (4 * k))))
@@ -135,23 +135,31 @@ def search(
     query's own id. Nearness is the inner product in double precision, ties go to the smaller vec_id.
     The model learns from at most ``sample_rows`` rows, those with the smallest hash of their id, and its
     number of probes from the recall ``goal`` on them; every row is indexed. Rows with a null vec_id, and
-    vectors that are null, zero, not finite, hold nulls, or differ in length from the vector of the
-    smallest hash, take no part. Of rows with one vec_id the smallest vector counts. Parts are compared in
-    blocks of about ``block_rows`` rows and a fifth as many queries, so equal vectors fill no task.
+    vectors that are null, zero, not finite or hold nulls, take no part. Vectors have an inner product
+    with those of their own length only, so each length is a search of its own. Of rows with one
+    vec_id the smallest vector counts. Parts are compared in blocks of about ``block_rows`` rows and a
+    fifth as many queries, so equal vectors fill no task.
     """
     spark = vectors.sparkSession
     values = F.col("embedding").cast("array<double>")
     clean = vectors.select(F.col("vec_id").cast("long"), values.alias("v")).where(
         "vec_id IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(v, x -> x <> 0)"
     )
+    lengths = sorted(r[0] for r in clean.select(F.size("v")).distinct().collect())  # one for each model that made vectors
     clean = clean.groupBy("vec_id").agg(F.min("v").alias("v"))
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dims in lengths:
+        found = found.unionByName(_search(clean.where(F.size("v") == dims), dims, query_every, k, parts, sample_rows, goal, block_rows))
+    return found
+
+
+def _search(clean: DataFrame, dims: int, query_every: int, k: int, parts: int, sample_rows: int, goal: float, block_rows: int) -> DataFrame:
+    """``search`` over vectors (vec_id, v) that all have ``dims`` numbers."""
+    spark = clean.sparkSession
     taken = [r.v for r in clean.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()]  # bounded by sample_rows
-    schema = "query_id long, rank int, vec_id long, score double"
     if not taken:
-        return spark.createDataFrame([], schema)
-    dims = len(taken[0])
-    router = fit(np.array([v for v in taken if len(v) == dims]), parts, k, goal)
-    model = spark.sparkContext.broadcast(router)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    model = spark.sparkContext.broadcast(fit(np.array(taken), parts, k, goal))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in rows_of(batches, 4096):
@@ -160,7 +168,7 @@ def search(
                 asked = pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*rows.columns, asked], names=["vec_id", "v", "asked"])
 
-    index = durable(clean.where(F.size("v") == dims).mapInArrow(route, "vec_id long, v array<double>, asked array<int>"))
+    index = durable(clean.mapInArrow(route, "vec_id long, v array<double>, asked array<int>"))
     rows = index.select("vec_id", "v", F.col("asked")[0].alias("part"))
     queries = index.where(F.col("vec_id") % query_every == 0).select("vec_id", "v", F.explode("asked").alias("part"))
     # At most as many rows as parts reach the driver.

@@ -56,3 +56,18 @@ def test_balanced_parts():
 
 def test_empty_table(spark):
     assert ann.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=3 if i % 3 else 5).tolist()) for i in range(120)] + [(2000, [1.0])]
+    table = spark.createDataFrame([(*r, "clash", 1.0) for r in rows], "vec_id long, embedding array<double>, v string, score double")
+    expected = {}
+    for length in (3, 5):
+        vectors = {i: np.array(v) for i, v in rows if len(v) == length}
+        expected |= brute(vectors, 20, 20)
+    got: dict[int, list] = {}
+    for r in ann.search(table).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [i for i, _ in found] for q, found in expected.items()}
+    assert set(got) == set(range(0, 120, 20))
