@@ -10,6 +10,7 @@ registers name candidates, and the shingles themselves decide.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -294,10 +295,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     def look(pairs: DataFrame) -> bool:
         """Compare pairs that have not met, and merge the classes that they connect."""
         nonlocal roots
-        fresh = pairs
-        for earlier in tried:
-            fresh = fresh.join(earlier, ["a", "b"], "left_anti")
-        tried.append(written(fresh, "pairs"))
+        tried.append(written(pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti"), "pairs"))
         found = _compared(tried[-1], texts, size, least)
         if found.isEmpty():
             return False
