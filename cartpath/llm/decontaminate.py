@@ -26,8 +26,8 @@ from cartpath.llm.common import body, rows_of
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 UNITS = "percent dollar dollars euro euros cent cents km kilometers kilometres miles mile m meter meters metres cm mm feet foot inches inch kg kilograms g grams pounds lb liters litres l ml hours hour minutes minute seconds second days day weeks week months month years year mph kmh".split()
 NUMBER, NAME, UNIT = (np.uint64(words.hash_of(f"placeholder_{kind}")) for kind in ("number", "name", "unit"))
-_NUMBERS = np.array([words.hash_of(w) for w in NUMBER_WORDS], np.uint64)
-_UNITS = np.array([words.hash_of(w) for w in UNITS], np.uint64)
+_NUMBERS = words.Lookup(np.array([words.hash_of(w) for w in NUMBER_WORDS], np.uint64))
+_UNITS = words.Lookup(np.array([words.hash_of(w) for w in UNITS], np.uint64))
 _STOP = np.isin(np.arange(256), np.frombuffer(b".!?:\n", np.uint8))
 
 
@@ -63,9 +63,10 @@ def forms(text: bytes) -> list[Form]:
     between = data[np.minimum(ends[:-1], len(data) - 1)]
     more[1:] = digits[1:] & digits[:-1] & (starts[1:] - ends[:-1] == 1) & ((between == ord(".")) | (between == ord(",")))
     starts, ends, place = _joined(starts, ends, more)
-    plain = words.hashes(data, starts, ends)
-    number = digits[place] | np.isin(plain, _NUMBERS)
-    unit = np.isin(plain, _UNITS)
+    running = words.sums(data)
+    plain = words.hashes_of(running, starts, ends)
+    number = digits[place] | _NUMBERS.holds(plain)
+    unit = _UNITS.holds(plain)
     unit[1:] &= number[:-1]
     unit[0] = False
     first = before[starts]
@@ -85,7 +86,7 @@ def forms(text: bytes) -> list[Form]:
         whole = _joined(starts, ends, run)
         typed = np.where(name, NAME, named_plain)[whole[2]]
         if not any(np.array_equal(typed, f.typed) for f in out):
-            out.append(Form(typed, words.hashes(data, *whole[:2]), place[whole[2]]))
+            out.append(Form(typed, words.hashes_of(running, *whole[:2]), place[whole[2]]))
     if not np.array_equal(plain, named_plain):
         out.append(Form(plain, plain, place))
     return out
@@ -101,12 +102,6 @@ def item_windows(item: bytes, size: int) -> list[tuple[int, int, int, int, np.nd
     return out
 
 
-def _windows_of(form: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
-    for size in sizes:
-        if len(form) >= size:
-            yield size, words.windows(form, size)
-
-
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, size: int = 8, least_share: float = 0.8, least_words: int = 5, least_run: int = 13, filter_bits: int = 22
 ) -> DataFrame:
@@ -166,7 +161,7 @@ def contaminated(
             for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                 seen = set()  # forms share most windows
                 for form in forms(text):
-                    for width, own in _windows_of(form.typed, sizes):
+                    for width, own in words.windows_of_sizes(form.typed, sizes):
                         for k in np.flatnonzero(may[(own & np.uint64(bits - 1)).astype(np.int64)]):
                             start, shown = int(form.place[k]), form.plain[k : k + width]
                             if (key := (int(own[k]), start, shown.tobytes())) in seen:

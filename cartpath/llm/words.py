@@ -7,6 +7,7 @@ count as letters where Unicode says so; the others are blanked before the bytes
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -50,14 +51,25 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One hash per span of the bytes."""
-    powers, inverse = _grown(len(data) + 1)
+def sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of the bytes, from which :func:`hashes_of` takes the hash of any span."""
+    powers, _ = _grown(len(data) + 1)
     running = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=running[1:])
+    return running
+
+
+def hashes_of(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per span of the bytes that ``running`` are the :func:`sums` of."""
+    _, inverse = _grown(len(running))
     return mix((running[ends] - running[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per span of the bytes."""
+    return hashes_of(sums(data), starts, ends)
+
+
 def only_digits(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which spans hold digits alone."""
     running = np.zeros(len(data) + 1, np.int64)
@@ -85,3 +97,33 @@ def windows(values: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         out = out * np.uint64(_BASE) + values[k : k + len(out)]
     return mix(out + np.uint64(size))
+
+
+def windows_of_sizes(values: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of the rising ``sizes`` that the values are enough for, with its :func:`windows`; a longer run goes on from a shorter."""
+    out = np.zeros(len(values), np.uint64)
+    done = 0
+    for size in sizes:
+        if size > len(values):
+            return
+        for k in range(done, size):
+            out = out[: len(values) - k]
+            out = out * np.uint64(_BASE) + values[k:]
+        done = size
+        yield size, mix(out + np.uint64(size))
+
+
+class Lookup:
+    """Membership in a small fixed set of hashes, by a table of their low bits before the hashes themselves."""
+
+    def __init__(self, members: np.ndarray, bits: int = 16):
+        self.members, self.low = np.sort(members), np.uint64((1 << bits) - 1)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[(members & self.low).astype(np.int64)] = True
+
+    def holds(self, values: np.ndarray) -> np.ndarray:
+        found = self.table[(values & self.low).astype(np.int64)]
+        at = np.flatnonzero(found)
+        some = values[at]
+        found[at] = self.members[np.minimum(np.searchsorted(self.members, some), len(self.members) - 1)] == some
+        return found

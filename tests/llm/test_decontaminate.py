@@ -3,6 +3,9 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+import numpy as np
+
+from cartpath.llm import words
 from cartpath.llm.decontaminate import contaminated
 from cartpath.llm.queries import decontamination
 
@@ -89,3 +92,17 @@ def test_given_documents(spark):
         wanted |= {(r.doc_id, i) for i, places in seen.items() if len(places) >= 0.8 * max(1, len(items[i]) - 7)}
     assert {(r.doc_id, r.item_id) for r in decontamination(spark, folder).collect()} == wanted
     assert wanted
+
+
+def test_windows_and_sets_of_hashes_share_their_work():
+    """Windows of several sizes go on from each other, and membership is told without a sort of all values."""
+    values = np.array([words.hash_of(f"w{n % 40}") for n in range(60)], np.uint64)
+    for some in (values, values[:5], values[:0]):
+        made = dict(words.windows_of_sizes(some, (1, 3, 8)))
+        assert list(made) == [size for size in (1, 3, 8) if size <= len(some)]
+        assert all(np.array_equal(own, words.windows(some, size)) for size, own in made.items())
+    members = np.append(values[3:6], values[0] ^ np.uint64(1 << 40))  # one that differs from a value in high bits alone
+    lookup = words.Lookup(members)
+    assert np.array_equal(lookup.holds(values), np.isin(values, members))
+    assert len(lookup.holds(values[:0])) == 0
+    assert lookup.table.sum() <= len(members)
