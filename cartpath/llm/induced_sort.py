@@ -27,10 +27,10 @@ class Queues:
     ``memory`` bytes is appended to an unnamed file per key, which goes with the task.
     """
 
-    def __init__(self, keys: int, memory: int):
+    def __init__(self, keys: int, memory: int, place: type = np.int64):
         self.held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(keys)]
         self.files: dict[int, object] = {}
-        self.size, self.memory = 0, memory
+        self.size, self.memory, self.place = 0, memory, place
 
     def push(self, key: int, position: np.ndarray, common: np.ndarray) -> None:
         self.held[key].append((position, common))
@@ -44,7 +44,7 @@ class Queues:
                 file = self.files.setdefault(key, tempfile.TemporaryFile())
                 for position, common in parts:
                     np.array([len(position)], np.int64).tofile(file)
-                    position.astype(np.int64).tofile(file)
+                    position.astype(self.place).tofile(file)
                     common.astype(np.int16).tofile(file)
                 parts.clear()
         self.size = 0
@@ -55,7 +55,7 @@ class Queues:
             if file := self.files.pop(key, None):  # always older than what is held
                 file.seek(0)
                 while len(count := np.fromfile(file, np.int64, 1)):
-                    yield np.fromfile(file, np.int64, count[0]), np.fromfile(file, np.int16, count[0])
+                    yield np.fromfile(file, self.place, count[0]), np.fromfile(file, np.int16, count[0])
                 file.close()
             else:
                 position, common = (np.concatenate(x) for x in zip(*self.held[key], strict=True))
@@ -69,22 +69,23 @@ class Text:
 
     def __init__(self, strings: list[bytes]):
         lengths = np.array([len(s) + 1 for s in strings], np.int64)
-        self.chars = np.zeros(int(lengths.sum()), np.int16)
+        n = int(lengths.sum())
+        self.place = np.int32 if n < np.iinfo(np.int32).max else np.int64  # there are many positions, in many arrays
+        self.chars = np.zeros(n, np.int16)
         self.starts = np.cumsum(lengths) - lengths
-        joined = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-        self.chars[:] = joined
+        self.chars[:] = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
         self.chars += 1
         self.chars[self.starts + lengths - 1] = 0
-        n = len(self.chars)
         change = np.ones(n, bool)  # the last of a run of equal characters
         change[:-1] = (self.chars[:-1] != self.chars[1:]) | (self.chars[:-1] == 0)
-        places = np.flatnonzero(change)
-        last = places[np.searchsorted(places, np.arange(n))]
-        self.run = np.minimum(last - np.arange(n) + 1, CAP).astype(np.int16)
-        following = np.minimum(last + 1, n - 1)
-        self.is_s = (self.chars < self.chars[following]) | (self.chars == 0)
-        self.seeds = np.flatnonzero(self.is_s[1:] & ~self.is_s[:-1]) + 1
-        self.left = np.repeat(self.starts + lengths, lengths) - np.arange(n) - 1  # characters before the closing 0
+        places = np.flatnonzero(change).astype(self.place)
+        sizes = np.diff(places, prepend=self.place(-1))
+        at = np.arange(n, dtype=self.place)
+        self.run = np.minimum(np.repeat(places, sizes) - at + 1, CAP).astype(np.int16)
+        following = np.repeat(self.chars[np.minimum(places + 1, n - 1)], sizes)
+        self.is_s = (self.chars < following) | (self.chars == 0)
+        self.seeds = (np.flatnonzero(self.is_s[1:] & ~self.is_s[:-1]) + 1).astype(self.place)
+        self.left = np.repeat((self.starts + lengths - 1).astype(self.place), lengths) - at  # characters before the closing 0
 
 
 def _induce(text: Text, seeds: np.ndarray, common: np.ndarray, memory: int, out: Callable) -> None:
@@ -94,7 +95,7 @@ def _induce(text: Text, seeds: np.ndarray, common: np.ndarray, memory: int, out:
     """
     chars, keys = text.chars, 257
     bounds = np.searchsorted(chars[seeds], np.arange(keys + 1))
-    rising, falling, finished = Queues(keys, memory), Queues(keys, memory), Queues(keys, memory)
+    rising, falling, finished = (Queues(keys, memory, text.place) for _ in range(3))
 
     def push(queues: Queues, position: np.ndarray, value: np.ndarray, least: np.ndarray, select: np.ndarray) -> None:
         """Push the selected predecessors. ``least`` is, for each key, the least value since its last push."""
@@ -179,7 +180,7 @@ def _sorted_seeds(text: Text, memory: int) -> np.ndarray:
     _induce(text, rough, np.zeros(len(rough), np.int16), memory, lambda p, _: found.append(p[is_seed[p]]))
     order = np.concatenate(found)[::-1]
     # Pieces from seed to seed, end included; closing characters are all different.
-    number = np.zeros(len(text.chars), np.int64)
+    number = np.zeros(len(text.chars), text.place)
     number[seeds] = np.arange(len(seeds))
     lengths = np.diff(np.append(seeds, seeds[-1])) + 1
     index = number[order]
@@ -199,7 +200,7 @@ def _sorted_seeds(text: Text, memory: int) -> np.ndarray:
         order = np.argsort(pair, kind="stable")
         rank[order] = np.concatenate([[0], np.cumsum(np.diff(pair[order]) != 0)])
         step *= 2
-    ordered = np.zeros(len(seeds), np.int64)
+    ordered = np.zeros(len(seeds), text.place)
     ordered[rank] = seeds
     return ordered
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -67,3 +68,22 @@ def test_empty_table_and_other_columns(spark):
     assert dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     docs = spark.createDataFrame([(1, "a" * 30, 5, "x")], "doc_id long, text string, anchor int, row string")
     assert [tuple(r)[:4] for r in dedup_substrings(docs, length=10, gram=4).collect()] == [(1, 30, 30, 1)]
+
+
+def test_positions_are_narrow_and_results_the_same():
+    """Positions of a text that is not huge take four bytes in the sort, in its queues and where these spill."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(97, 123, 400, np.uint8).tobytes() for _ in range(60)]
+    strings = [parts[a][b : b + 240] for a, b in zip(rng.integers(0, 60, 1500), rng.integers(0, 160, 1500), strict=True)]
+    tracemalloc.start()
+    owner, place = induced_sort.repeated(strings, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    size = sum(map(len, strings))
+    assert peak < 52 * size  # 65 before
+    spilled = induced_sort.repeated(strings, 200, 1 << 16)
+    assert np.array_equal(spilled[0], owner) and np.array_equal(spilled[1], place)
+    seen = Counter(s[k : k + 200] for s in strings for k in range(len(s) - 199))
+    assert list(zip(owner.tolist(), place.tolist(), strict=True)) == [(i, k) for i, s in enumerate(strings) for k in range(len(s) - 199) if seen[s[k : k + 200]] > 1]
