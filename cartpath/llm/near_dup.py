@@ -14,7 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.llm import words
@@ -180,8 +180,16 @@ def _unlinked_pairs(rows: DataFrame, key: list[str], step: int) -> DataFrame:
     listed = held.where(F.col("held") <= _FEW).groupBy(*key).agg(F.collect_list(own).alias("centres"))
     few = listed.select("centres", F.inline("centres"))
     many = held.where(F.col("held") > _FEW).select("centres", "id", "root")
-    met = few.unionByName(many).select("id", "root", F.explode("centres").alias("other")).where("root <> other.root")
-    return met.select(F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b")).distinct()
+
+    def others(once: Column) -> Column:
+        """The ids of other classes; only these become rows."""
+        return F.transform(F.filter("centres", lambda c: (c["root"] != F.col("root")) & (once | (c["id"] > F.col("id")))), lambda c: c["id"])
+
+    # A group of few lists each pair from both sides, and one side is enough.
+    met = few.select("id", others(F.lit(False)).alias("others")).union(many.select("id", others(F.lit(True)).alias("others")))
+    # The same row meets the same centres in many groups.
+    met = met.where(F.size("others") > 0).distinct().select("id", F.explode("others").alias("other"))
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
 def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:

@@ -145,3 +145,30 @@ def test_texts_of_one_document_are_one_class(spark):
     rows = [(1, a), (5, a), (5, b), (7, b), (9, c), (8, c), (9, None), (20, ""), (20, c + " tail")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert found(docs) == {1: 1, 5: 1, 7: 1, 8: 8, 9: 8, 20: 8}
+
+
+def test_pairs_within_a_class_are_not_made(spark):
+    """Only ids of other classes become rows, each pair from one side, however many groups it meets in."""
+    linked = [(n, 0, band, 10) for n in range(1, 500) for band in range(4)]
+    apart = [(n, n, band, 1) for n in (900, 901) for band in range(4)]
+    few = [(n, n, 7, 1) for n in range(950, 955)]
+    rows = spark.createDataFrame([(i, root, band, 0, common) for i, root, band, common in linked + apart + few], "id long, root long, band int, bucket long, common long")
+    pairs = near_dup._unlinked_pairs(rows, ["band", "bucket"], 0)
+    found = {(r.a, r.b) for r in pairs.collect()}
+    assert {(a, b) for a, b in found if a >= 950} == {(a, b) for a in range(950, 955) for b in range(a + 1, 955)}
+    # The outsiders meet the row that has most in common with others.
+    assert {b for a, b in found if a < 500} >= {900, 901} and all(b >= 900 for _, b in found)
+    made = []
+
+    def look(node) -> None:
+        if node.nodeName().startswith("Adaptive"):
+            look(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            look(node.plan())
+        elif node.nodeName() == "Generate" and "other" in node.output().mkString():
+            made.append(node.metrics().get("numOutputRows").get().value())
+        for k in range(node.children().size()):
+            look(node.children().apply(k))
+
+    look(pairs._jdf.queryExecution().executedPlan())
+    assert made and sum(made) <= 2 * len(found) + 8
