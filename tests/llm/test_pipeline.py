@@ -29,3 +29,11 @@ def test_decisions_take_effect(spark):
     packed = corpus_pipeline.pack_sequences(spark, docs, FOLDER)
     assert packed.select("doc_id").distinct().count() == before
     assert corpus_pipeline.run(spark, FOLDER).count() == packed.count()
+
+
+def test_statistics_are_counted_once_per_document(spark):
+    """The verdict is read from what was written: a filter on it does not bring the rules into its own condition."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.keep_quality(spark, docs, FOLDER)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_count" not in plan and "predicted" in plan
