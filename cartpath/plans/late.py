@@ -91,8 +91,7 @@ class LateSilver:
 
     def _publish(self, rows: DataFrame, name: str, key: str) -> int:
         bucketed = rows.withColumn(BUCKET, self._bucket(key))
-        # One file for each bucket and not one for each task and bucket.
-        return write_table(bucketed.repartition(BUCKET), f"{self.silver}.{name}", partition_by=(BUCKET,))
+        return write_table(_by_bucket(bucketed), f"{self.silver}.{name}", partition_by=(BUCKET,))
 
     def within(self, name: str, buckets: Sequence[int]) -> DataFrame:
         """The rows of a table in some buckets; files of others are not read."""
@@ -102,7 +101,7 @@ class LateSilver:
         """In the given buckets, ``rows`` in place of those that have one of the changed keys."""
         kept = _among(self.within(name, buckets), changed, "left_anti")
         fresh = rows.withColumn(BUCKET, self._bucket(key)).select(kept.columns)
-        return self._table(name).replace_partitions(kept.unionByName(fresh).repartition(BUCKET), buckets, "late")
+        return self._table(name).replace_partitions(_by_bucket(kept.unionByName(fresh)), buckets, "late")
 
     def _of_sessions(self, events: DataFrame) -> dict[str, DataFrame]:
         trail = session_events(events, self._hot(events, TRAIL_KEYS))
@@ -130,7 +129,8 @@ class LateSilver:
     def publish(self, flat: DataFrame, customers: DataFrame, orders: DataFrame) -> None:
         """Build all tables from flat events."""
         ensure_schema(self.spark, self.silver)
-        events = _events(flat)
+        # Every table is made of them, so they are put together once.
+        events = _events(written(_events(flat).select(*EVENT_COLUMNS), "events"))
         for name, rows in self._of_sessions(events).items():
             self._publish(rows, name, "session_id")
         measured = self.spark.table(f"{self.silver}.sessions").drop(PRODUCT_LIST)
@@ -173,6 +173,11 @@ class LateSilver:
         return {"session_buckets": len(buckets), "customer_buckets": len(theirs)}
 
 
+def _by_bucket(rows: DataFrame) -> DataFrame:
+    """One file for each bucket and not one for each task and bucket; a large bucket is shared by several tasks."""
+    return rows.hint("rebalance", F.col(BUCKET))
+
+
 def _events(rows: DataFrame) -> DataFrame:
     """Events as flattening gives them, from those of the trail."""
     return rows.select(*EVENT_COLUMNS, *(F.expr(flag_text(kind, "event_type")).alias(name) for name, kind in FLAGS.items()))
