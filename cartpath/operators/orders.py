@@ -26,8 +26,8 @@ def reference_orders(
     An order paid in two ways gives each of its lines twice; one without payment has a NULL type.
     ``limit`` gives the first so many rows by customer, order, product, category, price and payment.
 
-    Since the result is distinct, every input is made distinct first: copies then combine before
-    their exchange instead of multiplying in a join. The joins on order id come last, so that they
+    Since the result is distinct, every input but the lines is made distinct first: copies then combine
+    before their exchange, and none multiply in a join. The joins on order id come last, so that they
     and the final distinct share one partitioning.
     """
 
@@ -37,7 +37,8 @@ def reference_orders(
     ordered_by = distinct(customers, "customer_id", "customer_unique_id").join(
         distinct(orders, "order_id", "customer_id"), "customer_id"
     )
-    lines = distinct(order_items, "order_id", "product_id", "price").join(
+    # Lines are most of the rows, and few are copies: these go in the last distinct, without an exchange of their own.
+    lines = order_items.select("order_id", "product_id", "price").join(
         distinct(products, "product_id", "product_category_name"), "product_id"
     )
     paid_by = distinct(order_payments, "order_id", "payment_type")
