@@ -27,6 +27,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 LINEAGE = ("_ingested_at", "_source_file")
 # Larger than the landing default of 100, so that the number of files stays in proportion.
 EVENTS_PER_FILE = 10_000
+# Of a hundred indented events each, some 35 lines an event.
+ARRAYS_PER_FILE = 50
 # Steps of the strict funnel have to follow within this time.
 STRICT_SECONDS = 6 * 3600
 
@@ -171,10 +173,14 @@ def _order_purchase_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _order_events(spark: SparkSession, folder: str) -> DataFrame:
+def _events_of(bodies: DataFrame) -> DataFrame:
     """Nested events of the sessions that led to the orders; their purchases hold several items."""
     started = F.lit("2024-01-31").cast("timestamp")
-    return event_ops.to_envelope(orders.order_sessions(_bodies(spark, folder), started))
+    return event_ops.to_envelope(orders.order_sessions(bodies, started))
+
+
+def _order_events(spark: SparkSession, folder: str) -> DataFrame:
+    return _events_of(_bodies(spark, folder))
 
 
 def _order_session_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,7 +200,8 @@ def _session_carts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _order_carts(spark: SparkSession, folder: str) -> DataFrame:
     """Each order's purchase beside the cart that its session's adds and removals lead to."""
-    events = written(_order_events(spark, folder), "order-events")
+    # An order's events follow from its body without an exchange, and are many times its size.
+    events = _events_of(written(_bodies(spark, folder), "order-bodies"))
     moves = carts.cart_moves(events)
     hot = None if within_limit(events) else hot_keys(moves, carts.CART_KEYS)
     return carts.checked_purchases(events, carts.session_carts(events, hot))
@@ -273,11 +280,12 @@ def _event_files_any_form(spark: SparkSession, folder: str) -> DataFrame:
     event = F.struct(*EVENT_FIELDS)
     landed = given.bronze_events(spark, folder).withColumn("_n", F.col("_id").cast("bigint"))
     lines, arrays = landed.where("_n % 3 = 0"), landed.where("_n % 3 <> 0")
-    lines.select(F.to_json(event).alias("value")).write.text(f"{work}/landing/lines")
+    # Compressed files cannot be split, so their size is bounded.
+    lines.select(F.to_json(event).alias("value")).write.option("maxRecordsPerFile", EVENTS_PER_FILE).text(f"{work}/landing/lines", "gzip")
     # A hundred events to an array, as the consumer of the topic writes them.
     texts = arrays.groupBy(F.floor(F.col("_n") / 150).alias("file")).agg(F.collect_list(F.to_json(event, {"pretty": "true"})).alias("texts"))
     indented = F.concat(F.lit("[\n"), F.array_join("texts", ",\n"), F.lit("\n]"))
-    texts.select(indented.alias("value")).write.text(f"{work}/landing/arrays")
+    texts.select(indented.alias("value")).write.option("maxRecordsPerFile", ARRAYS_PER_FILE).text(f"{work}/landing/arrays", "gzip")
     ingest.ingest_events(ingest.event_stream(spark, f"{work}/landing"), schema, f"{work}/checkpoint")
     return event_ops.flatten(tables.scan(spark, f"{schema}.{ingest.EVENTS}"))
 
