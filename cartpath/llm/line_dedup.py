@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpath.llm.common import body, durable, rows_of, work_path, written
+from cartpath.llm.common import body, durable, release, rows_of, work_path, written
 
 KEY = ["h1", "h2"]
 RUN_SCHEMA = "h1 long, h2 long, n_docs long, top_doc long, is_new boolean"
@@ -80,10 +80,10 @@ class LineRuns:
             summed = written(summed, "lines")
             fresh = summed.join(known, KEY, "left_anti").withColumn("is_new", F.lit(True))
             again = summed.join(known, KEY, "left_semi").withColumn("is_new", F.lit(False))
-            summed = fresh.unionByName(again)
+            path = self._write(fresh.unionByName(again))
+            release(summed)
         else:
-            summed = summed.withColumn("is_new", F.lit(True))
-        path = self._write(summed)
+            path = self._write(summed.withColumn("is_new", F.lit(True)))
         self.levels[0].append(path)
         self.compact()
         return self.spark.read.schema(RUN_SCHEMA).parquet(path)

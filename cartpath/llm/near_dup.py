@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.llm import words
-from cartpath.llm.common import body, durable, longs, rows_of, written
+from cartpath.llm.common import body, durable, longs, release, rows_of, written
 
 _FEW = 8  # members of a bucket that may meet each other directly
 _ROUNDS = 3  # times that larger buckets meet centres before their shingles are looked at
@@ -256,7 +256,9 @@ def _prefix_pairs(rows: DataFrame, texts: DataFrame, size: int, least: float) ->
     same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.block") == F.col("y.block"))
     once = (F.col("y.root") == F.col("x.main")) | (F.col("x.id") < F.col("y.id"))
     met = one.join(every, same & (F.col("x.root") != F.col("y.root")) & once & enough)
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = written(met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
+    release(held, drawn)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: int = 24, rows_per_band: int = 4) -> DataFrame:
@@ -288,27 +290,31 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     reps = classes.select("id", F.posexplode("bands").alias("band", "bucket"))
     buckets = reps.groupBy("band", "bucket").agg(F.count("*").alias("members")).where("members > 1")
     shared = written(reps.join(buckets, ["band", "bucket"]), "shared")
-    involved = written(shared.groupBy("id").agg(F.sum("members").alias("common")), "involved")
-    met = written(shared.join(involved, "id"), "met")
+    common = written(shared.groupBy("id").agg(F.sum("members").alias("common")), "involved")
+    met = written(shared.join(common, "id"), "met")
+    release(shared)
     centres = met.groupBy("band", "bucket").agg(F.max_by("id", "common").alias("centre"))
-    involved = involved.select("id")
+    involved = common.select("id")
     chosen = classes.select("id", F.col("copy_of").alias("doc_id"), "mark").join(involved, "id", "left_semi")
     texts = written(source.join(chosen, ["doc_id", "mark"]).dropDuplicates(["id"]).select("id", "text"), "texts")
 
     star = met.join(centres, ["band", "bucket"]).where("id <> centre")
     star = star.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     tried = [written(star, "pairs")]
-    roots = durable(components(involved, _compared(tried[0], texts, size, least)))
+    links = _compared(tried[0], texts, size, least)
+    roots = durable(components(involved, links))
+    release(links, common)
 
     def look(pairs: DataFrame) -> bool:
         """Compare pairs that have not met, and merge the classes that they connect."""
         nonlocal roots
         tried.append(written(pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti"), "pairs"))
         found = _compared(tried[-1], texts, size, least)
-        if found.isEmpty():
-            return False
-        roots = durable(_merged(roots, found))
-        return True
+        any_found = not found.isEmpty()
+        if any_found:
+            roots = durable(_merged(roots, found))
+        release(found)
+        return any_found
 
     def unsettled(more_than: int) -> DataFrame:
         """The members of larger buckets that are not of one class."""
@@ -318,11 +324,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
 
     for step in range(_ROUNDS):
         rows = unsettled(_FEW if step else 2)
-        if rows.isEmpty() or not look(_unlinked_pairs(rows, ["band", "bucket"], step)) and step:
+        done = rows.isEmpty() or not look(_unlinked_pairs(rows, ["band", "bucket"], step)) and step
+        release(rows)
+        if done:
             break
     rows = unsettled(_FEW)
     if not rows.isEmpty():
-        look(_prefix_pairs(rows.select("id", "root").distinct(), texts, size, least))
+        pairs = _prefix_pairs(rows.select("id", "root").distinct(), texts, size, least)
+        look(pairs)
+        release(pairs)
+    release(rows, texts, met, *tried)
 
     rooted = classes.join(roots, "id", "left").select("d1", "d2", "copy_of", F.coalesce("root", "id").alias("root"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("copy_of").alias("class_id")), "root").drop("root")
@@ -332,6 +343,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: float = 0.8, bands: i
     out = out.groupBy("doc_id").agg(
         F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"), F.collect_set("class_id").alias("_all")
     )
+    out = written(out, "classes")
+    release(drawn, classes)
     return _united(out)
 
 
