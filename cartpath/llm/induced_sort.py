@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 CAP = np.iinfo(np.int16).max
+_STEP = 8  # bytes that are compared at once
 
 
 class Queues:
@@ -73,7 +74,9 @@ class Text:
         self.place = np.int32 if n < np.iinfo(np.int32).max else np.int64  # there are many positions, in many arrays
         self.chars = np.zeros(n, np.int16)
         self.starts = np.cumsum(lengths) - lengths
-        self.chars[:] = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
+        joined = b"\0".join(strings) + bytes(_STEP)
+        self.eight = np.ndarray(n, "<u8", joined, 0, (1,))  # the bytes from each place on
+        self.chars[:] = np.frombuffer(joined, np.uint8, n)
         self.chars += 1
         self.chars[self.starts + lengths - 1] = 0
         change = np.ones(n, bool)  # the last of a run of equal characters
@@ -163,11 +166,22 @@ def common_prefix(text: Text, a: np.ndarray, b: np.ndarray, cap: int | np.ndarra
     shared = np.zeros(len(a), np.int64)
     live = np.flatnonzero(most > 0)
     while len(live):
-        same = text.chars[a[live] + shared[live]] == text.chars[b[live] + shared[live]]
-        live = live[same]
-        shared[live] += 1
-        live = live[shared[live] < most[live]]
-    return shared
+        differ = text.eight[a[live] + shared[live]] ^ text.eight[b[live] + shared[live]]
+        # Bytes below the lowest bit that differs, all if none does; what follows a closing 0 is beyond ``most``.
+        same = (np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3).astype(np.int64)
+        shared[live] += same
+        live = live[(same == _STEP) & (shared[live] < most[live])]
+    return np.minimum(shared, most)
+
+
+def _first(new: np.ndarray) -> np.ndarray:
+    """For each place, where its group begins; ``new`` tells the places that begin one."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+
+
+def _shared(new: np.ndarray) -> np.ndarray:
+    """Places in groups of more than one."""
+    return ~(new & np.append(new[1:], True))
 
 
 def _sorted_seeds(text: Text, memory: int) -> np.ndarray:
@@ -189,16 +203,22 @@ def _sorted_seeds(text: Text, memory: int) -> np.ndarray:
     equal = (size == lengths[index[1:]]) & (text.chars[a] > 0)
     at = np.flatnonzero(equal)
     equal[at] = common_prefix(text, a[at], b[at], size[at]) >= size[at]
+    # The rank of a piece is the number of smaller ones. The reduced text: its suffixes in order, by doubling the
+    # compared length until all differ; those that differ from all others already are not looked at again.
+    new = np.concatenate([[True], ~equal])
     rank = np.zeros(len(seeds), np.int64)
-    rank[index] = np.concatenate([[0], np.cumsum(~equal)])
-    # The reduced text: its suffixes in order, by doubling the compared length until all differ.
+    rank[index] = _first(new)
+    live = index[_shared(new)]
     step = 1
-    while rank.max() + 1 < len(rank):
-        second = np.zeros(len(rank), np.int64)
-        second[:-step] = rank[step:] + 1
-        pair = rank * (len(rank) + 1) + second
+    while len(live):
+        second = np.where(live + step < len(rank), rank[np.minimum(live + step, len(rank) - 1)] + 1, 0)
+        pair = rank[live] * (len(rank) + 1) + second
         order = np.argsort(pair, kind="stable")
-        rank[order] = np.concatenate([[0], np.cumsum(np.diff(pair[order]) != 0)])
+        live, pair = live[order], pair[order]
+        old = rank[live]
+        new = np.concatenate([[True], np.diff(pair) != 0])
+        rank[live] = old + _first(new) - _first(np.concatenate([[True], np.diff(old) != 0]))
+        live = live[_shared(new)]
         step *= 2
     ordered = np.zeros(len(seeds), text.place)
     ordered[rank] = seeds

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.llm import induced_sort, words
-from cartpath.llm.common import body, durable, rows_of, written
+from cartpath.llm.common import body, durable, release, rows_of, written
 
 _MOST_STARTS = 2_000  # a longer run of windows of one anchor, as in periodic texts, is cut into several snippets
+_RANGES = 8  # of places that an anchor may have in a window
+_LOOKED = 256 << 10  # bytes of snippets that are looked at together before they are sorted
 KEY = ["anchor", "content"]
 # What tells a row: its id and a hash of its text. Rows that agree in both have the same marks.
 ROW = ["doc", "crc"]
@@ -134,11 +137,49 @@ def _runs(owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return owner[new], place[new], np.diff(np.append(new, len(owner)))
 
 
-def _compared(strings: DataFrame, length: int, shard_bytes: int, memory: int) -> DataFrame:
+def meeting(anchors: np.ndarray, strings: list[bytes], length: int, gram: int) -> np.ndarray:
+    """Which snippets, given by anchor and bytes, may have a window that is there twice; no other needs to be sorted.
+
+    A window that is there twice has its anchor at one place in both, so what lies around the anchors is
+    equal. For each range of places of the anchor in the window, those bytes are hashed that every such
+    window has; a snippet of which no hash is there twice has no repeated window.
+    """
+    sizes = np.array([len(s) for s in strings], np.int64)
+    stops = np.cumsum(sizes)
+    starts = stops - sizes
+    rolling = _Rolling(np.frombuffer(b"".join(strings), np.uint8))
+    at = np.flatnonzero(rolling.all(gram) == np.repeat(anchors, sizes)[: stops[-1] - gram + 1])
+    owner = np.searchsorted(stops, at, side="right")
+    inside = at + gram <= stops[owner]
+    at, owner = at[inside], owner[inside]
+    may = np.zeros(len(strings), bool)
+    most = length - gram  # bytes of a window besides its anchor
+    step = max(1, most // _RANGES)
+    for before in range(0, most + 1, step):
+        low, high = at - before, at + gram + max(0, most - before - step + 1)
+        fits = np.flatnonzero((low >= starts[owner]) & (high <= stops[owner]))
+        _, which, count = np.unique(rolling.of(low[fits], high[fits]), return_inverse=True, return_counts=True)
+        may[owner[fits[count[which] > 1]]] = True
+    return may
+
+
+def _compared(strings: DataFrame, length: int, gram: int, shard_bytes: int, memory: int) -> DataFrame:
     """Runs of windows that snippets of one anchor share: anchor, content, first, count."""
 
     def sort(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, contents, held, size = [], [], [], 0
+        looked, weight = 0, 0  # how many of them have been looked at, and the bytes of the others
+
+        def look() -> None:
+            """Keep those that may have a repeated window. Rows come sorted by anchor, and all of an anchor are looked at together."""
+            nonlocal looked, size, weight
+            some = slice(looked, None)
+            if held[some]:
+                may = meeting(np.array(anchors[some], np.int64).view(np.uint64), held[some], length, gram).tolist()
+                for column in (anchors, contents, held):
+                    column[some] = compress(column[some], may)
+                size += sum(map(len, held[some]))
+            looked, weight = len(held), 0
 
         def found() -> pa.RecordBatch:
             owner, first, count = _runs(*induced_sort.repeated(held, length, memory))
@@ -148,15 +189,20 @@ def _compared(strings: DataFrame, length: int, shard_bytes: int, memory: int) ->
                 names=[*KEY, "first", "count"],
             )
 
+        last = None
         for part in parts:
             for anchor, content, string in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                if size >= shard_bytes and anchor != anchors[-1]:  # rows come sorted by anchor: no anchor is torn apart
+                if weight >= _LOOKED and anchor != last:  # no anchor is torn apart
+                    look()
+                if size >= shard_bytes and not weight:
                     yield found()
-                    anchors, contents, held, size = [], [], [], 0
+                    anchors, contents, held, size, looked = [], [], [], 0, 0
+                last = anchor
                 anchors.append(anchor)
                 contents.append(content)
                 held.append(string)
-                size += len(string)
+                weight += len(string)
+        look()
         if held:
             yield found()
 
@@ -185,19 +231,22 @@ def dedup_substrings(
     # A snippet that occurs twice is repeated as a whole; it still takes part for the others' sake.
     shared = durable(kinds.join(several, "anchor").select(*KEY, "copies", "sample", "kinds"))
     once = shared.select(*KEY, "sample.*", "kinds")
-    plain = _compared(_bytes_of(once.where(F.col("kinds") <= hot_anchor), numbered, length, False), length, shard_bytes, memory)
+    # Each step is written by itself, so that no more than one of them has its exchanged texts on disk.
+    plain = written(_compared(_bytes_of(once.where(F.col("kinds") <= hot_anchor), numbered, length, False), length, gram, shard_bytes, memory), "repeats")
 
-    parts = plain
+    parts, used = plain, [places, kinds, plain]
     if once.where(F.col("kinds") > hot_anchor).limit(1).count():
         hot = written(_bytes_of(once.where(F.col("kinds") > hot_anchor), numbered, length, True), "windows")
         twice = hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
         again = hot.join(durable(twice), ["w1", "w2"])
+        used.append(hot)
         parts = parts.unionByName(again.select(*KEY, F.col("at").alias("first"), F.lit(1).alias("count")))
 
     copied = kinds.where("copies > 1").select(*KEY, F.lit(0).alias("first"), F.col("sample.windows").alias("count"))
     spans = parts.unionByName(copied).groupBy(*KEY).agg(F.collect_set(F.struct("first", "count")).alias("parts"))
     marks = places.join(spans, KEY).select(*ROW, "start", "parts")
-    lists = marks.groupBy(*ROW).agg(F.collect_set(F.struct("start", "parts")).alias("marks"))
+    lists = written(marks.groupBy(*ROW).agg(F.collect_set(F.struct("start", "parts")).alias("marks")), "marks")
+    release(*used)
     joined = numbered.join(lists, ROW, "left").select("doc_id", "text", "marks")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from cartpath.llm import induced_sort
+from cartpath.llm import induced_sort, suffix_dedup
 from cartpath.llm.suffix_dedup import dedup_substrings
 from tests.llm.brute import repeated_bytes
 
@@ -87,3 +88,35 @@ def test_positions_are_narrow_and_results_the_same():
     assert np.array_equal(spilled[0], owner) and np.array_equal(spilled[1], place)
     seen = Counter(s[k : k + 200] for s in strings for k in range(len(s) - 199))
     assert list(zip(owner.tolist(), place.tolist(), strict=True)) == [(i, k) for i, s in enumerate(strings) for k in range(len(s) - 199) if seen[s[k : k + 200]] > 1]
+
+
+def test_only_snippets_that_may_repeat_are_sorted():
+    """No snippet with a window that is there twice is left out, wherever the anchor lies in it and however often."""
+    rng = random.Random(7)
+    left_out = 0
+    for _ in range(300):
+        length, gram = rng.choice([(20, 6), (9, 4), (12, 12), (5, 1)])
+        anchor = bytes(rng.randrange(97, 99) for _ in range(gram))
+        strings = [bytes(rng.randrange(97, 100) for _ in range(rng.randint(0, 30))) + anchor + bytes(rng.randrange(97, 100) for _ in range(rng.randint(0, 30))) for _ in range(rng.randint(1, 8))]
+        strings += [s[rng.randint(0, 3) :] + b"z" for s in strings[:2]]
+        strings = [s for s in strings if len(s) >= length and all(anchor in s[k : k + length] for k in range(len(s) - length + 1))]
+        if not strings:
+            continue
+        marks = np.full(len(strings), suffix_dedup._Rolling(np.frombuffer(anchor, np.uint8)).all(gram)[0])
+        may = suffix_dedup.meeting(marks, strings, length, gram)
+        owner, _ = induced_sort.repeated(strings, length)
+        assert may[owner].all()
+        left_out += int((~may).sum())
+    assert left_out > 20
+
+
+def test_little_stays_on_disk(spark, tmp_path, monkeypatch):
+    """Tables of steps that are done are deleted; the last step reads one list of places and the documents."""
+    made = []
+    given = suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda rows, purpose: made.append(given(rows, purpose)) or made[-1])
+    docs = spark.createDataFrame([(i, "ab" * 30 + str(i) * 30) for i in range(20)], "doc_id long, text string")
+    got = dedup_substrings(docs, length=20, gram=6)
+    left = [table for table in made if os.path.exists(table._written_at.removeprefix("file:"))]
+    assert len(made) >= 4 and len(left) == 1
+    assert got.count() == 20
