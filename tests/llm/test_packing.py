@@ -89,3 +89,12 @@ def test_ids_and_empty_table(spark):
     assert len(row.ids) == row.length == 3
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(packing.pieces(empty, tokenizer_path())).count() == 0
+
+
+def test_letters_alone_are_one_word(tokenizer, monkeypatch):
+    """Chunks of letters are not given to the pattern, which would find nothing but the chunk."""
+    letters = [chr(c) for c in range(0x250) if not packing._UNUSUAL.search(chr(c))]
+    assert all(packing._PRETOKEN.findall(c) == [c] and packing._PRETOKEN.findall(f"z{c}") == [f"z{c}"] for c in letters if c.isalpha())
+    monkeypatch.setattr(packing, "_PRETOKEN", None)
+    text = "plain words of Größe and ŁÓDŹ and " + "".join(c for c in letters if c.lower() == c and c.isalpha())
+    assert packing.Encoder(tokenizer_path()).ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
