@@ -238,7 +238,7 @@ def dedup_substrings(
     if once.where(F.col("kinds") > hot_anchor).limit(1).count():
         hot = written(_bytes_of(once.where(F.col("kinds") > hot_anchor), numbered, length, True), "windows")
         twice = hot.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-        again = hot.join(durable(twice), ["w1", "w2"])
+        again = hot.join(durable(twice), ["w1", "w2"], "left_semi")  # one row of a window at most
         used.append(hot)
         parts = parts.unionByName(again.select(*KEY, F.col("at").alias("first"), F.lit(1).alias("count")))
 
