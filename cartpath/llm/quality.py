@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cartpath.llm.common import durable
 
 Condition = tuple[int, bool, float]  # statistic, is at most, threshold
+_PARTS = 4  # tasks of each step of learning
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -93,7 +94,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees: int =
     chosen = labels.dropna().withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(max_rows)
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     stats = with_statistics(known).select("doc_id", F.col("label").cast("double").alias("label"), "stats")
-    rows = durable(stats.repartition(4, "doc_id").sortWithinPartitions("doc_id"))
+    # Learning runs some hundred jobs over these few rows; the driver keeps a record of every task and, beyond four
+    # or so parts, of an exchange for each job. Adding them up in four parts holds however finely they were dealt out.
+    rows = durable(stats.repartition(_PARTS, "doc_id").sortWithinPartitions("doc_id")).coalesce(_PARTS)
     total, good = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < good < total:
         return RuleModel(0.0 if not total else (4.0 if good else -4.0), ())

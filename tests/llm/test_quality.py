@@ -36,3 +36,23 @@ def test_too_few_labels(spark, labels, low, high):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, label int"))
     assert all(low <= r.score <= high for r in quality.score(docs, model).collect())
+
+
+def test_learning_takes_few_tasks(spark, monkeypatch):
+    """However finely the learned rows are dealt out, the many steps of learning run in a few tasks each."""
+    frame = type(spark.range(0))
+    dealt = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *columns: dealt(self, 40, *columns))
+    texts = [(i, ("Some words, in a sentence. " if i % 3 else "a|b|c!! ") * (1 + i % 7), int(i % 3 > 0)) for i in range(200)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, label int")
+    context = spark.sparkContext
+    context.setJobGroup("learning", "learning")
+    try:
+        quality.fit(rows.select("doc_id", "text"), rows.select("doc_id", "label"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("learning")]
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs if j for s in j.stageIds if tracker.getStageInfo(s)]
+    assert len(jobs) > 20
+    assert sorted(tasks)[-len(tasks) // 4] <= 4
