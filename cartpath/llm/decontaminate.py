@@ -10,13 +10,14 @@ of templates does not.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpath.llm import words
@@ -29,6 +30,7 @@ NUMBER, NAME, UNIT = (np.uint64(words.hash_of(f"placeholder_{kind}")) for kind i
 _NUMBERS = words.Lookup(np.array([words.hash_of(w) for w in NUMBER_WORDS], np.uint64))
 _UNITS = words.Lookup(np.array([words.hash_of(w) for w in UNITS], np.uint64))
 _STOP = np.isin(np.arange(256), np.frombuffer(b".!?:\n", np.uint8))
+_PORTION = 1 << 16  # bytes of texts that are looked at together
 
 
 @dataclass
@@ -46,17 +48,27 @@ def _joined(starts: np.ndarray, ends: np.ndarray, more: np.ndarray) -> tuple[np.
     return starts[at], ends[np.append(at[1:], len(starts)) - 1], at
 
 
-def forms(text: bytes) -> list[Form]:
-    """The text with names left plain, with names inside sentences and with all capitalised words as names, and as it is, without repeats."""
+def _lowered(text: bytes) -> tuple[bytes, bytes]:
+    """The text with letters beyond ASCII kept and other such characters blanked, and the same lower-cased, of equal length."""
     plain_text = words.letters_only(text)
     raw = plain_text.encode()
     lowered = plain_text.lower().encode()
     if len(lowered) != len(raw):  # a letter whose lower case is longer: lower only those that keep their size
         lowered = "".join(c.lower() if len(c.lower().encode()) == len(c.encode()) else c for c in plain_text).encode()
-    before, data = np.frombuffer(raw, np.uint8), np.frombuffer(lowered, np.uint8)
+    return raw, lowered
+
+
+def _all_forms(texts: list[bytes]) -> tuple[list[Form], np.ndarray]:
+    """Four forms of several texts in a row: with names left plain, with names inside sentences and with all capitalised
+    words as names, and as they are; and the first word of each text. A line break between texts lets nothing go on over it."""
+    both = [_lowered(t) for t in texts]
+    before = np.frombuffer(b"\n".join(raw for raw, _ in both), np.uint8)
+    data = np.frombuffer(b"\n".join(low for _, low in both), np.uint8)
     starts, ends = words.spans(data)
+    begins = np.cumsum([0] + [len(raw) + 1 for raw, _ in both[:-1]])
+    firsts = np.searchsorted(starts, begins)
     if not len(starts):
-        return []
+        return [], firsts
     # Digits with single dots or commas between them are one number.
     digits = words.only_digits(data, starts, ends)
     more = np.zeros(len(starts), bool)
@@ -68,7 +80,8 @@ def forms(text: bytes) -> list[Form]:
     number = digits[place] | _NUMBERS.holds(plain)
     unit = _UNITS.holds(plain)
     unit[1:] &= number[:-1]
-    unit[0] = False
+    opening = np.searchsorted(starts, begins)
+    unit[opening[opening < len(unit)]] = False
     first = before[starts]
     two = before[np.minimum(starts + 1, len(before) - 1)]
     capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (two >= 0x80) & (two <= 0x9E) & (two != 0x97))
@@ -84,14 +97,53 @@ def forms(text: bytes) -> list[Form]:
         run = np.zeros(len(plain), bool)
         run[1:] = name[1:] & name[:-1] & (starts[1:] - ends[:-1] == 1) & (data[np.minimum(ends[:-1], len(data) - 1)] == 32)
         whole = _joined(starts, ends, run)
-        typed = np.where(name, NAME, named_plain)[whole[2]]
-        if not any(np.array_equal(typed, f.typed) for f in out):
-            out.append(Form(typed, words.hashes_of(running, *whole[:2]), place[whole[2]]))
-    if not np.array_equal(plain, named_plain):
-        out.append(Form(plain, plain, place))
+        out.append(Form(np.where(name, NAME, named_plain)[whole[2]], words.hashes_of(running, *whole[:2]), place[whole[2]]))
+    return [*out, Form(plain, plain, place)], firsts
+
+
+def forms(text: bytes) -> list[Form]:
+    """The forms of one text, without repeats."""
+    out: list[Form] = []
+    for form in _all_forms([text])[0]:
+        if not any(np.array_equal(form.typed, f.typed) for f in out):
+            out.append(form)
     return out
 
 
+def _portions(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``_PORTION`` bytes, a longer text by itself."""
+    begin, held = 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > _PORTION:
+            yield begin, i
+            begin, held = i, 0
+        held += len(text) + 1
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def _shown_windows(texts: list[bytes], sizes: tuple[int, ...], may: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The windows that ``may`` be an item's, once each: hash, number of the text, first word there, and a row of plain words."""
+    found: dict[int, list[np.ndarray]] = {}
+    all_forms, firsts = _all_forms(texts)
+    for form in all_forms:
+        for width, own in words.windows_of_sizes(form.typed, sizes):
+            at = np.flatnonzero(may[(own & np.uint64(bits - 1)).astype(np.int64)])
+            # The last text that begins at the word or before; texts without words begin where the next one does.
+            owner = np.searchsorted(firsts, form.place[at], "right") - 1
+            whole = owner == np.searchsorted(firsts, form.place[at + width - 1], "right") - 1
+            at, owner = at[whole], owner[whole]
+            if len(at):
+                shown = form.plain[at[:, None] + np.arange(width)]
+                start = form.place[at] - firsts[owner]
+                found.setdefault(width, []).append(np.column_stack([own[at], owner.astype(np.uint64), start.astype(np.uint64), shown]))
+    for parts in found.values():  # forms share most windows
+        rows = np.ascontiguousarray(np.concatenate(parts))
+        _, once = np.unique(rows.view(f"V{rows.shape[1] * 8}").reshape(-1), return_index=True)
+        rows = rows[once].view(np.int64)
+        yield rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3:]
+
+
 def item_windows(item: bytes, size: int) -> list[tuple[int, int, int, int, np.ndarray, np.ndarray]]:
     """(window hash, form, its number, place, template, plain words) of an item; with fewer words than ``size`` it is one window."""
     out = []
@@ -157,24 +209,13 @@ def contaminated(
     def candidates(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(lookup.value, np.bool_)
         for rows in rows_of(parts):
-            hashes, owners, starts, plains = [], [], [], []
-            for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                seen = set()  # forms share most windows
-                for form in forms(text):
-                    for width, own in words.windows_of_sizes(form.typed, sizes):
-                        for k in np.flatnonzero(may[(own & np.uint64(bits - 1)).astype(np.int64)]):
-                            start, shown = int(form.place[k]), form.plain[k : k + width]
-                            if (key := (int(own[k]), start, shown.tobytes())) in seen:
-                                continue
-                            seen.add(key)
-                            hashes.append(key[0])
-                            owners.append(doc_id)
-                            starts.append(start)
-                            plains.append(shown.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.uint64()).view(pa.int64()), pa.array(owners, pa.int64()), pa.array(starts, pa.int64()), pa.array(plains, pa.list_(pa.int64()))],
-                names=["window", "doc_id", "start", "doc_words"],
-            )
+            ids, texts = rows.column(0).to_numpy(), rows.column(1).to_pylist()
+            for begin, end in _portions(texts):
+                for hashes, owners, starts, shown in _shown_windows(texts[begin:end], sizes, may, bits):
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(shown) + 1, dtype=np.int32) * shown.shape[1]), pa.array(shown.reshape(-1)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes), pa.array(ids[begin:end][owners]), pa.array(starts), lists], names=["window", "doc_id", "start", "doc_words"]
+                    )
 
     source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), body().alias("text"))
     found = source.mapInArrow(candidates, "window long, doc_id long, start long, doc_words array<long>").distinct()
@@ -182,17 +223,22 @@ def contaminated(
 
     def judge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.array([NUMBER, NAME, UNIT], np.uint64).view(np.int64)
-        for rows in rows_of(parts):
-            out = []
-            for r in rows.to_pylist():
-                form, item, doc = (np.array(r[c], np.int64) for c in ("form", "item_words", "doc_words"))
-                slots = np.isin(form, marks)
-                if len(doc) == len(form) and np.array_equal(form[~slots], doc[~slots]):  # not just equal hashes
-                    out.append((r["doc_id"], r["item_id"], r["form_no"], r["nth"], r["start"] - r["place"], r["place"], r["total"], item[slots], doc[slots]))
-            columns = list(zip(*out, strict=True)) or [[]] * 9
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        for rows in rows_of(parts, 8192):
+            form, item, doc = (rows.column(c) for c in ("form", "item_words", "doc_words"))
+            rows = rows.filter(pc.equal(pc.list_value_length(form), pc.list_value_length(doc)))
+            form, item, doc = (rows.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("form", "item_words", "doc_words"))
+            slots = np.isin(form, marks)
+            owner = np.repeat(np.arange(rows.num_rows), pc.list_value_length(rows.column("form")).to_numpy(zero_copy_only=False))
+            kept = np.bincount(owner[(form != doc) & ~slots], minlength=rows.num_rows) == 0  # not just equal hashes
+            shown = slots & kept[owner]
+            rows = rows.filter(pa.array(kept))
+            ends = np.append(0, np.cumsum(np.bincount(owner[shown], minlength=len(kept))[kept])).astype(np.int32)
+            at = pc.subtract(rows.column("start"), rows.column("place").cast(pa.int64()))
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(values[shown])) for values in (item, doc)]
+            named = [rows.column(c) for c in ("doc_id", "item_id", "form_no", "nth")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "form_no", "nth", "at", "place", "total", "item_slots", "doc_slots"]
+                [*named, at, rows.column("place"), rows.column("total"), *lists],
+                names=["doc_id", "item_id", "form_no", "nth", "at", "place", "total", "item_slots", "doc_slots"],
             )
 
     schema = "doc_id long, item_id long, form_no int, nth int, at long, place int, total int, item_slots array<long>, doc_slots array<long>"
@@ -211,26 +257,25 @@ def contaminated(
         F.when(F.col("form_no") >= 0, F.array_sort(F.collect_set("nth"))).alias("nths"),
         F.collect_set(F.struct("place", "item_slots", "doc_slots")).alias("slots"),
     )
-    consistent = F.udf(_consistent, "struct<ok:boolean,changed:boolean>")
     shares = places.withColumn("share", F.least(F.lit(1.0), F.col("n_windows") / F.col("total")))
     # Windows in a row that make a passage of ``least_run`` words: one as far on as many windows later.
     steps = least_run - size
     in_row = F.expr(f"exists(transform(nths, (n, i) -> coalesce(n - get(nths, i - {steps}) = {steps}, false)), x -> x)") if steps >= 0 else F.lit(False)
     shares = shares.where((F.col("share") >= least_share) | F.coalesce((F.col("region.kind") == "exact") & in_row, F.lit(False)))
-    judged = shares.withColumn("slot", consistent("slots")).where("slot.ok")
+    consistent, changed = _consistent("slots")
+    judged = shares.where(consistent).withColumn("changed", changed)
     # Of several copies the fullest is told, and of these a verbatim one.
-    best = F.max(F.struct("share", "n_windows", (~F.col("slot.changed")).alias("verbatim"))).alias("best")
+    best = F.max(F.struct("share", "n_windows", (~F.col("changed")).alias("verbatim"))).alias("best")
     kept = judged.groupBy("doc_id", "item_id").agg(best)
     return kept.select("doc_id", "item_id", "best.share", "best.n_windows", (~F.col("best.verbatim")).alias("reparameterised"))
 
 
-def _consistent(rows) -> tuple[bool, bool]:
-    """Whether the item's values map one to one to values of the document, and whether one differs."""
-    to, back = defaultdict(set), defaultdict(set)
-    for row in rows:
-        for item, doc in zip(row["item_slots"], row["doc_slots"], strict=True):
-            to[item].add(doc)
-            back[doc].add(item)
-    verbatim = all(item in values for item, values in to.items())
-    one_to_one = all(len(v) == 1 for v in to.values()) and all(len(v) == 1 for v in back.values())
-    return verbatim or one_to_one, not verbatim
+def _consistent(slots: str) -> tuple[Column, Column]:
+    """Whether the item's values map one to one to values of the document, or stand there themselves; and whether these do not."""
+    pair = "transform(arrays_zip(s.item_slots, s.doc_slots), p -> concat(p.item_slots, ':', p.doc_slots))"
+    pairs = F.expr(f"size(array_distinct(flatten(transform({slots}, s -> {pair}))))")
+    items = F.expr(f"size(array_distinct(flatten(transform({slots}, s -> s.item_slots))))")
+    values = F.expr(f"size(array_distinct(flatten(transform({slots}, s -> s.doc_slots))))")
+    same = "transform(filter(arrays_zip(s.item_slots, s.doc_slots), p -> p.item_slots = p.doc_slots), p -> p.item_slots)"
+    verbatim = items == F.expr(f"size(array_distinct(flatten(transform({slots}, s -> {same}))))")
+    return verbatim | ((pairs == items) & (pairs == values)), ~verbatim

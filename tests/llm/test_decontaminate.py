@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from cartpath.llm import words
+from cartpath.llm import decontaminate, words
 from cartpath.llm.decontaminate import contaminated
 from cartpath.llm.queries import decontamination
 
@@ -106,3 +106,24 @@ def test_windows_and_sets_of_hashes_share_their_work():
     assert np.array_equal(lookup.holds(values), np.isin(values, members))
     assert len(lookup.holds(values[:0])) == 0
     assert lookup.table.sum() <= len(members)
+
+
+def test_texts_looked_at_together():
+    """Texts in a row give the windows that each gives alone: nothing goes on over the end of a text."""
+    texts = [t.encode() for t in ("", "New", "York has 3", "km to go", "5", ".", "12", "", "İstanbul is far. ΟΣ", "Σ", ITEM, " \n", "Alice", "Bob sells 1,000", "")]
+    may = np.ones(1 << 4, bool)
+
+    def shown(some: list[bytes]) -> set:
+        return {(int(n), int(h), int(s), w.tobytes()) for hs, ns, ss, ws in decontaminate._shown_windows(some, (1, 2, 3, 8), may, 1 << 4) for h, n, s, w in zip(hs, ns, ss, ws)}
+
+    alone = {(n, *row[1:]) for n, text in enumerate(texts) for row in shown([text])}
+    assert shown(texts) == alone
+    ends = list(decontaminate._portions([b"x" * 70000, b"", b"y", b"z" * 65535, b"u"]))
+    assert ends == [(0, 1), (1, 3), (3, 4), (4, 5)]
+    assert list(decontaminate._portions([])) == []
+
+
+def test_slots_are_compared_without_python(spark):
+    docs = spark.createDataFrame([(1, ITEM)], "doc_id long, text string")
+    found = contaminated(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
+    assert "BatchEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
