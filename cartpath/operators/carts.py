@@ -26,15 +26,23 @@ def cart_moves(events: DataFrame) -> DataFrame:
 
     The items of a purchase are not read: what it bought follows from the moves before it.
     """
-    items = "arrays_zip(productListItems.SKU, productListItems.name, productListItems.priceTotal)"
+    items = "arrays_zip(items.SKU, items.name, items.priceTotal)"
     no_item = "array(named_struct('SKU', CAST(NULL AS STRING), 'name', CAST(NULL AS STRING), 'priceTotal', CAST(NULL AS DOUBLE)))"
     moves = events.where(F.col("eventType").isin(CART_ADD, CART_REMOVAL, PURCHASE))
-    return moves.selectExpr(
+    # The session is a column of its own before the items are rows, so that events dealt out by it stay so.
+    named = moves.selectExpr(
         "web.webSession.ID AS session_id",
         "_id AS event_id",
         "try_to_timestamp(timestamp) AS event_timestamp",
         "eventType AS event_type",
-        f"posexplode(CASE WHEN eventType = '{PURCHASE}' THEN {no_item} ELSE {items} END) AS (item_no, item)",
+        "productListItems AS items",
+    )
+    return named.selectExpr(
+        "session_id",
+        "event_id",
+        "event_timestamp",
+        "event_type",
+        f"posexplode(CASE WHEN event_type = '{PURCHASE}' THEN {no_item} ELSE {items} END) AS (item_no, item)",
     )
 
 
@@ -145,23 +153,35 @@ def checked_purchases(events: DataFrame, carts: DataFrame) -> DataFrame:
     ``carts`` are the :func:`session_carts` of the same events; a purchase has to fit into a row, as its
     event does. The stated total is that of the order, or of the items where the order has none.
     """
-    found = carts.groupBy("session_id", "purchase_id").agg(
+    keys = ("session_id", "purchase_id")
+    found = carts.where("purchase_id IS NOT NULL").groupBy(*keys).agg(
         F.count("*").alias("cart_items"),
         F.max("cart_total").alias("cart_total"),
         F.sort_array(F.collect_list(F.coalesce("product_id", F.lit("")))).alias("_cart"),
     )
-    stated = events.where(F.col("eventType") == PURCHASE).select(
-        F.col("web.webSession.ID").alias("_session"),
-        F.col("_id").alias("_id"),
-        F.coalesce(F.size("productListItems"), F.lit(0)).cast("bigint").alias("stated_items"),
-        F.coalesce("commerce.order.priceTotal", cart_total(F.col("productListItems"))).alias("stated_total"),
-        F.sort_array(F.transform("productListItems", lambda line: F.coalesce(line["SKU"], F.lit("")))).alias("_stated"),
+    line = lambda item: F.struct(F.coalesce(item["SKU"], F.lit("")).alias("SKU"), item["priceTotal"].alias("priceTotal"))
+    purchases = events.where(F.col("eventType") == PURCHASE).select(
+        F.col("web.webSession.ID").alias("session_id"),
+        F.col("_id").alias("purchase_id"),
+        F.transform("productListItems", line).alias("_lines"),
+        F.col("commerce.order.priceTotal").alias("_total"),
+    )
+    stated = purchases.select(
+        *keys,
+        F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint").alias("stated_items"),
+        F.coalesce("_total", cart_total(F.col("_lines"))).alias("stated_total"),
+        F.sort_array("_lines.SKU").alias("_stated"),
+        F.lit(True).alias("_is_stated"),
+    )
+    # A join that takes NULL sessions for equal would exchange both sides; a union keeps the partitioning by session that they share.
+    same = Window.partitionBy(*keys)
+    joined = stated.unionByName(found, allowMissingColumns=True).select(
+        *stated.columns,
+        *(F.first(c, ignorenulls=True).over(same).alias(c) for c in ("cart_items", "cart_total", "_cart")),
     )
-    joined = stated.join(found, (F.col("_id") == F.col("purchase_id")) & F.col("_session").eqNullSafe(F.col("session_id")), "left")
     nothing = F.array().cast("array<string>")
-    return joined.select(
-        F.col("_session").alias("session_id"),
-        F.col("_id").alias("purchase_id"),
+    return joined.where("_is_stated").select(
+        *keys,
         "stated_items",
         "stated_total",
         F.coalesce("cart_items", F.lit(0)).cast("bigint").alias("cart_items"),

@@ -125,14 +125,24 @@ REMOVAL_PERCENT = 15
 EVENT_GAP = 0.05
 
 
-def order_sessions(bodies: DataFrame, started: Column | None = None, platform: str = "web", device: str = "desktop") -> DataFrame:
+def order_sessions(
+    bodies: DataFrame,
+    started: Column | None = None,
+    platform: str = "web",
+    device: str = "desktop",
+    tasks: int | None = None,
+) -> DataFrame:
     """The events of the session that led to each order, as actions for :func:`cartpath.operators.events.to_envelope`.
 
     A session views the page, views each item, adds each item, may take one product out of a cart of
     several items, and buys what is left. Which sessions do and which product it is follows from a
     digest of the order, so the events are the same in every run. ``bodies`` are :func:`order_purchases`.
+    With ``tasks`` the bodies are dealt out by session before their events, which are many times their
+    size, are made: what then goes by session needs no exchange.
     """
     started = F.current_timestamp() if started is None else started
+    session_id = F.sha2(F.concat_ws("-", F.lit("session"), "order_id").cast("binary"), 256)
+    bodies = bodies if tasks is None else bodies.repartition(tasks, session_id)
 
     def drawn(purpose: str) -> Column:
         digits = F.substring(F.md5(F.concat_ws("-", F.lit(purpose), "order_id").cast("binary")), 1, 8)
@@ -145,6 +155,7 @@ def order_sessions(bodies: DataFrame, started: Column | None = None, platform: s
         "customer_id",
         "payment_type",
         "items",
+        session_id.alias("session_id"),
         F.when(takes_out, F.get("items", (drawn("product") % F.greatest(size, F.lit(1))).cast("int"))["SKU"]).alias("_sku"),
         takes_out.alias("_takes_out"),
     )
@@ -166,7 +177,7 @@ def order_sessions(bodies: DataFrame, started: Column | None = None, platform: s
         "sha2(concat_ws('-', order_id, 'event', _step), 256) AS event_id",
         f"_started + {gap} AS event_time",
         "_event.kind AS event_type",
-        "sha2(concat_ws('-', 'session', order_id), 256) AS session_id",
+        "session_id",
         "customer_id",
         f"'{platform}' AS platform",
         f"'{device}' AS device",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from cartpath.operators import events as event_ops
 from cartpath.operators import carts, funnel, journeys, orders, sessions
-from cartpath.operators.skew import HotKeys, hot_keys, within_limit
+from cartpath.operators.skew import HOT_GROUP_ROWS, HotKeys, hot_keys, within_limit
 from cartpath.plans import reports
 from cartpath.plans.late import LateSilver
 from cartpath.session import configure, work_path, written
@@ -29,6 +30,8 @@ LINEAGE = ("_ingested_at", "_source_file")
 EVENTS_PER_FILE = 10_000
 # Of a hundred indented events each, some 35 lines an event.
 ARRAYS_PER_FILE = 50
+# Of order sessions; about a tenth of a GB to sort.
+EVENTS_PER_TASK = 500_000
 # Steps of the strict funnel have to follow within this time.
 STRICT_SECONDS = 6 * 3600
 
@@ -173,10 +176,10 @@ def _order_purchase_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _events_of(bodies: DataFrame) -> DataFrame:
+def _events_of(bodies: DataFrame, tasks: int | None = None) -> DataFrame:
     """Nested events of the sessions that led to the orders; their purchases hold several items."""
     started = F.lit("2024-01-31").cast("timestamp")
-    return event_ops.to_envelope(orders.order_sessions(bodies, started))
+    return event_ops.to_envelope(orders.order_sessions(bodies, started, tasks=tasks))
 
 
 def _order_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -200,11 +203,13 @@ def _session_carts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _order_carts(spark: SparkSession, folder: str) -> DataFrame:
     """Each order's purchase beside the cart that its session's adds and removals lead to."""
-    # An order's events follow from its body without an exchange, and are many times its size.
-    events = _events_of(written(_bodies(spark, folder), "order-bodies"))
-    moves = carts.cart_moves(events)
-    hot = None if within_limit(events) else hot_keys(moves, carts.CART_KEYS)
-    return carts.checked_purchases(events, carts.session_carts(events, hot))
+    # An order's events follow from its body, and are many times its size: only bodies are written and exchanged.
+    bodies = written(_bodies(spark, folder), "order-bodies")
+    events = _events_of(bodies)
+    total = events.count()
+    hot = None if total <= HOT_GROUP_ROWS else hot_keys(carts.cart_moves(events), carts.CART_KEYS)
+    dealt = _events_of(bodies, max(spark.sparkContext.defaultParallelism, ceil(total / EVENTS_PER_TASK)))
+    return carts.checked_purchases(dealt, carts.session_carts(dealt, hot))
 
 
 def _order_purchases(spark: SparkSession, folder: str) -> DataFrame:

@@ -128,3 +128,29 @@ def test_a_null_product_is_taken_out_by_a_null_removal(spark):
     cart = spark.sql("SELECT array(named_struct('SKU', 'a', 'priceTotal', 1D), named_struct('SKU', CAST(NULL AS STRING), 'priceTotal', 2D)) AS items")
     left = cart.select(without_product(F.col("items"), F.lit(None).cast("string")).alias("x"), without_product(F.col("items"), F.lit("a")).alias("y")).first()
     assert [i.SKU for i in left.x] == ["a"] and [i.SKU for i in left.y] == [None]
+
+
+def test_purchases_are_checked_without_session_or_id_and_as_often_as_they_come(spark):
+    events = [
+        event("1", "01T10:00:00", "add", session=None, items=[("a", 1.0), (None, 2.0)]),
+        event("2", "01T10:00:01", "buy", session=None, items=[(None, 2.0), ("a", 1.0)]),
+        event("2", "01T10:00:01", "buy", session="s1", items=[("a", 1.0)]),
+        event("2", "01T10:00:01", "buy", session="s1", items=[("a", 1.0)]),
+        event("0", "01T10:00:00", "add", session="s1", items=[("a", 1.0)]),
+        event("3", "01T10:00:00", "add", session="s2", items=[("a", 1.0)]),
+        {**event("4", "01T10:00:01", "buy", session="s2", items=[("a", 1.0)]), "_id": None},
+        {**event("5", "01T10:00:02", "buy", session="s2"), "productListItems": None},
+    ]
+    rows = nested(spark, events)
+    for hot in (None, skew.hot_keys(carts.cart_moves(rows), carts.CART_KEYS, 1)):
+        checked = carts.checked_purchases(rows, carts.session_carts(rows, hot)).collect()
+        assert sorted(((r.session_id, r.purchase_id, r.stated_items, r.cart_items, r.cart_total, r.agrees) for r in checked), key=str) == sorted(
+            [
+                (None, "2", 2, 2, 3.0, True),
+                ("s1", "2", 1, 1, 1.0, True),
+                ("s1", "2", 1, 1, 1.0, True),
+                ("s2", None, 1, 0, 0.0, False),
+                ("s2", "5", 0, 0, 0.0, True),
+            ],
+            key=str,
+        )

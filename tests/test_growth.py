@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from cartpath.operators import orders
+from cartpath.operators import orders, skew
 from cartpath.plans import late, queries
 from cartpath.session import shared_folder
 from cartpath.sources import testtables as given
@@ -25,6 +25,27 @@ def test_order_carts_write_bodies_and_not_events(spark, monkeypatch):
     ).count()
 
 
+def test_order_carts_exchange_bodies_and_not_events(spark, monkeypatch):
+    monkeypatch.setattr(queries, "EVENTS_PER_TASK", 100)
+    checked = queries._order_carts(spark, FOLDER)
+    tree = checked._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange (\w+)\(.*, (\d+)\), (\w+), .*\n.*FileScan parquet \[(.*?)\]", tree)
+    assert tree.count("Exchange") == len(exchanges) == 2
+    # Both read the same columns of the bodies, so that the second is the first over again.
+    assert len({re.sub(r"#\d+", "", read) for *_, read in exchanges}) == 1
+    assert {(kind, origin) for kind, _, origin, _ in exchanges} == {("hashpartitioning", "REPARTITION_BY_NUM")}
+    assert {int(tasks) for _, tasks, *_ in exchanges} == {-(-queries._order_events(spark, FOLDER).count() // 100)}
+
+
+def test_order_carts_of_hot_sessions(spark, monkeypatch):
+    plain = sorted(map(tuple, queries._order_carts(spark, FOLDER).collect()))
+    found = []
+    monkeypatch.setattr(queries, "HOT_GROUP_ROWS", 0)
+    monkeypatch.setattr(queries, "hot_keys", lambda rows, keys: found.append(skew.hot_keys(rows, keys, 6)) or found[-1])
+    assert sorted(map(tuple, queries._order_carts(spark, FOLDER).collect())) == plain
+    assert found[0] is not None and found[0].frame.count() > 1 and len(plain) > found[0].frame.count()
+
+
 def test_lines_are_exchanged_for_their_joins_alone(spark):
     tables = (getattr(given, t)(spark, FOLDER) for t in ("customers", "orders", "order_items", "products", "order_payments"))
     rows = orders.reference_orders(*tables)
