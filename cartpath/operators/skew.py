event_files_any_form: indented lines carry a file number and go to more tasks as they get more

Symptom: Over tables repeated 20 times (0.22 GB), putting indented lines together spilled 1882 MB to disk (25.6 GB of memory), 558 MB in the largest task.
Evidence: The streamed batch is planned without adaptive execution, so 44 million lines stayed in 22 partitions; each line was sorted, buffered and joined with its 130-byte path beside 40 bytes of text.
Fix: A number per file stands for the path until the elements are put together, and lines are dealt out to one task for every 100,000 of them, never fewer than the session's partitions.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 1750 -> 1640 s, shuffle 3.46 -> 2.57 GB, spill 4.79 -> 2.05 GB, read 1.87 -> 1.90 GB, longest task 16 -> 14 s, most memory of a task 810 -> 805 MB; at 6 GB of input CPU 9276 -> 8226 s, shuffle 21.41 -> 16.25 GB, spill 31.01 -> 13.46 GB, read 11.15 -> 11.32 GB, longest task 43 -> 42 s, most memory of a task 910 -> 1174 MB; with hot keys, at 1 GB of input CPU 1789 -> 1642 s, shuffle 3.46 -> 2.57 GB, spill 4.81 -> 2.06 GB, read 1.83 -> 1.86 GB, longest task 16 -> 13 s, most memory of a task 810 -> 805 MB.

@@ -118,6 +118,7 @@ def ordered_context(
     highest: dict[str, Column] | None = None,
     hot: HotKeys | None = None,
     ties: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group in order, with values of the rows before and of the group.
 
@@ -127,9 +128,12 @@ def ordered_context(
     ``highest`` to expressions whose largest value in the rows before they take.
     ``ties`` says that rows may be equal in keys and order, as copies of one event are; any number
     of them is cut into chunks like other rows, in an order that is arbitrary but fixed.
+    ``tasks`` is the number of tasks the rows of ordinary groups are dealt out over, by key, instead of
+    the session's number of shuffle partitions.
     """
     previous, totals, running, highest = previous or {}, totals or {}, running or {}, highest or {}
     ordinary, oversized = split_hot(rows, keys, hot)
+    ordinary = ordinary if tasks is None else ordinary.repartition(tasks, *keys)
     group = Window.partitionBy(*keys)
     in_order = group.orderBy(*order)
     result = ordinary.select(
