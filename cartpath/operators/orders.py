@@ -156,27 +156,47 @@ def order_sessions(
         "payment_type",
         "items",
         session_id.alias("session_id"),
+        size.alias("_size"),
         F.when(takes_out, F.get("items", (drawn("product") % F.greatest(size, F.lit(1))).cast("int"))["SKU"]).alias("_sku"),
         takes_out.alias("_takes_out"),
     )
     left = F.when(F.col("_takes_out"), without_product(F.col("items"), F.col("_sku"))).otherwise(F.col("items"))
-    lines = lines.withColumn("_left", left)
-    one_each = "transform(items, i -> named_struct('kind', '{kind}', 'items', array(i)))"
-    steps = f"""concat(
-        array(named_struct('kind', '{PAGE_VIEW}', 'items', slice(items, 1, 0))),
-        {one_each.format(kind=PRODUCT_VIEW)},
-        {one_each.format(kind=CART_ADD)},
-        CASE WHEN _takes_out
-            THEN array(named_struct('kind', '{CART_REMOVAL}', 'items', slice(filter(items, i -> i.SKU <=> _sku), 1, 1)))
-            ELSE slice(array(named_struct('kind', '', 'items', items)), 1, 0) END,
-        array(named_struct('kind', '{PURCHASE}', 'items', _left)))"""
-    actions = lines.select("*", F.posexplode(F.expr(steps)).alias("_step", "_event"))
-    absent, page = "CAST(NULL AS STRING)", f"_event.kind = '{PAGE_VIEW}'"
+    lines = lines.withColumns(
+        {
+            "_left": left,
+            "_out": F.expr("CASE WHEN _takes_out THEN slice(filter(items, i -> i.SKU <=> _sku), 1, 1) END"),
+            "_last": F.expr("2 * _size + CASE WHEN _takes_out THEN 2 ELSE 1 END"),
+        }
+    ).drop("_sku", "_takes_out")
+    # What holds for the whole order is made before its events, and only their numbers are exploded: no event carries the cart.
+    lines = lines.withColumn("order_total", cart_total(F.col("_left")))
+    steps = lines.withColumn("_step", F.explode(F.expr("CASE WHEN items IS NOT NULL THEN sequence(0, _last) END")))
+    kind = f"""CASE WHEN _step = 0 THEN '{PAGE_VIEW}'
+        WHEN _step <= _size THEN '{PRODUCT_VIEW}'
+        WHEN _step <= 2 * _size THEN '{CART_ADD}'
+        WHEN _step < _last THEN '{CART_REMOVAL}'
+        ELSE '{PURCHASE}' END"""
+    its_items = """CASE WHEN _step = 0 THEN slice(items, 1, 0)
+        WHEN _step <= 2 * _size THEN array(get(items, CASE WHEN _step <= _size THEN _step - 1 ELSE _step - _size - 1 END))
+        WHEN _step < _last THEN _out
+        ELSE _left END"""
+    actions = steps.select(
+        "order_id",
+        "session_id",
+        "customer_id",
+        "payment_type",
+        "order_total",
+        "_step",
+        F.expr(kind).alias("event_type"),
+        F.expr(its_items).alias("items"),
+        started.alias("_started"),
+    )
+    absent, page = "CAST(NULL AS STRING)", f"event_type = '{PAGE_VIEW}'"
     gap = f"make_interval(0, 0, 0, 0, 0, 0, CAST(_step * {EVENT_GAP} AS DECIMAL(18, 6)))"
-    return actions.select("*", started.alias("_started"), cart_total(F.col("_left")).alias("order_total")).selectExpr(
+    return actions.selectExpr(
         "sha2(concat_ws('-', order_id, 'event', _step), 256) AS event_id",
         f"_started + {gap} AS event_time",
-        "_event.kind AS event_type",
+        "event_type",
         "session_id",
         "customer_id",
         f"'{platform}' AS platform",
@@ -185,7 +205,7 @@ def order_sessions(
         f"CASE WHEN {page} THEN '/' END AS page_url",
         f"CASE WHEN {page} THEN 'direct' END AS referrer_url",
         f"CASE WHEN {page} THEN {absent} ELSE order_id END AS order_id",
-        "_event.items AS items",
+        "items",
         "order_total",
         "payment_type",
     )

@@ -192,7 +192,7 @@ def _order_session_events(spark: SparkSession, folder: str) -> DataFrame:
         F.col("web.webSession.ID").alias("session_id"),
         "timestamp",
         F.col("eventType").alias("event_type"),
-        F.coalesce(F.array_join(F.transform("productListItems", lambda line: line["SKU"]), ","), F.lit("")).alias("skus"),
+        F.coalesce(F.array_join("productListItems.SKU", ","), F.lit("")).alias("skus"),
         F.col("commerce.order.priceTotal").alias("order_total"),
     )
 
