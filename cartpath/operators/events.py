@@ -135,14 +135,16 @@ def flatten_items(events: DataFrame) -> DataFrame:
     Events without items have no row. Where :func:`flatten` lets the first item stand for its event,
     here a purchase counts for everything it bought.
     """
-    items = "arrays_zip(productListItems.SKU, productListItems.priceTotal)"
+    # Taken out before the items are exploded: else every item carries the nested parts, and hides that its session has not moved.
     rows = events.selectExpr(
         "_id AS event_id",
         "web.webSession.ID AS session_id",
         f"get(identityMap['{IDENTITY}'], 0).id AS customer_id",
         f"{stage_text()} AS funnel_stage",
-        f"posexplode({items}) AS (item_no, item)",
+        "productListItems",
     )
+    items = "arrays_zip(productListItems.SKU, productListItems.priceTotal)"
+    rows = rows.selectExpr("event_id", "session_id", "customer_id", "funnel_stage", f"posexplode({items}) AS (item_no, item)")
     return rows.selectExpr(
         "event_id",
         "session_id",
